@@ -5,17 +5,50 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewright.llm import simhash
+from ratewright.llm import packing, sharding, simhash, substring_dedup, winnowing
+
+
+def vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op2_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = winnowing.with_edited_neighbour(_docs(spark, sf_dir).select("doc_id", "text"))
+    return out.withColumnRenamed("id", "doc_id")
+
+
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.remove_repeats(_docs(spark, sf_dir).select("doc_id", "text"))
+    return out.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op7_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _docs(spark, sf_dir).select("doc_id", "text", F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"))
+    out = sharding.shard_by_bytes(docs, 24)
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op8_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(_docs(spark, sf_dir).select("doc_id", "text"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {"op8_simhash_golay": op8_simhash_golay}
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = packing.pack_documents(_docs(spark, sf_dir).select("doc_id", "text"), vocabulary())
+    return out.withColumnRenamed("id", "doc_id")
+
+
+QUERIES = {
+    "op2_winnowing": op2_winnowing,
+    "op3_substring_dedup": op3_substring_dedup,
+    "op7_histogram_sort": op7_histogram_sort,
+    "op8_simhash_golay": op8_simhash_golay,
+    "op10_best_fit_packing": op10_best_fit_packing,
+}
 ORACLES: dict[str, str] = {}
