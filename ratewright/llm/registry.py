@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewright.llm import packing, sharding, simhash, substring_dedup, winnowing
+import corpus_pipeline
+from ratewright.llm import decontamination, packing, sharding, simhash, substring_dedup, toxicity, url_filter, weak_quality, winnowing
 
 
 def vocabulary() -> str:
@@ -18,6 +19,12 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _docs(spark, sf_dir).select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.train(docs, labels.where(toxicity.fold() != 1))
+    return toxicity.score(docs, model).select("doc_id", (toxicity.fold() == 1).alias("held_out"), "score", "predicted")
+
+
 def op2_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = winnowing.with_edited_neighbour(_docs(spark, sf_dir).select("doc_id", "text"))
     return out.withColumnRenamed("id", "doc_id")
@@ -28,6 +35,15 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op5_redirect_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return url_filter.judge(pages).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op6_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_quality.judge(_docs(spark, sf_dir))
+
+
 def op7_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _docs(spark, sf_dir).select("doc_id", "text", F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"))
     out = sharding.shard_by_bytes(docs, 24)
@@ -39,16 +55,58 @@ def op8_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = packing.pack_documents(_docs(spark, sf_dir).select("doc_id", "text"), vocabulary())
     return out.withColumnRenamed("id", "doc_id")
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_winnowing": op2_winnowing,
     "op3_substring_dedup": op3_substring_dedup,
+    "op5_redirect_equivalence": op5_redirect_equivalence,
+    "op6_weak_quality": op6_weak_quality,
     "op7_histogram_sort": op7_histogram_sort,
     "op8_simhash_golay": op8_simhash_golay,
+    "op9_decontamination": op9_decontamination,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "pipeline": corpus_pipeline.run,
+}
+ORACLES = {
+    "op3_substring_dedup": r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+win AS (SELECT doc_id, i, array_to_string(ws[i : i + 12], ' ') AS k FROM w, unnest(range(1, len(ws) - 11)) AS t(i)),
+earliest AS (SELECT k, min(doc_id) AS m FROM win GROUP BY k),
+gone AS (SELECT DISTINCT doc_id, i + j AS p FROM win JOIN earliest USING (k), unnest(range(0, 13)) AS u(j) WHERE m < doc_id),
+each AS (SELECT doc_id, p, ws[p] AS x FROM w, unnest(range(1, len(ws) + 1)) AS t(p)),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS s FROM each ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id),
+n AS (SELECT doc_id, count(*) AS n_removed FROM gone GROUP BY doc_id)
+SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(s, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)""",
+    "op5_redirect_equivalence": r"""
+WITH RECURSIVE tags AS (
+  SELECT url, unnest(list_concat(
+    list_transform(list_filter(regexp_extract_all(coalesce(html, ''), '(?is)<link\b[^>]*>'), lambda x: regexp_matches(x, '(?is)\brel\s*=\s*["'']?canonical\b')),
+                   lambda x: regexp_extract(x, '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1)),
+    list_transform(list_filter(regexp_extract_all(coalesce(html, ''), '(?is)<meta\b[^>]*>'), lambda x: regexp_matches(x, '(?is)\bhttp-equiv\s*=\s*["'']?refresh\b')),
+                   lambda x: regexp_extract(x, '(?is)\bcontent\s*=\s*["''][^"''>]*url\s*=\s*([^"''\s>]+)', 1)))) AS target
+  FROM pages WHERE url LIKE '%://%'),
+urls AS (SELECT url FROM pages WHERE url LIKE '%://%' UNION SELECT target FROM tags WHERE target LIKE '%://%'),
+parts AS (
+  SELECT url, translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path, regexp_extract(url, '(?s)^[^#]*?(\?[^#]*)', 1) AS query FROM urls),
+rules(verdict, h, p) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+ruled AS (SELECT url, max_by(h || p, length(h || p)) AS rule, max_by(verdict, length(h || p)) AS verdict
+  FROM parts JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY url),
+node AS (SELECT url, host, path, host || path || query AS a, rule, verdict FROM parts LEFT JOIN ruled USING (url) WHERE host <> ''),
+edges AS (SELECT x.a, y.a AS b FROM tags JOIN node x USING (url) JOIN node y ON y.url = target WHERE x.a <> y.a),
+both_ways AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges),
+reach AS (SELECT DISTINCT a, a AS b FROM both_ways UNION SELECT r.a, e.b FROM reach r JOIN both_ways e ON r.b = e.a),
+inherited AS (SELECT r.a, min(n.verdict) AS verdict FROM reach r JOIN node n ON n.a = r.b GROUP BY r.a)
+SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule, coalesce(n.verdict, i.verdict, 'allow') AS verdict
+FROM pages LEFT JOIN node n USING (url) LEFT JOIN inherited i USING (a)""",
 }
-ORACLES: dict[str, str] = {}
