@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ratewright.llm import decontamination, packing, sharding, simhash, substring_dedup, toxicity, url_filter, weak_quality, winnowing
+from ratewright.llm import decontamination, packing, sharding, simhash, substring_dedup, suffix_dedup, toxicity, url_filter, weak_quality, winnowing
 
 
 def vocabulary() -> str:
@@ -35,6 +35,11 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeated_bytes(_docs(spark, sf_dir).select("doc_id", "text"))
+    return out.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op5_redirect_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     return url_filter.judge(pages).select("page_id", "host", "path", "rule", "verdict")
@@ -68,6 +73,7 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_winnowing": op2_winnowing,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_redirect_equivalence": op5_redirect_equivalence,
     "op6_weak_quality": op6_weak_quality,
     "op7_histogram_sort": op7_histogram_sort,
