@@ -9,54 +9,121 @@ look their place up in the (small) table of patterns.
 
 from __future__ import annotations
 
+import json
+import re
+import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratewright.llm.arrays import row_chunks, text_column
+from ratewright.llm.arrays import prefix_hash, row_chunks, span_hash, text_column, words
 from ratewright.llm.lineage import cut, shuffle_partitions
 
-CACHE_WORDS = 250_000  # two generations of this size; only speed depends on it
+CACHE_WORDS, CACHE_STEMS = 150_000, 400_000  # two generations of each; only speed depends on them
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 32
+_STEM_AND_MARKS = re.compile(rb"([a-z\x80-\xff]+)([!-&(-/:-@]+)")  # a word of letters, then ASCII marks but no apostrophe
+
+
+class _Generations:
+    """A dictionary of bounded size: what was not used since the last generation is forgotten."""
+
+    def __init__(self, size: int):
+        self.size, self.young, self.old = size, {}, {}
+
+    def get(self, key):
+        found = self.young.get(key)
+        if found is None and (found := self.old.get(key)) is not None:
+            self.young[key] = found
+        return found
+
+    def put(self, key, value) -> None:
+        if len(self.young) >= self.size:
+            self.young, self.old = {}, self.young
+        self.young[key] = value
 
 
 class WordTokenizer:
-    """Token ids as little-endian unsigned 32-bit bytes, from a vocabulary whose pre-tokeniser drops white space.
+    """Token ids of texts, from a vocabulary whose pre-tokeniser drops white space and whose normaliser lower-cases.
 
-    Such a tokeniser never joins letters across white space, so each distinct word is encoded once and remembered.
+    Such a tokeniser never joins letters across white space, so each distinct word of a chunk is encoded once and remembered.  Where
+    the vocabulary file says (as `FOLDING` states) that a run of letters and a run of marks are tokenised apart, the letters are
+    remembered alone, and letters that normalisation would not change go to the merge model directly.
     """
 
+    FOLDING = ("NFC", "Replace", "Lowercase")
+    SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self.inner, self.path = Tokenizer.from_file(path), path
+        self.inner = Tokenizer.from_file(path)
         self.inner.no_truncation()
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-
-    def learn(self, found: set[bytes]) -> None:
-        if len(self.young) > CACHE_WORDS:
-            self.young, self.old = {}, self.young
-        young, old, new = self.young, self.old, []
-        for w in found:
-            if w not in young:
-                if (ids := old.get(w)) is not None:
-                    young[w] = ids
-                else:
-                    new.append(w)
-        for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
-            for w, e in zip(part, self.inner.encode_batch_fast([w.decode() for w in part], add_special_tokens=False), strict=True):
-                young[w] = np.array(e.ids, "<u4").tobytes()
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]
-        self.learn(set().union(*split))
-        known = self.young.__getitem__
-        return [b"".join(map(known, ws)) for ws in split]
+        setting = json.loads(self.inner.to_str())
+        steps = (setting.get("normalizer") or {}).get("normalizers") or []
+        if tuple(x["type"] for x in steps) != self.FOLDING:
+            raise ValueError("the vocabulary must fold case and drop white space")
+        first, *rest = setting["pre_tokenizer"].get("pretokenizers", [{}])
+        self.apart = first.get("pattern") == {"Regex": self.SPLIT} and [x["type"] for x in rest] == ["ByteLevel"]
+        level, model = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False), self.inner.model
+
+        class Letters(dict):
+            def __missing__(self, point):
+                self[point] = "".join(x for x, _ in level.pre_tokenize_str(chr(point)))
+                return self[point]
+
+        self.letters, self.model = Letters(), model
+        self.words, self.stems = _Generations(CACHE_WORDS), _Generations(CACHE_STEMS)
+
+    def _encode(self, word: bytes) -> bytes:
+        return np.array(self.inner.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _stem(self, stem: bytes) -> bytes:
+        ids = self.stems.get(stem)
+        if ids is None:
+            text = stem.decode()
+            if text.isalpha() and text.islower() and unicodedata.is_normalized("NFC", text):
+                ids = struct.pack(f"<{len(t := self.model.tokenize(text.translate(self.letters)))}I", *(x.id for x in t))
+            else:
+                ids = self._encode(stem)
+            self.stems.put(stem, ids)
+        return ids
+
+    def word(self, word: bytes) -> bytes:
+        ids = self.words.get(word)
+        if ids is None:
+            if not self.apart:
+                ids = self._encode(word)
+            elif (m := _STEM_AND_MARKS.fullmatch(word)) and m[1].decode(errors="replace").isalpha():
+                ids = self._stem(m[1]) + self._stem(m[2])
+            else:
+                ids = self._stem(word)
+            self.words.put(word, ids)
+        return ids
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of rows of UTF-8 bytes, and where each row's begin (rows + 1 entries)."""
+        data = _LOWER[data]
+        start, end, first = words(data, offsets)
+        if not len(start):
+            return np.zeros(0, "<u4"), np.zeros(len(offsets), np.int64)
+        code, kinds = pd.factorize(span_hash(prefix_hash(data), start, end))
+        at = np.zeros(len(kinds), np.int64)
+        at[code[::-1]] = np.arange(len(code))[::-1]
+        raw = data.tobytes()
+        ids = [self.word(raw[a:b]) for a, b in zip(start[at].tolist(), end[at].tolist(), strict=True)]
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat, place = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(size) - size
+        many = size[code]
+        ends = np.cumsum(many)
+        out = flat[np.repeat(place[code] - (ends - many), many) + np.arange(int(ends[-1]))]
+        return out, np.r_[0, ends][first]
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
@@ -73,10 +140,11 @@ def _piece_batches(path: str, capacity: int, end_id: int, with_ids: bool):
         tokenizer, end, width = _tokenizer(path), np.array([end_id], "<u4").tobytes(), 4 * capacity
         for batch in batches:
             data, offs = text_column(batch.column(1))
-            for a, b in row_chunks(offs):
+            for a, b in row_chunks(offs, 1 << 22):
                 row, piece, length, crc, bodies = [], [], [], [], []
-                for i, body in enumerate(tokenizer.encode([data[offs[i] : offs[i + 1]].tobytes() for i in range(a, b)]), a):
-                    body += end
+                ids, first = tokenizer.encode(data[offs[a] : offs[b]], offs[a : b + 1] - offs[a])
+                for i in range(a, b):
+                    body = ids[first[i - a] : first[i - a + 1]].tobytes() + end
                     for k, at in enumerate(range(0, len(body), width)):
                         part = body[at : at + width]
                         row.append(i)
