@@ -1,4 +1,6 @@
 """Registered queries and their DuckDB SQL."""
 
-QUERIES = {}
-ORACLES = {}
+from ratewright.plans import q_joins, q_scalar  # noqa: F401
+from ratewright.plans.base import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
