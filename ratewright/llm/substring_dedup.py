@@ -30,7 +30,8 @@ from ratewright.llm.lineage import shuffle_partitions
 
 PERIOD, COVER = 7, (0, 1, 3)
 CHUNK = 2_000_000  # occurrences that a task holds before it sends them
-_SENT = "bucket int, id long, mark int, n long, body binary"
+_SENT = "bucket int, chunk long, known boolean, body binary"
+_ANSWERED = "chunk long, body binary"
 _SPOTS = "id long, mark int, spots binary"
 
 
@@ -38,28 +39,32 @@ def _pack(hashes, doc, pos, ids, marks) -> bytes:
     used, doc = np.unique(doc, return_inverse=True)
     wide = np.uint32 if len(used) > 65535 else np.uint16
     far = np.int32 if len(pos) and pos.max() > 32767 else np.int16
-    head = np.array([len(hashes), hashes.dtype.itemsize, len(used), np.dtype(wide).itemsize, np.dtype(far).itemsize], np.int64)
-    return b"".join(x.tobytes() for x in (head, hashes, doc.astype(wide), pos.astype(far), ids[used], marks[used]))
+    head = np.array([len(doc), hashes.dtype.itemsize if hashes is not None else 0, len(used), np.dtype(wide).itemsize, np.dtype(far).itemsize], np.int64)
+    parts = (head, *([hashes] if hashes is not None else []), doc.astype(wide), pos.astype(far), ids[used], marks[used])
+    return b"".join(x.tobytes() for x in parts)
 
 
 def _unpack(body: bytes):
+    """hashes (none: None), and per occurrence the id, mark and position."""
     n, h, m, wide, far = np.frombuffer(body, np.int64, 5)
     at, out = 40, []
-    for count, kind in ((n, f"u{h}"), (n, f"u{wide}"), (n, f"i{far}"), (m, "i8"), (m, "i4")):
+    for count, kind in ((n * (h > 0), f"u{h or 1}"), (n, f"u{wide}"), (n, f"i{far}"), (m, "i8"), (m, "i4")):
         out.append(np.frombuffer(body, kind, count, at))
         at += count * np.dtype(kind).itemsize
     hashes, doc, pos, ids, marks = out
-    return hashes.astype(np.uint64), ids[doc], marks[doc], pos.astype(np.int64)
+    return hashes.astype(np.uint64) if h else None, ids[doc], marks[doc], pos.astype(np.int64)
 
 
-def _spot_rows(ids, marks, pos):
+def _spot_rows(bodies: list[bytes]) -> pa.RecordBatch:
     """One row (id, mark, positions) per document."""
+    _, ids, marks, pos = zip(*map(_unpack, bodies), strict=True)
+    ids, marks, pos = np.concatenate(ids), np.concatenate(marks), np.concatenate(pos)
     order = np.lexsort((pos, marks, ids))
     ids, marks, pos = ids[order], marks[order], pos[order].astype(np.int32)
     start = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (marks[1:] != marks[:-1])]) if len(ids) else np.zeros(0, np.int64)
     offsets = np.r_[start, len(ids)].astype(np.int64) * 4
-    bodies = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(pos.tobytes())])
-    return ids[start], marks[start], bodies.cast(pa.binary())
+    spots = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(pos.tobytes())])
+    return pa.RecordBatch.from_arrays([pa.array(ids[start]), pa.array(marks[start]), spots.cast(pa.binary())], names=["id", "mark", "spots"])
 
 
 class _Sender:
@@ -101,7 +106,10 @@ class _Sender:
         low, high = ids[doc[start]], ids[doc[start + size - 1]]
         several = np.repeat(low < high, size)
         known = (ids[doc] > np.repeat(low, size)) if self.later else several
-        yield from self.rows(*_spot_rows(ids[doc[known]], marks[doc[known]], pos[known]))
+        chunk = int(ids[0]) ^ (int(marks[0]) << 20)  # where the answers for these documents meet
+        if known.any():  # these pass the exchange unchanged
+            body = _pack(None, doc[known], pos[known], ids, marks)
+            yield self.rows([(abs(chunk) % self.buckets, chunk, True, body)])
         if self.later:
             send = ~known
             hashes, doc, pos = hashes[send], doc[send], pos[send]
@@ -114,59 +122,77 @@ class _Sender:
         cuts = np.searchsorted(bucket, np.arange(self.buckets + 1))
         if not self.later:
             hashes = hashes.astype(np.uint32)  # with the bucket enough to find candidates
-        sent = [(b, _pack(hashes[i:j], doc[i:j], pos[i:j], ids, marks)) for b, (i, j) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if j > i]
+        sent = [(b, chunk, False, _pack(hashes[i:j], doc[i:j], pos[i:j], ids, marks)) for b, (i, j) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if j > i]
         for at in range(0, len(sent), 64):
-            part = sent[at : at + 64]
-            nothing = pa.nulls(len(part), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in part], pa.int32()), nothing, nothing.cast(pa.int32()), nothing, pa.array([x for _, x in part], pa.binary())], names=["bucket", "id", "mark", "n", "body"])
+            yield self.rows(sent[at : at + 64])
 
-    def rows(self, ids, marks, bodies):
-        """Answers that are already known: they pass the exchange unchanged."""
-        for at in range(0, len(ids), 20_000):
-            i, m = ids[at : at + 20_000], marks[at : at + 20_000]
-            bucket = np.abs(i * 31 + m) % self.buckets
-            yield pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), pa.array(i), pa.array(m, pa.int32()), pa.array(np.zeros(len(i), np.int64)), bodies[at : at + 20_000]], names=["bucket", "id", "mark", "n", "body"])
+    @staticmethod
+    def rows(sent) -> pa.RecordBatch:
+        kinds = (pa.int32(), pa.int64(), pa.bool_(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*sent, strict=True), kinds, strict=True)], names=["bucket", "chunk", "known", "body"])
 
 
 def _answers(later: bool):
-    def settle(bodies):
-        if not bodies:
+    """Per bucket: of the occurrences sent, those that the rule answers, packed by the chunk that they came from."""
+
+    def rows(chunks, bodies):
+        return pa.RecordBatch.from_arrays([pa.array(chunks, pa.int64()), pa.array(bodies, pa.binary())], names=["chunk", "body"])
+
+    def settle(sent):
+        if not sent:
             return
-        hashes, ids, marks, pos = (np.concatenate(x) for x in zip(*map(_unpack, bodies), strict=True))
+        hashes, ids, marks, pos = (np.concatenate(x) for x in zip(*(_unpack(body) for _, body in sent), strict=True))
+        source = np.repeat(np.arange(len(sent)), [int(np.frombuffer(body, np.int64, 1)[0]) for _, body in sent])
         order = np.argsort(hashes, kind="stable")
-        hashes, ids = hashes[order], ids[order]
+        hashes, sorted_ids = hashes[order], ids[order]
         start = np.flatnonzero(np.r_[True, hashes[1:] != hashes[:-1]])
         size = np.diff(np.r_[start, len(hashes)])
-        low = np.minimum.reduceat(ids, start)
-        hit = ids > np.repeat(low, size) if later else np.repeat(low < np.maximum.reduceat(ids, start), size)
-        hit &= pos[order] >= 0
-        if hit.any():
-            at = order[hit]
-            yield pa.RecordBatch.from_arrays([*map(pa.array, (i := _spot_rows(ids[hit], marks[at], pos[at]))[:2]), i[2]], names=["id", "mark", "spots"])
+        low = np.minimum.reduceat(sorted_ids, start)
+        hit = np.zeros(len(ids), bool)
+        hit[order] = sorted_ids > np.repeat(low, size) if later else np.repeat(low < np.maximum.reduceat(sorted_ids, start), size)
+        at = np.flatnonzero(hit & (pos >= 0))
+        cuts = np.searchsorted(source[at], np.arange(len(sent) + 1))
+        for (chunk, _), i, j in zip(sent, cuts[:-1], cuts[1:], strict=True):
+            if j > i:
+                part = at[i:j]
+                owners = np.unique(np.rec.fromarrays([ids[part], marks[part]], names="id,mark"), return_inverse=True)
+                yield rows([chunk], [_pack(None, owners[1], pos[part], owners[0].id, owners[0].mark)])
 
     def run(batches):
-        bucket, bodies = None, []
+        bucket, sent = None, []
         for batch in batches:
-            known = pa.compute.is_valid(batch.column(1))
-            passed = batch.filter(known)
-            if passed.num_rows:
-                yield pa.RecordBatch.from_arrays([passed.column(1), passed.column(2), passed.column(4)], names=["id", "mark", "spots"])
-            rest = batch.filter(pa.compute.invert(known))
-            for b, body in zip(rest.column(0).to_pylist(), rest.column(4).to_pylist(), strict=True):
+            for b, chunk, known, body in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                if known:
+                    yield rows([chunk], [body])
+                    continue
                 if b != bucket:
-                    yield from settle(bodies)
-                    bucket, bodies = b, []
-                bodies.append(body)
-        yield from settle(bodies)
+                    yield from settle(sent)
+                    bucket, sent = b, []
+                sent.append((chunk, body))
+        yield from settle(sent)
 
     return run
 
 
+def _by_document(batches):
+    chunk, bodies = None, []
+    for batch in batches:
+        for c, body in zip(*(batch.column(i).to_pylist() for i in range(2)), strict=True):
+            if c != chunk and bodies:
+                yield _spot_rows(bodies)
+                bodies = []
+            chunk = c
+            bodies.append(body)
+    if bodies:
+        yield _spot_rows(bodies)
+
+
 def _exchange(df: DataFrame, send, later: bool) -> DataFrame:
     """(id, mark, list of packed positions) of the occurrences that `send` emits and the rule answers."""
     n = shuffle_partitions(df)
     sent = df.mapInArrow(send(n, later), _SENT).repartition(n, "bucket").sortWithinPartitions("bucket")
-    return sent.mapInArrow(_answers(later), _SPOTS).groupBy("id", "mark").agg(F.collect_list("spots").alias("spots"))
+    answered = sent.mapInArrow(_answers(later), _ANSWERED).repartition(n, "chunk").sortWithinPartitions("chunk")
+    return answered.mapInArrow(_by_document, _SPOTS).groupBy("id", "mark").agg(F.collect_list("spots").alias("spots"))
 
 
 def _send_anchors(window: int):
