@@ -10,13 +10,15 @@ from ratewright.operators import joins as J
 from ratewright.plans.base import EV, PAIRS, events, games, query, table
 from ratewright.plans.q_windows import _SP, _season_player
 
-_R, _A, _N = (F.col("kind") == k for k in "RAN")
+
+def _is(kind):
+    return F.col("kind") == kind
 
 
 @query("team_game_efficiency", "WITH " + EV + """ SELECT season, period, offense, defense, avg(CASE WHEN kind = 'R' THEN measure END) AS pass_epa, avg(CASE WHEN kind = 'A' THEN measure END) AS rush_epa, avg((l_discount < 0.05)::INTEGER) AS success, avg(CASE WHEN kind = 'R' THEN (volume >= 40)::INTEGER WHEN kind = 'A' THEN (volume >= 30)::INTEGER END) AS explosive, avg(CASE WHEN kind = 'R' THEN (status = 'F')::INTEGER END) AS sack_rate, count(*) AS plays FROM ev GROUP BY ALL""")
 def _(spark, sf):
-    explosive = F.when(_R, (F.col("volume") >= 40).cast("int")).when(_A, (F.col("volume") >= 30).cast("int"))
-    m = {"pass_epa": (_R, F.col("measure")), "rush_epa": (_A, F.col("measure")), "success": (F.lit(True), (F.col("l_discount") < 0.05).cast("int")), "explosive": (F.lit(True), explosive), "sack_rate": (_R, (F.col("status") == "F").cast("int"))}
+    explosive = F.when(_is("R"), (F.col("volume") >= 40).cast("int")).when(_is("A"), (F.col("volume") >= 30).cast("int"))
+    m = {"pass_epa": (_is("R"), F.col("measure")), "rush_epa": (_is("A"), F.col("measure")), "success": (F.lit(True), (F.col("l_discount") < 0.05).cast("int")), "explosive": (F.lit(True), explosive), "sack_rate": (_is("R"), (F.col("status") == "F").cast("int"))}
     return A.conditional_means(events(spark, sf), ["season", "period", "offense", "defense"], m)
 
 
@@ -56,7 +58,7 @@ def _(spark, sf):
 
 @query("player_season_snaps", "WITH " + EV + """, w AS (SELECT season, period, player, sum(volume)::BIGINT AS snaps, sum(CASE WHEN kind = 'A' THEN volume ELSE 0 END)::BIGINT AS defense_snaps, min(offense) AS team FROM ev GROUP BY ALL) SELECT season, player, sum(snaps)::BIGINT AS snaps, sum(defense_snaps)::BIGINT AS defense_snaps, count(CASE WHEN defense_snaps > 0 THEN 1 END) AS games, min_by(team, period) AS team FROM w GROUP BY ALL""")
 def _(spark, sf):
-    w = events(spark, sf).groupBy("season", "period", "player").agg(F.sum("volume").alias("snaps"), F.sum(F.when(_A, F.col("volume")).otherwise(0)).alias("defense_snaps"), F.min("offense").alias("team"))
+    w = events(spark, sf).groupBy("season", "period", "player").agg(F.sum("volume").alias("snaps"), F.sum(F.when(_is("A"), F.col("volume")).otherwise(0)).alias("defense_snaps"), F.min("offense").alias("team"))
     return A.player_season(w, ["season", "player"], ["snaps", "defense_snaps"], [], "defense_snaps", {"team": "period"})
 
 
@@ -77,8 +79,8 @@ def _(spark, sf):
 SELECT season, player, pass, rush, CASE WHEN coalesce(n, 0) > 1 THEN rush ELSE pass END AS preferred, coalesce(pass, 0) + coalesce(rush, 0) AS composite FROM a FULL JOIN b USING (season, player)""")
 def _(spark, sf):
     ev = events(spark, sf)
-    a = ev.where(_R).groupBy("season", "player").agg(F.sum("measure").alias("pass"))
-    b = ev.where(_A & (F.col("volume") > 46)).groupBy("season", "player").agg(F.sum("measure").alias("rush"), F.count("*").alias("n"))
+    a = ev.where(_is("R")).groupBy("season", "player").agg(F.sum("measure").alias("pass"))
+    b = ev.where(_is("A") & (F.col("volume") > 46)).groupBy("season", "player").agg(F.sum("measure").alias("rush"), F.count("*").alias("n"))
     out = J.outer_union({"a": a, "b": b}, ["season", "player"])
     preferred = F.when(F.coalesce("n", F.lit(0)) > 1, F.col("rush")).otherwise(F.col("pass"))
     return out.select("season", "player", "pass", "rush", preferred.alias("preferred"), (F.coalesce("pass", F.lit(0)) + F.coalesce("rush", F.lit(0))).alias("composite"))
@@ -96,7 +98,7 @@ _EB = _SP + """, e AS (SELECT season, player, count(CASE WHEN kind = 'R' THEN 1
 
 
 def _hits(spark, sf):
-    return events(spark, sf).groupBy("season", "player").agg(F.count_if(_R).alias("hits"), F.count("*").alias("n"))
+    return events(spark, sf).groupBy("season", "player").agg(F.count_if(_is("R")).alias("hits"), F.count("*").alias("n"))
 
 
 @query("empirical_bayes_rate", "WITH " + _EB + """ SELECT season, player, round((hits + (sum(hits) OVER w)::DOUBLE / sum(n) OVER w * 40) / (n + 40), 9) AS rate FROM e WINDOW w AS (PARTITION BY season)""")
