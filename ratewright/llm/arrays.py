@@ -6,6 +6,8 @@ found in UTF-8 bytes.  Nothing here decodes text or loops over words in Python.
 
 from __future__ import annotations
 
+import ctypes
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -130,3 +132,27 @@ def min_labels(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
                 break
             label = jumped
     return label
+
+
+def releasing(run):
+    """A mapInArrow function that hands freed memory back when its partition ends: a worker is kept for the tasks of later stages."""
+
+    @functools.wraps(run)
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):  # another C library
+                pass
+
+    return wrapped
+
+
+def text_slices(batch: pa.RecordBatch, column: int, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about `limit` bytes of text, so that few texts are Python objects at a time."""
+    _, offs = text_column(batch.column(column))
+    for a, b in row_chunks(offs, limit):
+        yield batch.slice(a, b - a)

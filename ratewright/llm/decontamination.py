@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratewright.llm.arrays import inside, mix, prefix_hash, row_chunks, span_hash, text_column, window_hash, words
+from ratewright.llm.arrays import inside, mix, prefix_hash, releasing, row_chunks, span_hash, text_column, window_hash, words
 
 WINDOW = 8
 LEAST_WORDS = 4  # plain words that a window needs; items with fewer template words than this are not searched
@@ -81,6 +81,7 @@ def _windows(shape, slot, first, length):
 def _window_batches(lengths: list[int], wanted: np.ndarray | None):
     """Per window: id, mark, position, hash, values of its slots, template words of the row.  `wanted`: sorted hashes, else all."""
 
+    @releasing
     def run(batches):
         for batch in batches:
             data, offs = text_column(batch.column(2))
@@ -109,6 +110,7 @@ def _window_batches(lengths: list[int], wanted: np.ndarray | None):
 def _lengths(items: DataFrame) -> list[int]:
     """WINDOW, and the lengths of shorter items (at most WINDOW numbers)."""
 
+    @releasing
     def run(batches):
         for batch in batches:
             _, _, _, first = template(*text_column(batch.column(2)))

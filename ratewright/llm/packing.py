@@ -22,10 +22,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratewright.llm.arrays import prefix_hash, row_chunks, span_hash, text_column, words
+from ratewright.llm.arrays import prefix_hash, releasing, row_chunks, span_hash, text_column, words
 from ratewright.llm.lineage import cut, shuffle_partitions
 
-CACHE_WORDS, CACHE_STEMS = 150_000, 400_000  # two generations of each; only speed depends on them
+CACHE_WORDS, CACHE_STEMS = 100_000, 200_000  # two generations of each; only speed depends on them
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
 _STEM_AND_MARKS = re.compile(rb"([a-z\x80-\xff]+)([!-&(-/:-@]+)")  # a word of letters, then ASCII marks but no apostrophe
@@ -136,11 +136,12 @@ def _tokenizer(path: str) -> WordTokenizer:
 
 
 def _piece_batches(path: str, capacity: int, end_id: int, with_ids: bool):
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer, end, width = _tokenizer(path), np.array([end_id], "<u4").tobytes(), 4 * capacity
         for batch in batches:
             data, offs = text_column(batch.column(1))
-            for a, b in row_chunks(offs, 1 << 22):
+            for a, b in row_chunks(offs):
                 row, piece, length, crc, bodies = [], [], [], [], []
                 ids, first = tokenizer.encode(data[offs[a] : offs[b]], offs[a : b + 1] - offs[a])
                 for i in range(a, b):
@@ -280,6 +281,7 @@ def _places(patterns: list[tuple[tuple, int]]):
 def _place_batches(patterns):
     table, keys = _places(patterns)
 
+    @releasing
     def run(batches):
         for batch in batches:
             length, rank = batch.column("length").to_numpy(), batch.column("_rank").to_numpy()

@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ratewright.llm.arrays import releasing
 from ratewright.llm.lineage import cut, shuffle_partitions
 
 LOW, HIGH = -(1 << 63), (1 << 63) - 1
@@ -22,6 +23,7 @@ def _count_below(keys: DataFrame, probes: list[tuple[int, int]]) -> list[int]:
     """Bytes of the rows whose (key, id) is not above each probe (sorted)."""
     edges = _edges(probes)
 
+    @releasing
     def run(batches):
         total = np.zeros(len(probes) + 1, np.int64)
         for batch in batches:
@@ -92,7 +94,7 @@ def splitters(keys: DataFrame, targets: list[int], slack: list[float], total: in
 
 
 def shard_by_bytes(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: str = "text", overhead: int = 8, tolerance: float = 0.002, parts: int | None = None) -> DataFrame:
-    """All columns of `docs`, and size (UTF-8 bytes of the text, null: none, plus `overhead`), shard and slot (gapless from 0 in a shard).
+    """All columns of `docs`, and size (UTF-8 bytes of the text, null: none, plus `overhead`), shard and slot (gapless from 0 in a shard), in place of columns of those names.
 
     Shards differ from the mean size by about `tolerance` of it, or by a document where one is larger than that.  Copies of a text lie
     together; a group of copies is split only where it is larger than the slack allows.  A shard is numbered in `parts` tasks (default: so
@@ -108,6 +110,7 @@ def shard_by_bytes(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", te
     slack = [tolerance * total / shards / 2 if i % parts == 0 else 0.1 * total / fine for i in range(1, fine)]
     edges = _edges(sorted(splitters(keys, targets, slack, total)))
 
+    @releasing
     def place(batches):
         for batch in batches:
             part = _part(batch.column("_key").to_numpy(), batch.column("_who").to_numpy(), *edges) if batch.num_rows else np.zeros(0, np.int64)
@@ -121,7 +124,7 @@ def shard_by_bytes(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", te
     within = Window.partitionBy("_part").orderBy("_key", "_who")
     numbered = placed.withColumn("_row", F.row_number().over(within)).join(F.broadcast(base), "_part")  # a row per part
     return numbered.select(
-        *docs.columns,
+        *(c for c in docs.columns if c not in ("size", "shard", "slot")),
         F.col("_size").alias("size"),
         F.floor(F.col("_part") / parts).cast("int").alias("shard"),
         (F.col("_row") - 1 + F.col("_base")).cast("long").alias("slot"),

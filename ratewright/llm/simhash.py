@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratewright.llm.arrays import min_labels, row_chunks, text_column
+from ratewright.llm.arrays import min_labels, releasing, row_chunks, text_column
 from ratewright.llm.components import connected_components
 from ratewright.llm.lineage import cut
 
@@ -118,6 +118,7 @@ def simhash_texts(texts: list[bytes]) -> np.ndarray:
     return np.packbits(2 * ones > counts[:, None], axis=1).view(">u8").ravel().astype(np.uint64)
 
 
+@releasing
 def _fingerprint_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offs = text_column(batch.column(batch.num_columns - 1))
@@ -134,6 +135,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def _key_batches(make):
+    @releasing
     def run(batches):
         for batch in batches:
             fp = batch.column(0).to_numpy(zero_copy_only=False)
@@ -172,6 +174,7 @@ def _runs_to_links(radius: int, most: int | None):
             label = min_labels(np.r_[i + at, np.arange(len(fp))], np.r_[j, label], len(fp))
         return fp[label != np.arange(len(fp))], fp[label[label != np.arange(len(fp))]]
 
+    @releasing
     def run(batches):
         key, fp, hot = np.zeros(0, np.int64), np.zeros(0, np.int64), None
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratewright.llm.arrays import inside, prefix_hash, row_chunks, span_hash, text_column, window_hash, words
+from ratewright.llm.arrays import inside, prefix_hash, releasing, row_chunks, span_hash, text_column, window_hash, words
 from ratewright.llm.lineage import shuffle_partitions
 
 PERIOD, COVER = 7, (0, 1, 3)
@@ -158,6 +158,7 @@ def _answers(later: bool):
                 owners = np.unique(np.rec.fromarrays([ids[part], marks[part]], names="id,mark"), return_inverse=True)
                 yield rows([chunk], [_pack(None, owners[1], pos[part], owners[0].id, owners[0].mark)])
 
+    @releasing
     def run(batches):
         bucket, sent = None, []
         for batch in batches:
@@ -174,6 +175,7 @@ def _answers(later: bool):
     return run
 
 
+@releasing
 def _by_document(batches):
     chunk, bodies = None, []
     for batch in batches:
@@ -200,6 +202,7 @@ def _send_anchors(window: int):
     at_cover = np.isin(np.arange(PERIOD), COVER)
 
     def send(buckets: int, later: bool):
+        @releasing
         def run(batches):
             out = _Sender(buckets, later)
             for batch in batches:
@@ -237,6 +240,7 @@ def _covered(starts: np.ndarray, before: int, length: int, n: int) -> np.ndarray
 
 def _send_windows(window: int):
     def send(buckets: int, later: bool):
+        @releasing
         def run(batches):
             out = _Sender(buckets, later)
             for batch in batches:
@@ -266,6 +270,7 @@ def _send_windows(window: int):
 
 
 def _rewrite(window: int):
+    @releasing
     def run(batches):
         for batch in batches:
             spots, last = batch.column(batch.num_columns - 1), batch.num_columns - 1

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratewright.llm.arrays import POWERS
+from ratewright.llm.arrays import POWERS, releasing, text_slices
 from ratewright.llm.lineage import shuffle_partitions
 from ratewright.llm.winnowing import _POINT_VALUE, code_points
 
@@ -47,12 +47,14 @@ def gram_buckets(text: str, orders=ORDERS) -> np.ndarray:
     return np.concatenate(out)
 
 
+@releasing
 def _count_batches(batches):
     """Per task: documents with each hashed n-gram, by label, in RANGES packed rows."""
     counts = np.zeros((2, 1 << BITS), np.int32)
     for batch in batches:
-        for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            counts[label, np.unique(gram_buckets(text or ""))] += 1
+        for part in text_slices(batch, 1):
+            for label, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                counts[label, np.unique(gram_buckets(text or ""))] += 1
     width = (1 << BITS) // RANGES
     bodies = [np.ascontiguousarray(counts[:, r * width : (r + 1) * width]).tobytes() for r in range(RANGES)] if counts.any() else []
     for r, body in enumerate(bodies):
@@ -65,6 +67,7 @@ def _ratios(clean, toxic, clean_n: int, toxic_n: int, smoothing: float):
 
 
 def _ratio_batches(clean_n: int, toxic_n: int, smoothing: float):
+    @releasing
     def run(batches):
         total: dict[int, np.ndarray] = {}
         for batch in batches:
@@ -103,6 +106,7 @@ class ToxicityModel:
 
 
 def _sample_batches(gram: np.ndarray):
+    @releasing
     def run(batches):
         table = np.full(1 << BITS, -1, np.int32)
         table[gram] = np.arange(len(gram), dtype=np.int32)
@@ -163,10 +167,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def _score_batches(model: ToxicityModel):
+    @releasing
     def run(batches):
         for batch in batches:
             at = batch.num_columns - 1
-            out = [model.score(t or "") for t in batch.column(at).to_pylist()]
+            out = [model.score(t or "") for part in text_slices(batch, at) for t in part.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.float64())], names=[*batch.schema.names, "_score"])
 
     return run

@@ -45,7 +45,7 @@ def address(url: Column) -> Column:
 
 
 def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", rules=RULES) -> DataFrame:
-    """All columns of `pages` but the html, and host, path, rule (null: none) and verdict.
+    """All columns of `pages` but the html, and host, path, rule (null: none) and verdict (in place of columns of those names).
 
     Relative targets and links without a target are no edges.  Null urls have no host, no rule and no aliases, and are allowed.
     Repeated urls are one node; repeated rows are all returned.
@@ -62,7 +62,7 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_
     # 'allow' sorts before 'block', so the least verdict is the one with precedence
     verdicts = judged.join(roots, F.col("_node") == F.col("node")).groupBy("root").agg(F.min("_rule.verdict").alias("_inherited"))
     inherited = roots.join(verdicts, "root").select(F.col("node").alias("_node"), "_inherited")
-    keep = [c for c in pages.columns if c != html_col]
+    keep = [c for c in pages.columns if c not in (html_col, "host", "path", "rule", "verdict")]
     out = named.select(*keep, "_host", "_path", "_node", "_rule").join(inherited, "_node", "left")
     verdict = F.coalesce("_rule.verdict", F.when(F.col("_host") != "", F.col("_inherited")), F.lit("allow"))
     return out.select(*keep, F.col("_host").alias("host"), F.col("_path").alias("path"), F.col("_rule.rule").alias("rule"), verdict.alias("verdict"))

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratewright.llm.arrays import POWERS
+from ratewright.llm.arrays import POWERS, releasing, text_slices
 from ratewright.llm.lineage import shuffle_partitions
 
 GRAM, WINDOW = 8, 32
@@ -65,6 +65,7 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     return common / (len(both) - common)
 
 
+@releasing
 def _fingerprint_batches(batches):
     for batch in batches:
         marks, at = [], []
@@ -81,6 +82,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(id_col, text_col).mapInArrow(_fingerprint_batches, f"id {kind}, fingerprint string, positions array<int>")
 
 
+@releasing
 def _neighbour_batches(batches):
     """Rows come by bucket, each bucket's own rows by descending id and then the first row of what follows (own = false)."""
     out: list[tuple] = []
@@ -104,7 +106,7 @@ def _neighbour_batches(batches):
         return batch
 
     held = bucket = None
-    for batch in batches:
+    for batch in (part for whole in batches for part in text_slices(whole, 3)):
         for b, own, who, text in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
             if not own and held is None:
                 continue  # this bucket's successor has been met already
