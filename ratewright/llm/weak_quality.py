@@ -13,12 +13,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratewright.llm.arrays import mix, prefix_hash, row_chunks, span_hash, text_column, words
+from ratewright.llm.arrays import mix, prefix_hash, releasing, row_chunks, span_hash, text_column, words
 
-LABELLERS = ("capitals", "symbols", "repetition", "bare_marks", "stutter", "lines", "sentences", "plain", "fluent")
+LABELLERS = ("capitals", "symbols", "repetition", "bare_marks", "stutter", "lines", "endings", "prose")
 BITS = 12  # hashed features
 SAMPLE = 6000  # texts at most whose posterior labels train the scorer
-PRIOR_GOOD = 0.8  # where EM starts
+PRIOR_GOOD = 0.7  # where EM starts
+# where EM starts for a labeller that votes (good, bad): P(bad, abstain, good) on bad and on good documents
+START = {
+    (True, True): ((0.6, 0.3, 0.1), (0.1, 0.3, 0.6)),
+    (True, False): ((0.05, 0.45, 0.5), (0.02, 0.2, 0.78)),
+    (False, True): ((0.2, 0.79, 0.01), (0.005, 0.985, 0.01)),
+    (False, False): ((0.01, 0.98, 0.01), (0.01, 0.98, 0.01)),
+}
+FIRMNESS = 0.2  # in documents, as a share of all
 
 _UPPER, _LETTER, _SYMBOL, _ALNUM, _END = (np.zeros(256, bool) for _ in range(5))
 _UPPER[0x41:0x5B] = True
@@ -80,9 +88,8 @@ def describe(data: np.ndarray, offsets: np.ndarray):
             -(some & (bare_share > 0.15)).astype(np.int8),
             -(some & (stutter > 0.15)).astype(np.int8),
             -((lines >= 4) & (line_share > 0.3)).astype(np.int8),
-            (some & (ended > 0.01) & (capitals < 0.3)).astype(np.int8) - (many & (ended < 0.004)).astype(np.int8),
-            (some & (symbols < 0.02) & (bare_share < 0.05)).astype(np.int8),
-            (some & (stutter < 0.03) & ((repeated < 0.6) | ~many)).astype(np.int8),
+            -(many & (ended < 0.004)).astype(np.int8),
+            (some & (ended > 0.01) & (capitals < 0.3) & (symbols < 0.02) & (bare_share < 0.05) & (stutter < 0.03) & (line_share <= 0.3) & ((repeated <= 0.9) | ~many)).astype(np.int8),
         ],
         axis=1,
     )
@@ -104,6 +111,7 @@ def _features(shape: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndar
     return one.astype(np.int64), two.astype(np.int64)
 
 
+@releasing
 def _vote_batches(batches):
     for batch in batches:
         data, offs = text_column(batch.column(1))
@@ -117,7 +125,11 @@ def label_model(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) ->
     """EM over vote patterns (rows of -1, 0, 1): posterior of good per pattern, P(vote | class) as [class, labeller, vote + 1], P(good)."""
     k = patterns.shape[1]
     table = np.empty((2, k, 3))
-    table[1], table[0] = (0.02, 0.48, 0.5), (0.4, 0.5, 0.1)
+    for labeller in range(k):
+        good, bad = (patterns[:, labeller] == 1).any(), (patterns[:, labeller] == -1).any()
+        table[:, labeller] = START[(bool(good), bool(bad))]
+    # what a labeller that only calls documents bad does on good ones is held near its start: it is meant to be precise
+    firm = (table[1, :, 0] < 0.01)[:, None] * table[1] * FIRMNESS * counts.sum()
     prior = PRIOR_GOOD
     at = patterns + 1
     for _ in range(rounds):
@@ -125,7 +137,7 @@ def label_model(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) ->
         good = 1 / (1 + np.exp(np.clip(log[0] - log[1], -700, 700)))
         for y, share in ((1, good * counts), (0, (1 - good) * counts)):
             for v in range(3):
-                table[y, :, v] = (share[:, None] * (at == v)).sum(axis=0) + 1.0
+                table[y, :, v] = (share[:, None] * (at == v)).sum(axis=0) + 1.0 + (firm[:, v] if y else 0.0)
             table[y] /= table[y].sum(axis=1, keepdims=True)
         prior = float(np.clip((good * counts).sum() / max(counts.sum(), 1), 0.01, 0.99))
     return good, table, prior
@@ -135,6 +147,7 @@ def _unpack_votes(codes: np.ndarray) -> np.ndarray:
     return codes[:, None] // 3 ** np.arange(len(LABELLERS)) % 3 - 1
 
 
+@releasing
 def _sample_batches(batches):
     for batch in batches:
         data, offs = text_column(batch.column(1))
@@ -168,6 +181,7 @@ def fit_scorer(rows, good: np.ndarray, rounds: int = 400, penalty: float = 1e-4)
 
 
 def _score_batches(weight: np.ndarray, intercept: float):
+    @releasing
     def run(batches):
         for batch in batches:
             data, offs = text_column(batch.column(1))
@@ -193,7 +207,7 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
     kind = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     votes = texts.mapInArrow(_vote_batches, f"id {kind}, votes int")
-    counted = votes.groupBy("votes").count().toPandas().sort_values("votes")  # at most 3**9 rows
+    counted = votes.groupBy("votes").count().toPandas().sort_values("votes")  # at most 3**8 rows
     codes = counted["votes"].to_numpy(np.int64)
     good, _, _ = label_model(_unpack_votes(codes), counted["count"].to_numpy(float)) if len(codes) else (np.zeros(0), None, 0.0)
     names = docs.sparkSession.createDataFrame([(int(c), float(p)) for c, p in zip(codes, good, strict=True)], "votes int, posterior double")
@@ -205,11 +219,12 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
         rows = [(np.asarray(g, np.int64), np.asarray(s)) for g, s in zip(got["grams"], got["shares"], strict=True)]
         weight, intercept = fit_scorer(rows, got["good"].to_numpy())
     scored = texts.mapInArrow(_score_batches(weight, intercept), f"id {kind}, votes int, score double")
-    out = scored.join(F.broadcast(names), "votes", "left")  # at most 3**9 rows
+    out = scored.join(F.broadcast(names), "votes", "left")  # at most 3**8 rows
     return out.select(F.col("id").alias(id_col), "posterior", "score", (F.col("score") >= threshold).alias("keep"))
 
 
 def _both_batches(posterior: dict[int, float]):
+    @releasing
     def rows(batches):
         for batch in batches:
             votes = np.concatenate([p.column(1).to_numpy() for p in _vote_batches([batch])]) if batch.num_rows else np.zeros(0, np.int64)
