@@ -7,7 +7,8 @@
    cells to several).  A shard sorts its suffixes by Larsson-Sadakane refinement in numpy: ranks by 5 bytes, doubled with
    the rank further on, re-sorting only groups that are not single.  It stops at depth `length`, where runs of
    neighbours with a common prefix of at least `length` bytes (what Kasai's pass would mark) are the groups themselves.
-3. Shards of one divided anchor are merged on the hash of each string that they hold.
+3. The shards of a divided anchor each send the sorted hashes of the distinct strings that they hold; these are merged by
+   binary search, a hash range at a time.
 """
 
 from __future__ import annotations
@@ -19,11 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratewright.llm.arrays import mix, prefix_hash, row_chunks, span_hash, text_column
+from ratewright.llm.arrays import mix, prefix_hash, releasing, row_chunks, span_hash, text_column
 from ratewright.llm.lineage import cut, shuffle_partitions
 
 GRAM = 32
 CELLS = 1000  # of one anchor in one shard
+RANGE_BITS = 4  # the strings of a divided anchor are merged in 2**4 hash ranges
 _BITS = 21  # a shard's chunk holds fewer than 2**21 bytes, so that two ranks and a place fit 63 bits
 _CELL = "id long, mark int, anchor long, cell long, first int, last int, at int"
 
@@ -46,6 +48,7 @@ def _cells(data: np.ndarray, prefix: np.ndarray, length: int):
 
 
 def _cell_batches(length: int):
+    @releasing
     def run(batches):
         for batch in batches:
             batch = batch.filter(pa.compute.is_valid(batch.column(0)))
@@ -110,58 +113,112 @@ def _runs(starts: np.ndarray, length: int) -> bytes:
 
 
 def _shard_batches(length: int):
-    """Rows by (anchor, part): anchor, cell, copies, divided, bytes.  Out: the starts settled here and, for divided anchors, each start's hash."""
+    """Rows by (anchor, part): anchor, part, cell, copies, divided, bytes.  Out: each cell's runs of repeated strings and, for the parts
+    of a divided anchor, the sorted hashes of the strings that the part holds, in RANGES ranges."""
 
     def settle(rows):
-        sizes = np.array([len(r[4]) for r in rows])
-        text = np.frombuffer(b"".join(r[4] for r in rows), np.uint8)
+        sizes = np.array([len(r[5]) for r in rows])
+        text = np.frombuffer(b"".join(r[5] for r in rows), np.uint8)
         base = np.cumsum(sizes) - sizes
         counts = np.maximum(sizes - length + 1, 0)
         owner = np.repeat(np.arange(len(rows)), counts)
         starts = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts) + base[owner]
         rank = depth_ranks(text, starts, length)
-        held = np.bincount(rank, minlength=len(text))
-        again = held[rank] > 1
-        divided = np.array([r[3] for r in rows])
-        hashes = None
-        if divided.any():
-            hashes = span_hash(prefix_hash(text), starts, starts + length).view(np.int64)
+        again = np.bincount(rank, minlength=len(text))[rank] > 1
         cuts = np.r_[0, np.cumsum(counts)]
         out = []
         for i, r in enumerate(rows):
             own = slice(cuts[i], cuts[i + 1])
-            local = starts[own] - base[i]
-            out.append((r[0], r[1], _runs(local[again[own]], length), hashes[own].tobytes() if r[3] else None))
-        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=["anchor", "cell", "runs", "hashes"])
-
+            runs = _runs((starts[own] - base[i])[again[own]], length)
+            if runs:
+                out.append((r[0], r[0], r[2], runs, None))
+        if any(r[4] for r in rows):
+            hashes = span_hash(prefix_hash(text), starts, starts + length)
+            cells = np.array([r[2] for r in rows], np.int64)
+            parts = {}
+            for i, r in enumerate(rows):
+                if r[4]:
+                    parts.setdefault((r[0], r[1]), []).append(np.arange(cuts[i], cuts[i + 1]))
+            for (anchor, _), at in parts.items():
+                at = np.concatenate(at)
+                at = at[np.unique(rank[at], return_index=True)[1]]  # one start of each string that the part holds
+                at = at[np.argsort(hashes[at], kind="stable")]
+                place = np.where(again[at], -1, starts[at] - base[owner[at]])  # -1: no answer is needed
+                edges = np.searchsorted(hashes[at] >> np.uint64(64 - RANGE_BITS), np.arange((1 << RANGE_BITS) + 1))
+                for k, (i, j) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
+                    if j > i:
+                        body = b"".join((np.int64(j - i).tobytes(), hashes[at[i:j]].tobytes(), cells[owner[at[i:j]]].tobytes(), place[i:j].astype(np.int64).tobytes()))
+                        out.append((anchor ^ (k << 20), anchor, None, None, body))
+        if out:
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=["key", "anchor", "cell", "runs", "strings"])
+
+    @releasing
     def run(batches):
         rows, size, group = [], 0, None
         for batch in batches:
-            for anchor, part, cell, copies, divided, body in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
-                if (anchor, part) != group and size > 1_000_000:
-                    yield settle(rows)
+            for row in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
+                if row[:2] != group and size > 1_000_000:
+                    yield from settle(rows)
                     rows, size = [], 0
-                group = (anchor, part)
-                rows.append((anchor, cell, copies, divided, body))
-                size += len(body)
+                group = row[:2]
+                rows.append(row)
+                size += len(row[5])
         if rows:
-            yield settle(rows)
+            yield from settle(rows)
 
     return run
 
 
-def _string_batches(batches):
-    """Divided anchors: a row for each string start of a cell."""
-    for batch in batches:
-        for anchor, cell, hashes in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-            h = np.frombuffer(hashes, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), anchor)), pa.array(np.full(len(h), cell)), pa.array(np.arange(len(h), dtype=np.int32)), pa.array(h)], names=["anchor", "cell", "start", "hash"])
+def _merge_batches(length: int):
+    """Rows by key: runs pass; the sorted hashes of one anchor's parts are merged by binary search, and starts whose string another part holds are runs too."""
+
+    def settle(anchor, bodies):
+        if len(bodies) < 2:
+            return
+        parts = []
+        for body in bodies:
+            n = int(np.frombuffer(body, np.int64, 1)[0])
+            parts.append(tuple(np.frombuffer(body, kind, n, 8 + 8 * n * i) for i, kind in enumerate((np.uint64, np.int64, np.int64))))
+        order = np.sort(np.concatenate([h for h, _, _ in parts]))
+        found: dict[int, list] = {}
+        for hashes, cells, places in parts:
+            low, high = np.searchsorted(order, hashes, "left"), np.searchsorted(order, hashes, "right")
+            hit = (high - low > 1) & (places >= 0)
+            for c in np.unique(cells[hit]):
+                found.setdefault(int(c), []).append(places[hit & (cells == c)])
+        out = [(anchor, c, _runs(np.sort(np.concatenate(x)), length)) for c, x in found.items()]
+        if out:
+            yield rows(*zip(*out, strict=True))
+
+    def rows(anchors, cells, runs):
+        return pa.RecordBatch.from_arrays([pa.array(anchors, pa.int64()), pa.array(cells, pa.int64()), pa.array(runs, pa.binary())], names=["anchor", "cell", "runs"])
+
+    @releasing
+    def run(batches):
+        group, bodies = None, []
+        for batch in batches:
+            done = pa.compute.is_valid(batch.column(3))
+            passed = batch.filter(done)
+            if passed.num_rows:
+                yield pa.RecordBatch.from_arrays([passed.column(1), passed.column(2), passed.column(3)], names=["anchor", "cell", "runs"])
+            rest = batch.filter(pa.compute.invert(done))
+            for key, anchor, body in zip(*(rest.column(i).to_pylist() for i in (0, 1, 4)), strict=True):
+                if (key, anchor) != group:
+                    if bodies:
+                        yield from settle(group[1], bodies)
+                    group, bodies = (key, anchor), []
+                bodies.append(body)
+        if bodies:
+            yield from settle(group[1], bodies)
+
+    return run
 
 
 def _body_batches(length: int):
     """Documents with the cells to be read from them: anchor, cell, ..., bytes."""
 
+    @releasing
     def run(batches):
         for batch in batches:
             wanted = batch.column(batch.num_columns - 1)
@@ -177,6 +234,7 @@ def _body_batches(length: int):
     return run
 
 
+@releasing
 def _rewrite(batches):
     for batch in batches:
         data, offs = text_column(batch.column(2))
@@ -209,8 +267,8 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str
     share), as are rows that share an id; rows with a null id are returned as they are and count for nothing.  `kept` is binary: a cut
     may fall inside a character.
     """
-    if length < 2 * GRAM:
-        raise ValueError(f"strings must have at least {2 * GRAM} bytes")
+    if not 2 * GRAM <= length <= 2000:
+        raise ValueError(f"strings must have {2 * GRAM} to 2000 bytes, so that a shard's chunk fits its packed ranks")
     n = shuffle_partitions(docs)
     mark = (F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary")) - F.lit(1 << 31)).cast("int")
     base = docs.select(F.col(id_col).cast("long").alias("id"), mark.alias("mark"), F.col(text_col).alias("text"))
@@ -219,18 +277,15 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str
     distinct = cells.groupBy("anchor", "cell").agg(F.count("*").alias("copies"), rep)
     anchors = distinct.groupBy("anchor").agg(F.count("*").alias("kinds"), F.sum("copies").alias("total")).where("total > 1")
     shared = cut(distinct.join(anchors, "anchor"))
-    parts = F.ceil(F.col("kinds") / CELLS).cast("int")
+    parts = F.ceil(F.col("kinds") / min(CELLS, 400_000 // length)).cast("int")
     several = shared.where("kinds > 1").select("rep.*", F.struct("anchor", F.pmod(F.col("cell"), parts).cast("int").alias("part"), "cell", "copies", (parts > 1).alias("divided"), F.col("rep.first").alias("first"), F.col("rep.last").alias("last")).alias("c"))
     wanted = several.groupBy("id", "mark").agg(F.collect_list("c").alias("cells"))
     bodies = base.join(wanted, ["id", "mark"], "left").mapInArrow(_body_batches(length), "anchor long, part int, cell long, copies long, divided boolean, body binary")
     shards = bodies.repartition(n, "anchor", "part").sortWithinPartitions("anchor", "part", "cell")
-    settled = cut(shards.mapInArrow(_shard_batches(length), "anchor long, cell long, runs binary, hashes binary"))
-    strings = settled.where("hashes is not null").select("anchor", "cell", "hashes").mapInArrow(_string_batches, "anchor long, cell long, start int, hash long")
-    twice = strings.groupBy("anchor", "hash").agg(F.min("cell").alias("a"), F.max("cell").alias("b")).where("a <> b").select("anchor", "hash")
-    merged = strings.join(twice, ["anchor", "hash"]).groupBy("anchor", "cell").agg(F.sort_array(F.collect_list("start")).alias("starts"))
-    packed = merged.mapInArrow(_pack_starts(length), "anchor long, cell long, runs binary")
+    settled = shards.mapInArrow(_shard_batches(length), "key long, anchor long, cell long, runs binary, strings binary")
+    merged = settled.repartition(n, "key").sortWithinPartitions("key", "anchor").mapInArrow(_merge_batches(length), "anchor long, cell long, runs binary")
     whole = shared.where("copies > 1").select("anchor", "cell", _whole(length).alias("runs"))
-    answers = settled.where("length(runs) > 0").select("anchor", "cell", "runs").unionByName(packed).unionByName(whole)
+    answers = merged.unionByName(whole)
     answers = answers.groupBy("anchor", "cell").agg(F.collect_list("runs").alias("runs"))
     spots = cells.join(answers, ["anchor", "cell"]).select("id", "mark", F.explode("runs").alias("runs"), "first")
     per_doc = spots.groupBy("id", "mark").agg(F.collect_list(F.struct("runs", "first")).alias("spots"))
@@ -238,15 +293,6 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str
     return judged.mapInArrow(_rewrite, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
 
-def _pack_starts(length: int):
-    def run(batches):
-        for batch in batches:
-            bodies = [_runs(np.asarray(s, np.int64), length) for s in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(bodies, pa.binary())], names=["anchor", "cell", "runs"])
-
-    return run
-
-
 def _whole(length: int):
     """The packed range of all of a cell's strings: [0, last - first + length) as two little-endian ints."""
     end = F.lpad(F.hex((F.col("rep.last") - F.col("rep.first") + length).cast("long")), 8, "0")
