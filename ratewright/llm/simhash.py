@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratewright.llm.arrays import min_labels, releasing, row_chunks, text_column
+from ratewright.llm.arrays import min_labels, prefix_hash, releasing, row_chunks, span_hash, text_column, words
 from ratewright.llm.components import connected_components
 from ratewright.llm.lineage import cut
 
@@ -250,3 +250,125 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ra
     kept = near_duplicates(docs, id_col, text_col, radius).where(F.col(id_col).eqNullSafe(F.col("component_id")))
     kept = kept.select(F.col(id_col).alias("_kept_id")).distinct()
     return docs.join(kept, docs[id_col].eqNullSafe(kept["_kept_id"]), "left_semi")
+
+
+# Near copies of 0.8 and more (Jaccard of five-word shingles) change a word in about 45.  That moves 64 bits of a fingerprint of
+# single words by two or three, so of four such fingerprints one very likely moves by two at most and gives the pair a key.  Long
+# texts of one language can share those too; the fingerprint of three-word shingles, which near copies change in up to ten
+# bits and other texts in about 32, verifies.
+WIDE_SEEDS, WIDE_BITS = (11, 12, 13, 14), 11
+
+
+def _wide_batches(seeds: tuple[int, ...]):
+    @releasing
+    def run(batches):
+        for batch in batches:
+            data, offs = text_column(batch.column(1))
+            for a, b in row_chunks(offs, 1 << 20):
+                texts = [data[offs[i] : offs[i + 1]].tobytes() for i in range(a, b)]
+                fps = [pa.array(f.view(np.int64)) for f in (*(simhash_words(texts, s) for s in seeds), simhash_texts(texts))]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *fps], names=["id", *(f"f{k}" for k in range(len(seeds) + 1))])
+
+    return run
+
+
+def simhash_words(texts: list[bytes], seed: int) -> np.ndarray:
+    """64-bit fingerprints over the A-Z-lower-cased words with their repeats; 0 without words."""
+    lower = [t.lower() for t in texts]
+    offs = np.r_[0, np.cumsum([len(t) for t in lower])].astype(np.int64)
+    data = np.frombuffer(b"".join(lower), np.uint8)
+    start, end, first = words(data, offs)
+    out = np.zeros(len(texts), np.uint64)
+    n = np.diff(first)
+    if len(start):
+        h = span_hash(prefix_hash(data), start, end) * np.uint64(2 * seed + 1)
+        h ^= h >> np.uint64(32)
+        h *= np.uint64(0xD6E8FEB86659FD93)
+        h ^= h >> np.uint64(32)
+        bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        rows = np.flatnonzero(n)
+        ones = np.add.reduceat(bits, first[:-1][rows], axis=0, dtype=np.int32)
+        out[rows] = np.packbits(2 * ones > n[rows, None], axis=1, bitorder="little").view("<u8").ravel()
+    return out
+
+
+def _wide_keys(batches):
+    for batch in batches:
+        node = batch.column(0).to_numpy()
+        fps = [batch.column(1 + k).to_numpy() for k in range(batch.num_columns - 1)]
+        for k, fp in enumerate(fps[:-1]):
+            key, owner = fuzzy_keys(fp.view(np.uint64))
+            yield pa.RecordBatch.from_arrays([pa.array(key | (k << 40)), pa.array(node[owner]), pa.array(fps[-1][owner])], names=["key", "node", "shingles"])
+
+
+def _wide_links(most_bits: int):
+    """Over rows (key, node, fingerprint of shingles) sorted by key: stars of links of nodes that differ in `most_bits` or fewer.
+
+    In a key of more than MAX_RUN nodes each node is compared with leaders: it joins the first that is near enough or becomes one.
+    """
+
+    def distance(f, i, j):
+        return np.bitwise_count((f[i] ^ f[j]).view(np.uint64))
+
+    def settle(key, node, f):
+        start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        size = np.diff(np.r_[start, len(key)])
+        left, right = [], []
+        small = np.flatnonzero(np.repeat((size > 1) & (size <= MAX_RUN), size))
+        k = key[small]
+        for step in range(1, MAX_RUN):
+            at = np.flatnonzero(k[step:] == k[:-step]) if step < len(k) else np.zeros(0, np.int64)
+            if not len(at):
+                break
+            i, j = small[at], small[at + step]
+            near = distance(f, i, j) <= most_bits
+            left.append(i[near])
+            right.append(j[near])
+        for s, n in zip(start[size > MAX_RUN], size[size > MAX_RUN], strict=True):
+            rest = np.arange(s, s + n)
+            while len(rest) > 1:
+                near = distance(f, rest[:1], rest) <= most_bits
+                near[0] = True
+                left.append(np.full(int(near.sum()) - 1, rest[0]))
+                right.append(rest[near][1:])
+                rest = rest[~near]
+        i, j = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right))
+        nodes, ids = np.unique(node[np.r_[i, j]], return_inverse=True)
+        root = nodes[min_labels(ids[: len(i)], ids[len(i) :], len(nodes))]
+        other = root != nodes
+        return pa.RecordBatch.from_arrays([pa.array(nodes[other]), pa.array(root[other])], names=["node", "link"])
+
+    @releasing
+    def run(batches):
+        held = None
+        for batch in batches:
+            cols = [batch.column(i).to_numpy() for i in range(batch.num_columns)]
+            held = cols if held is None else [np.r_[a, b] for a, b in zip(held, cols, strict=True)]
+            done = int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0  # the last key may go on
+            if done:
+                yield settle(*(x[:done] for x in held))
+                held = [x[done:] for x in held]
+        if held is not None and len(held[0]):
+            yield settle(*held)
+
+    return run
+
+
+def keep_one_near_copy(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_bits: int = WIDE_BITS) -> DataFrame:
+    """The rows of `docs`, all columns, without near copies of a row with a smaller id (0.8 and more of five-word shingles, nearly all of them).
+
+    Fuzzy keys of four fingerprints of single words find the pairs of which one fingerprint differs in two bits or fewer; the fingerprint
+    of three-word shingles verifies them.  Equal fingerprints are one node, so copies of any number are grouped before the join.  Wordless and null texts are
+    alike; repeats of a row that stays stay.
+    """
+    names = [f"f{k}" for k in range(len(WIDE_SEEDS) + 1)]
+    kind = docs.schema[id_col].dataType.simpleString()
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(_wide_batches(WIDE_SEEDS), f"id {kind}, " + ", ".join(f"{n} long" for n in names))
+    rows = cut(rows.withColumn("node", F.xxhash64(*names)))
+    nodes = rows.groupBy("node", *names).agg(F.min("id").alias("least"))
+    keyed = nodes.select("node", *names).mapInArrow(_wide_keys, "key long, node long, shingles long")
+    links = keyed.repartition("key").sortWithinPartitions("key").mapInArrow(_wide_links(most_bits), "node long, link long")
+    roots = connected_components(links, "node", "link")
+    named = cut(nodes.select("node", "least").join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root")))
+    kept = named.groupBy("root").agg(F.min("least").alias("_kept_id")).select("_kept_id").distinct()
+    return docs.join(kept, docs[id_col].eqNullSafe(kept["_kept_id"]), "left_semi")

@@ -324,6 +324,33 @@ def test_golay_links_every_near_pair(spark, most, monkeypatch):
     assert sorted(map(sorted, ours.values())) == sorted(map(sorted, theirs.values()))
 
 
+@pytest.mark.parametrize("most", [256, 3])
+def test_near_copies(spark, most, monkeypatch):
+    monkeypatch.setattr(simhash, "MAX_RUN", most)
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefgiklmnorstu") for _ in range(rng.randint(2, 8))) for _ in range(3000)]
+    rows, group = [], {}
+    for g in range(40):
+        base = [rng.choice(words) for _ in range(rng.randint(90, 400))]
+        for _ in range(rng.randint(1, 5)):
+            text = list(base)
+            for _ in range(rng.randint(0, len(base) // 90)):
+                text[rng.randrange(len(text))] = "changed"
+            group[len(rows)] = g
+            rows.append((len(rows), " ".join(text), "x"))
+    rows += [(900, None, "x"), (901, "", "x"), (902, "one", "x"), (903, "one two", "x"), (904, "two one", "x"), (904, "two one", "x")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, node string").repartition(3)
+    kept = simhash.keep_one_near_copy(d)
+    got = Counter(r.doc_id for r in kept.collect())
+    assert kept.columns == d.columns and all(n == (2 if i == 904 else 1) for i, n in got.items())
+    first = {}
+    for i, g in group.items():
+        first.setdefault(g, i)
+    assert set(first.values()) <= set(got) and {900, 902, 903, 904} <= set(got) and 901 not in got
+    assert len([i for i in got if i < 900]) <= len(first) + 1
+    assert simhash.keep_one_near_copy(d.limit(0)).count() == 0
+
+
 def test_golay_code_is_perfect():
     g = simhash.golay()
     assert len({*map(int, g.leaders[:, 0])}) == 2048 and max(int(x).bit_count() for x in g.leaders[:, 0]) == 3
