@@ -154,7 +154,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         share = (n.get(1, 0) + 0.5) / (sum(n.values()) + 1) if n else 0.0
         return ToxicityModel(np.zeros(0, np.int64), np.zeros(0), float(np.log((share + 1e-9) / (1 - share + 1e-9))))
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    counted = texts.join(known, "_id").select("_label", "_text").mapInArrow(_count_batches, "range int, body binary")
+    # labels grow with the texts, so they are never broadcast; hashing them spares sorting the texts
+    counted = texts.join(known.hint("shuffle_hash"), "_id").select("_label", "_text").mapInArrow(_count_batches, "range int, body binary")
     ratios = counted.repartition(min(RANGES, shuffle_partitions(docs)), "range").mapInArrow(_ratio_batches(n[0], n[1], SMOOTHING), "gram long, ratio double").toPandas().sort_values("gram")
     gram, ratio = ratios["gram"].to_numpy(), ratios["ratio"].to_numpy()
     chosen = [known.where(F.col("_label") == y).orderBy(F.xxhash64("_id"), "_id").limit(sample) for y in (0, 1)]
