@@ -211,7 +211,9 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
     codes = counted["votes"].to_numpy(np.int64)
     good, _, _ = label_model(_unpack_votes(codes), counted["count"].to_numpy(float)) if len(codes) else (np.zeros(0), None, 0.0)
     names = docs.sparkSession.createDataFrame([(int(c), float(p)) for c, p in zip(codes, good, strict=True)], "votes int, posterior double")
-    some = texts.withColumn("_h", F.xxhash64("id", "text")).orderBy("_h").limit(sample).drop("_h")
+    h = F.xxhash64("id", "text")  # the sample's largest hash is found without the texts
+    last = texts.select(h.alias("_h")).orderBy("_h").limit(sample).agg(F.max("_h")).first()[0]
+    some = texts.where(h <= F.lit(last)) if last is not None else texts.limit(0)
     weight, intercept = np.zeros(1 << BITS), 0.0
     if len(codes):
         both = some.mapInArrow(_both_batches(dict(zip(codes.tolist(), good.tolist(), strict=True))), "good double, text string")
