@@ -27,7 +27,7 @@ GRAM = 32
 CELLS = 1000  # of one anchor in one shard
 RANGE_BITS = 4  # the strings of a divided anchor are merged in 2**4 hash ranges
 _BITS = 21  # a shard's chunk holds fewer than 2**21 bytes, so that two ranks and a place fit 63 bits
-_CELL = "id long, mark int, anchor long, cell long, first int, last int, at int"
+_CELL = "id long, mark int, anchor long, cell long, first int, last int, times int, known boolean, runs binary"
 
 
 def _cells(data: np.ndarray, prefix: np.ndarray, length: int):
@@ -48,6 +48,9 @@ def _cells(data: np.ndarray, prefix: np.ndarray, length: int):
 
 
 def _cell_batches(length: int):
+    """Cells of a partition's texts.  A cell that a chunk of texts holds more than once is settled at once: it is sent on a single time,
+    with its `times` and as `known`, and the bytes that it covers go with its documents, one row (without an anchor) each."""
+
     @releasing
     def run(batches):
         for batch in batches:
@@ -60,16 +63,44 @@ def _cell_batches(length: int):
                     if offs[i + 1] - offs[i] >= length:
                         text = data[offs[i] : offs[i + 1]]
                         cells = _cells(text, prefix_hash(text), length)
-                        out.append((np.full(len(cells[0]), ids[i]), np.full(len(cells[0]), marks[i]), *cells))
-                if out:
-                    cols = [np.concatenate(c) for c in zip(*out, strict=True)]
-                    kinds = (np.int64, np.int32, None, None, np.int32, np.int32, np.int32)
-                    cols = [c.view(np.int64) if k is None else c.astype(k) for c, k in zip(cols, kinds, strict=True)]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["id", "mark", "anchor", "cell", "first", "last", "at"])
+                        out.append((np.full(len(cells[0]), i), *cells[:4]))
+                if not out:
+                    continue
+                row, anchor, cell, first, last = (np.concatenate(c) for c in zip(*out, strict=True))
+                _, place, group, count = np.unique(cell ^ mix(anchor), return_index=True, return_inverse=True, return_counts=True)
+                times, known = count[group], count[group] > 1
+                sent = ~known
+                sent[place] = True
+                settled = []
+                at = np.flatnonzero(known)
+                for i in np.unique(row[at]):
+                    own = at[row[at] == i] if len(at) < 1000 else at[np.searchsorted(row[at], i) : np.searchsorted(row[at], i, side="right")]
+                    settled.append((ids[i], marks[i], _merged(first[own], last[own] + length)))
+                n, m = int(sent.sum()), len(settled)
+                none = lambda k, t: pa.nulls(k, t)
+                columns = {
+                    "id": pa.array(np.r_[ids[row[sent]], np.array([x[0] for x in settled], np.int64)]),
+                    "mark": pa.array(np.r_[marks[row[sent]], np.array([x[1] for x in settled], np.int32)].astype(np.int32)),
+                    "anchor": pa.chunked_array([pa.array(anchor[sent].view(np.int64)), none(m, pa.int64())]).combine_chunks(),
+                    "cell": pa.chunked_array([pa.array(cell[sent].view(np.int64)), none(m, pa.int64())]).combine_chunks(),
+                    "first": pa.array(np.r_[first[sent], np.zeros(m, np.int64)].astype(np.int32)),
+                    "last": pa.array(np.r_[last[sent], np.zeros(m, np.int64)].astype(np.int32)),
+                    "times": pa.array(np.r_[times[sent], np.zeros(m, np.int64)].astype(np.int32)),
+                    "known": pa.array(np.r_[known[sent], np.ones(m, bool)]),
+                    "runs": pa.chunked_array([none(n, pa.binary()), pa.array([x[2] for x in settled], pa.binary())]).combine_chunks(),
+                }
+                yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
     return run
 
 
+def _merged(start: np.ndarray, end: np.ndarray) -> bytes:
+    """Ranges in order of their starts as packed ranges that don't touch."""
+    end = np.maximum.accumulate(end)
+    fresh = np.r_[True, start[1:] > end[:-1]]
+    return np.stack([start[fresh], end[np.r_[fresh[1:], True]]], axis=1).astype(np.int32).tobytes()
+
+
 def depth_ranks(text: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
     """Ranks of the suffixes at `starts`, equal just where their first `length` bytes are: Larsson-Sadakane refinement stopped at that depth.
 
@@ -274,7 +305,7 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str
     base = docs.select(F.col(id_col).cast("long").alias("id"), mark.alias("mark"), F.col(text_col).alias("text"))
     cells = cut(base.mapInArrow(_cell_batches(length), _CELL))
     rep = F.min(F.struct("id", "mark", "first", "last")).alias("rep")
-    distinct = cells.groupBy("anchor", "cell").agg(F.count("*").alias("copies"), rep)
+    distinct = cells.where("anchor is not null").groupBy("anchor", "cell").agg(F.sum("times").alias("copies"), rep)
     anchors = distinct.groupBy("anchor").agg(F.count("*").alias("kinds"), F.sum("copies").alias("total")).where("total > 1")
     shared = cut(distinct.join(anchors, "anchor"))
     parts = F.ceil(F.col("kinds") / min(CELLS, 400_000 // length)).cast("int")
@@ -287,7 +318,8 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str
     whole = shared.where("copies > 1").select("anchor", "cell", _whole(length).alias("runs"))
     answers = merged.unionByName(whole)
     answers = answers.groupBy("anchor", "cell").agg(F.collect_list("runs").alias("runs"))
-    spots = cells.join(answers, ["anchor", "cell"]).select("id", "mark", F.explode("runs").alias("runs"), "first")
+    asked = cells.where("not known").drop("runs").join(answers, ["anchor", "cell"])
+    spots = asked.select("id", "mark", F.explode("runs").alias("runs"), "first").unionByName(cells.where("anchor is null").select("id", "mark", "runs", "first"))
     per_doc = spots.groupBy("id", "mark").agg(F.collect_list(F.struct("runs", "first")).alias("spots"))
     judged = base.join(per_doc, ["id", "mark"], "left")
     return judged.mapInArrow(_rewrite, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
