@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratewright.llm.arrays import min_labels, prefix_hash, releasing, row_chunks, span_hash, text_column, words
+from ratewright.llm.arrays import min_labels, mix, prefix_hash, releasing, row_chunks, span_hash, text_column, words
 from ratewright.llm.components import connected_components
 from ratewright.llm.lineage import cut
 
@@ -253,9 +253,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ra
 
 
 # Near copies of 0.8 and more (Jaccard of five-word shingles) change a word in about 45.  That moves 64 bits of a fingerprint of
-# single words by two or three, so of four such fingerprints one very likely moves by two at most and gives the pair a key.  Long
-# texts of one language can share those too; the fingerprint of three-word shingles, which near copies change in up to ten
-# bits and other texts in about 32, verifies.
+# single words by about three, so of four such fingerprints one likely moves by two at most and gives the pair a key.  The
+# fingerprint of three-word shingles, which near copies change in up to ten bits and other texts in about 32, verifies.
 WIDE_SEEDS, WIDE_BITS = (11, 12, 13, 14), 11
 
 
@@ -266,29 +265,39 @@ def _wide_batches(seeds: tuple[int, ...]):
             data, offs = text_column(batch.column(1))
             for a, b in row_chunks(offs, 1 << 20):
                 texts = [data[offs[i] : offs[i + 1]].tobytes() for i in range(a, b)]
-                fps = [pa.array(f.view(np.int64)) for f in (*(simhash_words(texts, s) for s in seeds), simhash_texts(texts))]
+                fps = [pa.array(f.view(np.int64)) for f in (*simhash_words(texts, seeds), simhash_texts(texts))]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *fps], names=["id", *(f"f{k}" for k in range(len(seeds) + 1))])
 
     return run
 
 
-def simhash_words(texts: list[bytes], seed: int) -> np.ndarray:
-    """64-bit fingerprints over the A-Z-lower-cased words with their repeats; 0 without words."""
+def simhash_words(texts: list[bytes], seeds: tuple[int, ...], most: int = 3) -> list[np.ndarray]:
+    """For each seed 64-bit fingerprints over the A-Z-lower-cased words; 0 without words.
+
+    A word counts `most` times at most, or the words that every text of a language repeats would make long texts alike.
+    """
     lower = [t.lower() for t in texts]
     offs = np.r_[0, np.cumsum([len(t) for t in lower])].astype(np.int64)
     data = np.frombuffer(b"".join(lower), np.uint8)
     start, end, first = words(data, offs)
-    out = np.zeros(len(texts), np.uint64)
-    n = np.diff(first)
-    if len(start):
-        h = span_hash(prefix_hash(data), start, end) * np.uint64(2 * seed + 1)
-        h ^= h >> np.uint64(32)
-        h *= np.uint64(0xD6E8FEB86659FD93)
-        h ^= h >> np.uint64(32)
-        bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        rows = np.flatnonzero(n)
-        ones = np.add.reduceat(bits, first[:-1][rows], axis=0, dtype=np.int32)
-        out[rows] = np.packbits(2 * ones > n[rows, None], axis=1, bitorder="little").view("<u8").ravel()
+    out = [np.zeros(len(texts), np.uint64) for _ in seeds]
+    if not len(start):
+        return out
+    row = np.repeat(np.arange(len(texts)), np.diff(first))
+    h = span_hash(prefix_hash(data), start, end)
+    keyed = h ^ mix(row.astype(np.uint64) + np.uint64(1))
+    order = np.argsort(keyed, kind="stable")
+    new = np.flatnonzero(np.r_[True, keyed[order[1:]] != keyed[order[:-1]]])
+    place = np.arange(len(order)) - np.repeat(new, np.diff(np.r_[new, len(order)]))
+    kept = np.zeros(len(h), bool)
+    kept[order[place < most]] = True
+    h, row = h[kept], row[kept]
+    at = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
+    n = np.diff(np.r_[at, len(row)])
+    for fp, seed in zip(out, seeds, strict=True):
+        bits = np.unpackbits(mix(h * np.uint64(2 * seed + 1)).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        ones = np.add.reduceat(bits, at, axis=0, dtype=np.int32)
+        fp[row[at]] = np.packbits(2 * ones > n[:, None], axis=1, bitorder="little").view("<u8").ravel()
     return out
 
 
