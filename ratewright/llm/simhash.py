@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratewright.llm.arrays import min_labels, mix, prefix_hash, releasing, row_chunks, span_hash, text_column, words
+from ratewright.llm.arrays import inside, min_labels, mix, prefix_hash, releasing, row_chunks, span_hash, text_column, window_hash, words
 from ratewright.llm.components import connected_components
 from ratewright.llm.lineage import cut
 
@@ -252,132 +252,152 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ra
     return docs.join(kept, docs[id_col].eqNullSafe(kept["_kept_id"]), "left_semi")
 
 
-# Near copies of 0.8 and more (Jaccard of five-word shingles) change a word in about 45.  That moves 64 bits of a fingerprint of
-# single words by about three, so of four such fingerprints one likely moves by two at most and gives the pair a key.  The
-# fingerprint of three-word shingles, which near copies change in up to ten bits and other texts in about 32, verifies.
-WIDE_SEEDS, WIDE_BITS = (11, 12, 13, 14), 11
+# Near copies are pairs whose sets of five-word shingles have a Jaccard likeness of LIKENESS or more.  A minimum of a hash over the
+# set is equal in both with just that chance, however the texts were edited, so of BANDS keys of ROWS minima a pair at 0.8 shares
+# none with a chance of (1 - 0.8**3)**21 = 3e-7.  A pair that shares a key is judged by its sets.
+SHINGLE, LIKENESS = 5, 0.8
+BANDS, ROWS = 21, 3
+LEAST_ALIKE = 32  # of the BANDS * ROWS minima; fewer are equal at LIKENESS with a chance of 1e-7
+_MINIMA = np.random.Generator(np.random.PCG64(20240301)).integers(1 << 62, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 32
 
 
-def _wide_batches(seeds: tuple[int, ...]):
-    @releasing
-    def run(batches):
-        for batch in batches:
-            data, offs = text_column(batch.column(1))
-            for a, b in row_chunks(offs, 1 << 20):
-                texts = [data[offs[i] : offs[i + 1]].tobytes() for i in range(a, b)]
-                fps = [pa.array(f.view(np.int64)) for f in (*simhash_words(texts, seeds), simhash_texts(texts))]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *fps], names=["id", *(f"f{k}" for k in range(len(seeds) + 1))])
-
-    return run
-
-
-def simhash_words(texts: list[bytes], seeds: tuple[int, ...], most: int = 3) -> list[np.ndarray]:
-    """For each seed 64-bit fingerprints over the A-Z-lower-cased words; 0 without words.
-
-    A word counts `most` times at most, or the words that every text of a language repeats would make long texts alike.
-    """
-    lower = [t.lower() for t in texts]
-    offs = np.r_[0, np.cumsum([len(t) for t in lower])].astype(np.int64)
-    data = np.frombuffer(b"".join(lower), np.uint8)
-    start, end, first = words(data, offs)
-    out = [np.zeros(len(texts), np.uint64) for _ in seeds]
-    if not len(start):
-        return out
-    row = np.repeat(np.arange(len(texts)), np.diff(first))
-    h = span_hash(prefix_hash(data), start, end)
-    keyed = h ^ mix(row.astype(np.uint64) + np.uint64(1))
-    order = np.argsort(keyed, kind="stable")
-    new = np.flatnonzero(np.r_[True, keyed[order[1:]] != keyed[order[:-1]]])
-    place = np.arange(len(order)) - np.repeat(new, np.diff(np.r_[new, len(order)]))
-    kept = np.zeros(len(h), bool)
-    kept[order[place < most]] = True
-    h, row = h[kept], row[kept]
-    at = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
-    n = np.diff(np.r_[at, len(row)])
-    for fp, seed in zip(out, seeds, strict=True):
-        bits = np.unpackbits(mix(h * np.uint64(2 * seed + 1)).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        ones = np.add.reduceat(bits, at, axis=0, dtype=np.int32)
-        fp[row[at]] = np.packbits(2 * ones > n[:, None], axis=1, bitorder="little").view("<u8").ravel()
-    return out
-
-
-def _wide_keys(batches):
-    for batch in batches:
-        node = batch.column(0).to_numpy()
-        fps = [batch.column(1 + k).to_numpy() for k in range(batch.num_columns - 1)]
-        for k, fp in enumerate(fps[:-1]):
-            key, owner = fuzzy_keys(fp.view(np.uint64))
-            yield pa.RecordBatch.from_arrays([pa.array(key | (k << 40)), pa.array(node[owner]), pa.array(fps[-1][owner])], names=["key", "node", "shingles"])
-
-
-def _wide_links(most_bits: int):
-    """Over rows (key, node, fingerprint of shingles) sorted by key: stars of links of nodes that differ in `most_bits` or fewer.
+def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each row the sorted 32-bit hashes of its distinct shingles of A-Z-lower-cased words, and the first of each row (n rows + 1 entries).
 
-    In a key of more than MAX_RUN nodes each node is compared with leaders: it joins the first that is near enough or becomes one.
+    One to four words are one shingle; wordless rows have none.
     """
+    start, end, first = words(data, offsets)
+    n = np.diff(first)
+    h = span_hash(prefix_hash(_LOWER[data]), start, end) if len(start) else np.zeros(0, np.uint64)
+    at, row = inside(first, SHINGLE)
+    rows, hashes = [row], [window_hash(h, SHINGLE)[at] if len(at) else np.zeros(0, np.uint64)]
+    for length in range(1, SHINGLE):
+        short = np.flatnonzero(n == length)
+        if len(short):
+            rows.append(short)
+            hashes.append(window_hash(h, length)[first[short]])
+    keyed = np.unique((np.concatenate(rows).astype(np.uint64) << np.uint64(32)) | (np.concatenate(hashes) >> np.uint64(32)))
+    return keyed.astype(np.uint32), np.searchsorted(keyed, np.arange(len(n) + 1, dtype=np.uint64) << np.uint64(32))
+
+
+def minima(items: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """BANDS * ROWS minima of hashes of each row's items; every row has one at least."""
+    h = mix(items.astype(np.uint64) + np.uint64(1))
+    return np.stack([np.minimum.reduceat(h * m, first[:-1]) for m in _MINIMA], axis=1)
 
-    def distance(f, i, j):
-        return np.bitwise_count((f[i] ^ f[j]).view(np.uint64))
 
-    def settle(key, node, f):
-        start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        size = np.diff(np.r_[start, len(key)])
-        left, right = [], []
-        small = np.flatnonzero(np.repeat((size > 1) & (size <= MAX_RUN), size))
-        k = key[small]
-        for step in range(1, MAX_RUN):
-            at = np.flatnonzero(k[step:] == k[:-step]) if step < len(k) else np.zeros(0, np.int64)
-            if not len(at):
-                break
-            i, j = small[at], small[at + step]
-            near = distance(f, i, j) <= most_bits
-            left.append(i[near])
-            right.append(j[near])
-        for s, n in zip(start[size > MAX_RUN], size[size > MAX_RUN], strict=True):
-            rest = np.arange(s, s + n)
-            while len(rest) > 1:
-                near = distance(f, rest[:1], rest) <= most_bits
-                near[0] = True
-                left.append(np.full(int(near.sum()) - 1, rest[0]))
-                right.append(rest[near][1:])
-                rest = rest[~near]
-        i, j = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right))
-        nodes, ids = np.unique(node[np.r_[i, j]], return_inverse=True)
-        root = nodes[min_labels(ids[: len(i)], ids[len(i) :], len(nodes))]
-        other = root != nodes
-        return pa.RecordBatch.from_arrays([pa.array(nodes[other]), pa.array(root[other])], names=["node", "link"])
+@releasing
+def _set_batches(batches):
+    """(id, text) to (id, node, bands, sketch, items): node names the set, items are its packed hashes."""
+    for batch in batches:
+        data, offs = text_column(batch.column(1))
+        for a, b in row_chunks(offs, 1 << 20):
+            items, first = shingle_sets(data[offs[a] : offs[b]], offs[a : b + 1] - offs[a])
+            n = np.diff(first)
+            full = np.flatnonzero(n)
+            node, bands, sketch = np.zeros(b - a, np.int64), [[]] * (b - a), [b""] * (b - a)
+            if len(full):
+                m = mix(minima(items, np.r_[first[:-1][full], len(items)]))
+                total = np.add.reduceat(mix(items.astype(np.uint64) + np.uint64(7)), first[:-1][full])
+                node[full] = mix(total + n[full].astype(np.uint64)).view(np.int64)
+                keys = np.stack([window_hash(m[:, k : k + ROWS].ravel(), ROWS)[::ROWS] + np.uint64(k) for k in range(0, BANDS * ROWS, ROWS)], axis=1)
+                low = m.astype(np.uint8)
+                for i, k, s in zip(full.tolist(), mix(keys).view(np.int64), low, strict=True):
+                    bands[i], sketch[i] = k, s.tobytes()
+            packed = [items[i:j].tobytes() for i, j in zip(first[:-1], first[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).slice(a, b - a), pa.array(node), pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.binary()), pa.array(packed, pa.binary())],
+                names=["id", "node", "bands", "sketch", "items"],
+            )
+
+
+def _alike(least: float):
+    """Rows (a, b, items of a, items of b): the pairs whose sets are alike."""
 
     @releasing
     def run(batches):
-        held = None
         for batch in batches:
-            cols = [batch.column(i).to_numpy() for i in range(batch.num_columns)]
-            held = cols if held is None else [np.r_[a, b] for a, b in zip(held, cols, strict=True)]
-            done = int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0  # the last key may go on
-            if done:
-                yield settle(*(x[:done] for x in held))
-                held = [x[done:] for x in held]
-        if held is not None and len(held[0]):
-            yield settle(*held)
+            keep = np.zeros(batch.num_rows, bool)
+            for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
+                x, y = (np.frombuffer(v.as_buffer(), np.uint32) for v in (x, y))
+                if min(len(x), len(y)) < least * max(len(x), len(y)):
+                    continue
+                both = np.sort(np.concatenate([x, y]), kind="stable")
+                same = int((both[1:] == both[:-1]).sum())
+                keep[i] = same >= least * (len(both) - same)
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(keep)), batch.column(1).filter(pa.array(keep))], names=["node", "link"])
 
     return run
 
 
-def keep_one_near_copy(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_bits: int = WIDE_BITS) -> DataFrame:
-    """The rows of `docs`, all columns, without near copies of a row with a smaller id (0.8 and more of five-word shingles, nearly all of them).
+@releasing
+def _open_pairs(batches):
+    """Rows (key, node, root, sketch) sorted by key: the pairs of nodes of a key that have different roots and enough equal minima."""
 
-    Fuzzy keys of four fingerprints of single words find the pairs of which one fingerprint differs in two bits or fewer; the fingerprint
-    of three-word shingles verifies them.  Equal fingerprints are one node, so copies of any number are grouped before the join.  Wordless and null texts are
-    alike; repeats of a row that stays stay.
+    def settle(key, node, root, sketch):
+        start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        for s, e in zip(start, np.r_[start[1:], len(key)], strict=True):
+            for i in range(s, e, 64):  # a block of rows at a time
+                block = slice(i, min(i + 64, e))
+                for j in range(i, e, 4096):
+                    other = slice(j, min(j + 4096, e))
+                    far = root[block, None] != root[None, other]
+                    if not far.any():
+                        continue
+                    x, y = np.nonzero(far & (node[block, None] < node[None, other]) | far & (np.arange(j, other.stop)[None, :] >= block.stop))
+                    x, y = x + i, y + j
+                    for at in range(0, len(x), 1 << 16):
+                        u, v = x[at : at + (1 << 16)], y[at : at + (1 << 16)]
+                        near = (sketch[u] == sketch[v]).sum(axis=1) >= LEAST_ALIKE
+                        a, b = node[u[near]], node[v[near]]
+                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    held = None
+    for batch in batches:
+        cols = [batch.column(i).to_numpy() for i in range(3)]
+        cols.append(np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(-1, BANDS * ROWS))
+        held = cols if held is None else [np.concatenate([a, b]) for a, b in zip(held, cols, strict=True)]
+        done = int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0  # the last key may go on
+        if done:
+            yield from settle(*(x[:done] for x in held))
+            held = [x[done:] for x in held]
+    if held is not None and len(held[0]):
+        yield from settle(*held)
+
+
+def _judged(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
+    """(node, link): the pairs (a, b) whose sets are alike."""
+    named = pairs.join(nodes.select(F.col("node").alias("b"), F.col("items").alias("_b")), "b")
+    named = named.join(nodes.select(F.col("node").alias("a"), F.col("items").alias("_a")), "a")
+    return named.select("a", "b", "_a", "_b").mapInArrow(_alike(least), "node long, link long")
+
+
+def keep_one_near_copy(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = LIKENESS) -> DataFrame:
+    """The rows of `docs`, all columns, without near copies of a row with a smaller id: of each group linked by pairs of a Jaccard likeness
+    of `least` (LIKENESS or more) of five-word shingles the smallest id stays.
+
+    Equal sets are one node, so copies of any number are grouped before the join.  In each key all nodes are first judged against the
+    smallest one, which settles groups of near copies with rows in proportion; then nodes of one key that are still in different
+    groups are judged pair by pair, whatever the key's size.  Wordless and null texts are alike; repeats of a row that stays stay.
     """
-    names = [f"f{k}" for k in range(len(WIDE_SEEDS) + 1)]
+    if least < LIKENESS:
+        raise ValueError(f"the keys find pairs of a likeness of {LIKENESS} and more")
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(_wide_batches(WIDE_SEEDS), f"id {kind}, " + ", ".join(f"{n} long" for n in names))
-    rows = cut(rows.withColumn("node", F.xxhash64(*names)))
-    nodes = rows.groupBy("node", *names).agg(F.min("id").alias("least"))
-    keyed = nodes.select("node", *names).mapInArrow(_wide_keys, "key long, node long, shingles long")
-    links = keyed.repartition("key").sortWithinPartitions("key").mapInArrow(_wide_links(most_bits), "node long, link long")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(_set_batches, f"id {kind}, node long, bands array<long>, sketch binary, items binary")
+    nodes = cut(rows.groupBy("node").agg(F.min("id").alias("least"), *(F.any_value(c).alias(c) for c in ("bands", "sketch", "items"))))
+    keyed = nodes.select("node", F.explode("bands").alias("key"))
+    groups = keyed.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1")
+    keyed = cut(keyed.join(groups, "key"))
+    links = cut(_judged(keyed.where("node <> a").select("a", F.col("node").alias("b")).distinct(), nodes, least))
+    roots = connected_components(links, "node", "link")
+    rest = keyed.where("n > 2").select("key", "node").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+    several = rest.groupBy("key").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).where("_low <> _high").select("key")
+    rest = rest.join(several, "key").join(nodes.select("node", "sketch"), "node").select("key", "node", "root", "sketch")
+    pairs = rest.repartition("key").sortWithinPartitions("key").mapInArrow(_open_pairs, "a long, b long").distinct()
+    links = cut(links.unionByName(_judged(pairs, nodes, least)))
     roots = connected_components(links, "node", "link")
-    named = cut(nodes.select("node", "least").join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root")))
+    named = nodes.select("node", "least").join(roots, "node", "left").select("least", F.coalesce("root", "node").alias("root"))
     kept = named.groupBy("root").agg(F.min("least").alias("_kept_id")).select("_kept_id").distinct()
     return docs.join(kept, docs[id_col].eqNullSafe(kept["_kept_id"]), "left_semi")

@@ -351,6 +351,36 @@ def test_near_copies(spark, most, monkeypatch):
     assert simhash.keep_one_near_copy(d.limit(0)).count() == 0
 
 
+def likeness(a, b):
+    a, b = ({tuple(x[i : i + 5]) for i in range(len(x) - 4)} for x in (a.split(), b.split()))
+    return len(a & b) / len(a | b)
+
+
+def test_near_copies_with_blocks_added_or_cut(spark):
+    rng = random.Random(21)
+    words = ["".join(rng.choice("abcdefgiklmnorstu") for _ in range(rng.randint(2, 8))) for _ in range(3000)]
+    prose = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    rows, alike = [], {}
+    for g in range(120):
+        base, share = prose(rng.randint(100, 400)), rng.uniform(0.02, 0.28)
+        n = int(len(base.split()) * share)
+        edited = (f"{base} {prose(n)}", " ".join(base.split()[: -n - 1]), f"{prose(n)} {base}")[g % 3]
+        rows += [(2 * g, base), (2 * g + 1, edited)]
+        alike[2 * g + 1] = likeness(base, edited) >= 0.8
+    kept = {r.doc_id for r in simhash.keep_one_near_copy(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert 30 < sum(alike.values()) < 110 and kept == {i for i, _ in rows if not alike.get(i, False)}
+
+
+def test_near_copies_in_a_large_key_are_all_compared(spark):
+    rng = random.Random(22)
+    word = lambda: "".join(rng.choice("abcdefgiklmnorstu") for _ in range(8))
+    stem = " ".join(word() for _ in range(100))
+    tails = [" ".join(word() for _ in range(40)) for _ in range(100)]  # likeness of two families about 0.55
+    rows = [(3 * f + k, f"{stem} {t} {' '.join(word() for _ in range(k))}") for f, t in enumerate(tails) for k in range(3)]
+    kept = {r.doc_id for r in simhash.keep_one_near_copy(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert kept == set(range(0, 300, 3))
+
+
 def test_golay_code_is_perfect():
     g = simhash.golay()
     assert len({*map(int, g.leaders[:, 0])}) == 2048 and max(int(x).bit_count() for x in g.leaders[:, 0]) == 3
