@@ -1,14 +1,17 @@
 """Benchmark decontamination through templates.
 
-Words are reduced to a template: lower case without outer punctuation, and a typed placeholder for numbers, names and
-units.  Windows of `WINDOW` template words are hash-joined between documents and benchmark items; matches on one diagonal
-(document position minus item position) are one occurrence, whose slots must be filled consistently: each item value by one
-document value of the same type and the other way round.  So a question with other numbers or names is found, and a chance
-agreement of placeholders is not.
+Words are reduced to a template: lower case without outer punctuation, and a typed placeholder for units and for each run of
+numbers or of names.  Windows of `WINDOW` template words are hash-joined between documents and benchmark items; a window with
+too few plain words is joined by its values instead, so it must be there verbatim.  Matches on diagonals (document position minus
+item position) that differ by the item's length at most are one occurrence.  Its slots must be filled consistently: each item
+value by one document value of the same type and the other way round; windows of other slots don't count.  So a question with
+other numbers or names is found, and a chance agreement of placeholders is not.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -17,7 +20,7 @@ from pyspark.sql import functions as F
 from ratewright.llm.arrays import inside, mix, prefix_hash, releasing, row_chunks, span_hash, text_column, window_hash, words
 
 WINDOW = 8
-LEAST_WORDS = 4  # plain words that a window needs; items with fewer template words than this are not searched
+LEAST_WORDS = 4  # plain words that a window needs to be found by its template; others are found verbatim
 COVERAGE, LONG_RUN = 0.5, 20  # an occurrence holds that share of the item's words, or that many
 SMALL_BENCHMARK = 32_000_000  # bytes of benchmark text up to which its window hashes are sent to every task
 UNITS = "kg g mg km m cm mm mi ft lb oz l ml h hr hrs min mins s sec secs hour hours minute minutes second seconds day days week weeks month months year years meter meters metre metres kilometer kilometers mile miles foot feet inch inches gram grams kilogram kilograms pound pounds ounce ounces liter liters litre litres dollar dollars euro euros cent cents percent degree degrees"
@@ -43,11 +46,13 @@ _UNIT_HASHES = np.sort(_hash_words(UNITS))
 
 
 def template(data: np.ndarray, offsets: np.ndarray):
-    """Of the words that hold a letter or digit: template hash, value hash, whether it is a slot; and each row's first word."""
+    """Of the template's words: hash, value hash, whether it is a slot, place of the first word that it stands for (one place more than
+    words); and each row's first word.  Words without a letter or digit don't count; a run of numbers or of names in a sentence is one word.
+    """
     start, end, first = words(data, offsets)
     if not len(start):
         empty = np.zeros(0, np.uint64)
-        return empty, empty, np.zeros(0, bool), first
+        return empty, empty, np.zeros(0, bool), np.zeros(1, np.int64), first
     solid = np.flatnonzero(_ALNUM[data])
     low, high = np.searchsorted(solid, start), np.searchsorted(solid, end)
     keep = low < high
@@ -56,6 +61,7 @@ def template(data: np.ndarray, offsets: np.ndarray):
     new_sentence[first[:-1][first[:-1] < len(start)]] = True
     newline = np.r_[0, np.cumsum(data == 0x0A)]
     new_sentence[1:] |= newline[start[1:]] > newline[end[:-1]]
+    sentence = np.cumsum(new_sentence)[keep]
     start, end = solid[low[keep]], solid[high[keep] - 1] + 1
     value = span_hash(prefix_hash(_LOWER[data]), start, end)
     digits = np.r_[0, np.cumsum(_DIGIT[data])]
@@ -66,20 +72,28 @@ def template(data: np.ndarray, offsets: np.ndarray):
     out[capital] = _NAME
     out[unit] = _UNIT
     out[number] = _NUMBER
-    return out, value, capital | unit | number, row_first
+    run = np.r_[False, (out[1:] == out[:-1]) & (number | (capital & ~unit))[1:] & (sentence[1:] == sentence[:-1])]
+    place = np.r_[np.flatnonzero(~run), len(out)]
+    if run.any():
+        at = np.maximum.accumulate(np.where(run, 0, np.arange(len(out))))
+        sums = np.add.reduceat(mix(value + (np.arange(len(out)) - at).astype(np.uint64)), place[:-1])
+        value = np.where(np.diff(place) > 1, mix(sums), value[place[:-1]])
+    return out[place[:-1]], value, (capital | unit | number)[place[:-1]], place, np.searchsorted(place, row_first)
 
 
-def _windows(shape, slot, first, length):
-    """Numbers, rows and hashes of the windows with enough plain words."""
+def _windows(shape, value, slot, first, length):
+    """Numbers, rows and hashes of the windows: of their templates, or of their values where there are too few plain words."""
     at, row = inside(first, length)
+    if not len(at):
+        return at, row, np.zeros(0, np.uint64)
     plain = np.r_[0, np.cumsum(~slot)]
     enough = plain[at + length] - plain[at] >= min(LEAST_WORDS, length)
-    at, row = at[enough], row[enough]
-    return at, row, window_hash(shape, length)[at] if len(at) else np.zeros(0, np.uint64)
+    return at, row, np.where(enough, window_hash(shape, length)[at], window_hash(value, length, 1)[at])
 
 
 def _window_batches(lengths: list[int], wanted: np.ndarray | None):
-    """Per window: id, mark, position, hash, values of its slots, template words of the row.  `wanted`: sorted hashes, else all."""
+    """Per window: id, mark, position, hash, values of its slots, its template words, the words that these stand for, the row's template words and
+    words, and whether the row begins (1) or ends (2) with a slot of the window.  `wanted`: sorted hashes, else all."""
 
     @releasing
     def run(batches):
@@ -87,35 +101,88 @@ def _window_batches(lengths: list[int], wanted: np.ndarray | None):
             data, offs = text_column(batch.column(2))
             for a, b in row_chunks(offs):
                 part, o = data[offs[a] : offs[b]], offs[a : b + 1] - offs[a]
-                shape, value, slot, first = template(part, o)
+                shape, value, slot, place, first = template(part, o)
                 for length in lengths:
-                    at, row, hashes = _windows(shape, slot, first, length)
+                    at, row, hashes = _windows(shape, value, slot, first, length)
                     if wanted is not None and len(at):
+                        if not len(wanted):
+                            continue
                         near = np.minimum(np.searchsorted(wanted, hashes), len(wanted) - 1)
                         hit = wanted[near] == hashes
                         at, row, hashes = at[hit], row[hit], hashes[hit]
-                    elif wanted is not None:
-                        continue
                     if not len(at):
                         continue
                     slots = [value[i : i + length][slot[i : i + length]].view(np.int64) for i in at]
+                    edge = (slot[at] & (at == first[row])) + 2 * (slot[at + length - 1] & (at + length == first[row + 1]))
+                    begin, whole = place[first[:-1]], place[first[1:]] - place[first[:-1]]
+                    numbers = (place[at] - begin[row], np.full(len(at), length), place[at + length] - place[at], np.diff(first)[row], whole[row], edge)
+                    n_at, n_length, n_words, n_shape, n, n_edge = (pa.array(x.astype(np.int32)) for x in numbers)
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(pa.array(row + a)), batch.column(1).take(pa.array(row + a)), pa.array((at - first[:-1][row]).astype(np.int32)), pa.array(hashes.view(np.int64)), pa.array(slots, pa.list_(pa.int64())), pa.array(np.full(len(at), length, np.int32)), pa.array(np.diff(first)[row].astype(np.int32))],
-                        names=["id", "mark", "at", "hash", "slots", "length", "n"],
+                        [batch.column(0).take(pa.array(row + a)), batch.column(1).take(pa.array(row + a)), n_at, pa.array(hashes.view(np.int64)), pa.array(slots, pa.list_(pa.int64())), n_length, n_words, n_shape, n, n_edge],
+                        names=["id", "mark", "at", "hash", "slots", "length", "words", "shape", "n", "edge"],
                     )
 
     return run
 
 
+def _occurrences(coverage: float, long_run: int):
+    """The windows that a document shares with an item to one row, n_matched, first_word and n_slots of the best occurrence, or none."""
+
+    def covered(which, spans):
+        return len({w for k in which for w in range(*spans[k])})
+
+    def judge(which, spans, pairs, n):
+        """(n_matched, -first_word, n_slots) of windows taken as one occurrence."""
+        own = {p for k in which for p in pairs[k]}
+        item, doc = Counter(i for i, _ in own), Counter(d for _, d in own)
+        odd = {(i, d) for i, d in own if item[i] > 1 or doc[d] > 1}
+        kept = [k for k in which if not odd.intersection(pairs[k])] if odd else which
+        matched = covered(kept, spans)
+        if not kept or matched < long_run and (odd or matched < coverage * n):
+            return None
+        return matched, kept, len(own - odd)
+
+    def run(key, table):
+        names = ["at", "_item_at", "_item_words", "slots", "_item_slots", "_item_edge"]
+        at, item_at, wide, slots, item_slots, edge = (table.column(c).to_pylist() for c in names)
+        n = table.column("_item_n")[0].as_py()
+        spans = [(i, i + w) for i, w in zip(item_at, wide, strict=True)]
+        # a run of numbers or names at the item's edge may go on in the document, so it says nothing of the slot's value
+        pairs = [{p for k, p in enumerate(zip(i, d, strict=True)) if not (k == 0 and e & 1 or k == len(i) - 1 and e & 2)} for i, d, e in zip(item_slots, slots, edge, strict=True)]
+        line = [a - i for a, i in zip(at, item_at, strict=True)]
+        order = sorted(range(len(at)), key=line.__getitem__)
+        best, high, seen = None, 0, 0
+        for low in range(len(order)):
+            if low and line[order[low]] == line[order[low - 1]]:
+                continue
+            same = low
+            while same < len(order) and line[order[same]] == line[order[low]]:
+                same += 1
+            high = max(high, same)
+            while high < len(order) and line[order[high]] - line[order[low]] <= n:
+                high += 1
+            for which in [order[low:same]] + ([order[low:high]] if high > same and high > seen else []):
+                got = judge(which, spans, pairs, n)
+                if got:
+                    got = (got[0], -min(at[k] for k in got[1]), got[2])
+                    best = got if best is None or got[:2] > best[:2] else best
+            seen = high
+        rows = [] if best is None else [{"id": key[0].as_py(), "item": key[2].as_py(), "n": n, "n_matched": best[0], "first_word": -best[1], "n_slots": best[2]}]
+        fields = [("id", table.schema.field("id").type), ("item", table.schema.field("_item").type), *((c, pa.int32()) for c in ("n", "n_matched", "first_word", "n_slots"))]
+        return pa.Table.from_pylist(rows, schema=pa.schema(fields))
+
+    return run
+
+
 def _lengths(items: DataFrame) -> list[int]:
     """WINDOW, and the lengths of shorter items (at most WINDOW numbers)."""
 
     @releasing
     def run(batches):
         for batch in batches:
-            _, _, _, first = template(*text_column(batch.column(2)))
+            *_, first = template(*text_column(batch.column(2)))
             n = np.diff(first)
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(n[(n >= LEAST_WORDS) & (n < WINDOW)]).astype(np.int32))], names=["n"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(n[(n > 0) & (n < WINDOW)]).astype(np.int32))], names=["n"])
 
     return [WINDOW, *sorted(r[0] for r in items.mapInArrow(run, "n int").distinct().collect())]
 
@@ -123,9 +190,10 @@ def _lengths(items: DataFrame) -> list[int]:
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", coverage: float = COVERAGE, long_run: int = LONG_RUN) -> DataFrame:
     """(id_col, item_id, n_matched, coverage, first_word, n_slots): the documents that hold an item, one row for each of their items.
 
-    n_matched template words of the item lie in consistent windows of one occurrence (the best, if there are several), which starts at
-    template word first_word.  Null or wordless texts and items with fewer than LEAST_WORDS template words never match; rows that
-    share an id are matched by their own texts and reported together; repeated items are reported by each id.
+    n_matched words of the item lie in consistent windows of one occurrence (the best, if there are several), which starts at the document's
+    word first_word.  That is `coverage` of the item or `long_run` words; with inconsistent slots only the latter counts, over the windows
+    without them.  Null or wordless texts never match; a run of numbers or names in a window of few plain words matches the same run,
+    not a part of a longer one; rows that share an id are matched by their own texts and reported together; repeated items are reported by each id.
     """
 
     def keyed(df, who, text):
@@ -133,27 +201,23 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
         return df.where(F.col(text).isNotNull() & F.col(who).isNotNull()).select(F.col(who).alias("id"), mark.alias("mark"), F.col(text).alias("text"))
 
     kinds = {c: df.schema[c].dataType.simpleString() for df, c in ((docs, id_col), (benchmark, item_id))}
-    schema = "id {}, mark long, at int, hash long, slots array<long>, length int, n int"
+    schema = "id {}, mark long, at int, hash long, slots array<long>, length int, words int, shape int, n int, edge int"
     items = keyed(benchmark, item_id, item_text)
     lengths = _lengths(items)
     held = items.mapInArrow(_window_batches(lengths, None), schema.format(kinds[item_id]))
-    held = held.where((F.col("length") == WINDOW) | (F.col("length") == F.col("n")))
+    held = held.where((F.col("length") == WINDOW) | (F.col("length") == F.col("shape")))
     small = (benchmark.agg(F.sum(F.octet_length(item_text))).first()[0] or 0) <= SMALL_BENCHMARK
     wanted = None
     if small:  # then at most SMALL_BENCHMARK / 2 hashes
         wanted = np.sort(held.select("hash").distinct().toPandas()["hash"].to_numpy().view(np.uint64))
-    held = held.select(F.col("id").alias("_item"), F.col("mark").alias("_item_mark"), F.col("at").alias("_item_at"), "hash", "length", F.col("slots").alias("_item_slots"), F.col("n").alias("_item_n"))
-    found = keyed(docs, id_col, text_col).mapInArrow(_window_batches(lengths, wanted), schema.format(kinds[id_col])).drop("n")
+    names = {"id": "_item", "mark": "_item_mark", "at": "_item_at", "slots": "_item_slots", "words": "_item_words", "n": "_item_n", "edge": "_item_edge"}
+    held = held.select("hash", "length", *(F.col(c).alias(to) for c, to in names.items()))
+    found = keyed(docs, id_col, text_col).mapInArrow(_window_batches(lengths, wanted), schema.format(kinds[id_col])).drop("words", "shape", "n", "edge")
     pairs = found.join(F.broadcast(held) if small else held, ["hash", "length"])
-    # an occurrence has at most one window for each word of the item, so its lists are bounded by the item
-    occurrence = ["id", "mark", "_item", "_item_mark", "_item_n", F.expr("at - _item_at").alias("_diagonal")]
-    slots = F.array_distinct(F.flatten(F.collect_list(F.arrays_zip(F.col("_item_slots").alias("i"), F.col("slots").alias("d")))))
-    words_of = F.array_distinct(F.flatten(F.collect_set(F.sequence(F.col("_item_at"), F.col("_item_at") + F.col("length") - 1))))
-    got = pairs.groupBy(*occurrence).agg(slots.alias("pairs"), F.size(words_of).alias("n_matched"), F.min("at").alias("first_word"))
-    fits = (F.size("pairs") == F.size(F.array_distinct("pairs.i"))) & (F.size("pairs") == F.size(F.array_distinct("pairs.d")))
-    got = got.where(fits & ((F.col("n_matched") >= coverage * F.col("_item_n")) | (F.col("n_matched") >= long_run)))
-    best = F.max_by(F.struct("n_matched", (F.col("n_matched") / F.col("_item_n")).alias("coverage"), "first_word", F.size("pairs").alias("n_slots")), F.struct("n_matched", -F.col("first_word"), -F.col("_item_n")))
-    return got.groupBy(F.col("id").alias(id_col), F.col("_item").alias(item_id)).agg(best.alias("b")).select(id_col, item_id, "b.*")
+    kept = f"id {kinds[id_col]}, item {kinds[item_id]}, n int, n_matched int, first_word int, n_slots int"
+    got = pairs.groupBy("id", "mark", "_item", "_item_mark").applyInArrow(_occurrences(coverage, long_run), kept)
+    best = F.max_by(F.struct("n_matched", (F.col("n_matched") / F.col("n")).alias("coverage"), "first_word", "n_slots"), F.struct("n_matched", -F.col("first_word"), -F.col("n")))
+    return got.groupBy(F.col("id").alias(id_col), F.col("item").alias(item_id)).agg(best.alias("b")).select(id_col, item_id, "b.*")
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **parameters) -> DataFrame:

@@ -417,6 +417,35 @@ def test_decontamination(spark):
     assert decontamination.leaks(d.limit(0), bench).count() == 0 and decontamination.leaks(d, bench.limit(0)).count() == 0
 
 
+def found_leaks(spark, texts, items):
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    b = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    return sorted((r.doc_id, r.item_id) for r in decontamination.leaks(d, b).collect())
+
+
+def test_verbatim_items_with_few_plain_words_are_found(spark):
+    items = ["What is 12 * 7 + 5?", "red, Paris", "the Quick Brown Fox of New York City by Tom", "3 1 4 1 5 9 2 6", "Add 5 to 7"]
+    texts = [f"some words go first here. {t} and other words come last" for t in items]
+    texts += [t.replace("12", "13").replace("Paris", "Rome").replace("York", "Delhi").replace("9", "8").replace("Add 5", "Add 6") for t in texts[:5]]
+    assert found_leaks(spark, texts, items) == [(i, i) for i in range(5)]
+
+
+def test_items_with_longer_fillings_and_odd_slots_are_found(spark):
+    word = iter(f"w{''.join(chr(97 + int(c)) for c in str(k))}" for k in range(1000))
+    prose = lambda n: " ".join(next(word) for _ in range(n))
+    parts = [prose(11) for _ in range(3)]
+    item = f"{parts[0]} Alice {parts[1]} 1200 {parts[2]}"
+    a, b, c = prose(20), prose(24), prose(10)
+    passage = f"{a} Alice {b} Alice {c}"
+    texts = [
+        f"{prose(9)} {parts[0]} Mary Ann {parts[1]} 1 200 {parts[2]} {prose(9)}",
+        f"{parts[0]} Alice added {parts[1]} 1200 more {parts[2]}",
+        f"{prose(5)} {a} Alice {b} Carol {c}",
+        f"{parts[0][:30]} {prose(30)}",
+    ]
+    assert found_leaks(spark, texts, [item, passage]) == [(0, 0), (1, 0), (2, 1)]
+
+
 def test_packing(docs, rows):
     from tokenizers import Tokenizer
 
