@@ -2,7 +2,8 @@
 
 Kiveris, Lattanzi, Mirrokni, Rastogi, Vassilvitskii: Connected Components in MapReduce and Beyond (SoCC 2014).
 Neighbourhoods are only ever reduced to their minimum (a partial aggregate) and joined back, so a hub's
-neighbours never meet in one task; adaptive execution can split the join on a hub.
+neighbours never meet in one task.  Hubs with more than one in SHARE of the rows are few (fewer than SHARE), so
+their minima are broadcast; all others are joined by an exchange.
 """
 
 from __future__ import annotations
@@ -12,16 +13,26 @@ from pyspark.sql import functions as F
 
 from ratewright.llm.lineage import cut
 
+SHARE = 1000  # bounds the rows of a broadcast; a node with fewer rows than a task usually has needs none
 
-def _large_star(edges: DataFrame) -> DataFrame:
+
+def _with_least(rows: DataFrame, low: DataFrame, total: int) -> DataFrame:
+    """`rows` (u, v) with m, the least neighbour of u, from `low` (u, m, n): n counts u's rows, of `total` at most."""
+    hub = F.col("n") > max(total // SHARE, 200)
+    hubs = F.broadcast(low.where(hub).select("u", "m"))
+    rest = rows.join(hubs.select("u"), "u", "left_anti").join(low.where(~hub).select("u", "m"), "u")
+    return rows.join(hubs, "u").unionByName(rest)
+
+
+def _large_star(edges: DataFrame, total: int) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    low = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+    return _with_least(both.where("v > u"), low, 2 * total).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    low = edges.groupBy("u").agg(F.min("v").alias("m"))
-    rest = edges.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+def _small_star(edges: DataFrame, total: int) -> DataFrame:
+    low = edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+    rest = _with_least(edges, low, total).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return rest.unionByName(low.select("u", F.col("m").alias("v"))).distinct()
 
 
@@ -37,7 +48,8 @@ def connected_components(links: DataFrame, a: str, b: str, max_rounds: int = 60)
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state[0] == 0 or state == before:
             break
-        before, edges = state, cut(_small_star(_large_star(edges)))
+        # a large star has at most as many rows as it was given, so one total bounds the round's hubs
+        before, edges = state, cut(_small_star(_large_star(edges, state[0]), state[0]))
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()

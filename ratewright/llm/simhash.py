@@ -252,13 +252,19 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ra
     return docs.join(kept, docs[id_col].eqNullSafe(kept["_kept_id"]), "left_semi")
 
 
-# Near copies are pairs whose sets of five-word shingles have a Jaccard likeness of LIKENESS or more.  A minimum of a hash over the
-# set is equal in both with just that chance, however the texts were edited, so of BANDS keys of ROWS minima a pair at 0.8 shares
-# none with a chance of (1 - 0.8**3)**21 = 3e-7.  A pair that shares a key is judged by its sets.
+# Near copies are pairs whose sets of five-word shingles have a Jaccard likeness of LIKENESS or more.  Each set has a fingerprint of WIDE
+# bits (a bit is set where over half of its shingles' hashes have it), of which PARTS segments of 23 bits are decoded.  A key is a codeword near a
+# segment together with a minimum of a hash over the set, one minimum to a segment: the minimum is equal in both sets with the chance of their
+# likeness, however the texts were edited, and takes the part that the equal segment has above.  At 0.8 a bit differs with a chance of 0.15, and
+# two segments share a codeword with one of 0.60 (always where at most two bits differ; by pigeonhole some segment is such up to 32 differing
+# bits).  So all PARTS keys miss a pair at 0.8 with a chance of (1 - 0.8 * 0.60)**11 = 0.0007, and less above.  A pair that shares a key is judged
+# by its sets.
 SHINGLE, LIKENESS = 5, 0.8
-BANDS, ROWS = 21, 3
-LEAST_ALIKE = 32  # of the BANDS * ROWS minima; fewer are equal at LIKENESS with a chance of 1e-7
-_MINIMA = np.random.Generator(np.random.PCG64(20240301)).integers(1 << 62, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+LANES, PARTS = 4, 11  # 64-bit lanes of the fingerprint; segments
+WIDE = 64 * LANES
+MOST_APART = 68  # of WIDE bits; more differ at LIKENESS with a chance of 1e-6, of 1e-3 in sets of five shingles
+_ODD = np.random.Generator(np.random.PCG64(20240301)).integers(1 << 62, 1 << 63, (3, PARTS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(np.uint64).ravel()  # a byte's bits, a byte each
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
 
@@ -282,37 +288,112 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return keyed.astype(np.uint32), np.searchsorted(keyed, np.arange(len(n) + 1, dtype=np.uint64) << np.uint64(32))
 
 
+def set_bits(items: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The WIDE bits of each row's items, a byte each; every row has one item at least.
+
+    Counts of eight bits are added as one number, in blocks of at most 255 items, so that none overflows its byte.
+    """
+    n = np.diff(first)
+    blocks = -(-n // 255)
+    row_block = np.cumsum(blocks) - blocks
+    start = np.repeat(first[:-1], blocks) + 255 * (np.arange(blocks.sum()) - np.repeat(row_block, blocks))
+    end, counts = np.r_[start[1:], first[-1]], []
+    for k in range(0, len(start), 256):
+        part = items[start[k] : end[min(k + 256, len(start)) - 1]].astype(np.uint64)
+        lanes = np.stack([mix(part + salt) for salt in _ODD[2][:LANES]], axis=1)
+        counts.append(np.add.reduceat(_SPREAD[lanes.view(np.uint8)], start[k : k + 256] - start[k], axis=0).view(np.uint8))
+    ones = np.add.reduceat(np.concatenate(counts), row_block, axis=0, dtype=np.int32)
+    return (2 * ones > n[:, None]).astype(np.uint8)
+
+
 def minima(items: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """BANDS * ROWS minima of hashes of each row's items; every row has one at least."""
+    """PARTS minima of hashes of each row's items; every row has one at least."""
     h = mix(items.astype(np.uint64) + np.uint64(1))
-    return np.stack([np.minimum.reduceat(h * m, first[:-1]) for m in _MINIMA], axis=1)
+    return np.stack([np.minimum.reduceat(h * m, first[:-1]) for m in _ODD[0]], axis=1)
+
+
+def set_keys(bits: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(key, number of its set): each codeword near a segment with that segment's minimum, without repeats in a set."""
+    value = bits[:, : 23 * PARTS].reshape(-1, 23).astype(np.int64) @ (1 << np.arange(23))
+    codes = np.sort(golay().keys(value), axis=1)
+    fresh = np.c_[np.ones(len(codes), bool), codes[:, 1:] != codes[:, :-1]]
+    part = np.tile(_ODD[1], len(bits))
+    keys = mix(least.ravel()[:, None] + codes.astype(np.uint64) * part[:, None])
+    owner = np.broadcast_to(np.repeat(np.arange(len(bits)), PARTS)[:, None], fresh.shape)
+    return keys[fresh], owner[fresh]
 
 
 @releasing
 def _set_batches(batches):
-    """(id, text) to (id, node, bands, sketch, items): node names the set, items are its packed hashes."""
+    """(id, text) to (id, node, n, bits, least, items): node names the set of n shingles, items are its packed hashes, bits and least its keys' parts."""
     for batch in batches:
         data, offs = text_column(batch.column(1))
         for a, b in row_chunks(offs, 1 << 20):
             items, first = shingle_sets(data[offs[a] : offs[b]], offs[a : b + 1] - offs[a])
             n = np.diff(first)
             full = np.flatnonzero(n)
-            node, bands, sketch = np.zeros(b - a, np.int64), [[]] * (b - a), [b""] * (b - a)
+            node = np.zeros(b - a, np.int64)
+            bits, least = np.zeros((b - a, WIDE // 8), np.uint8), np.zeros((b - a, PARTS), np.uint64)
             if len(full):
-                m = mix(minima(items, np.r_[first[:-1][full], len(items)]))
-                total = np.add.reduceat(mix(items.astype(np.uint64) + np.uint64(7)), first[:-1][full])
+                own = np.r_[first[:-1][full], len(items)]
+                total = np.add.reduceat(mix(items.astype(np.uint64) + np.uint64(7)), own[:-1])
                 node[full] = mix(total + n[full].astype(np.uint64)).view(np.int64)
-                keys = np.stack([window_hash(m[:, k : k + ROWS].ravel(), ROWS)[::ROWS] + np.uint64(k) for k in range(0, BANDS * ROWS, ROWS)], axis=1)
-                low = m.astype(np.uint8)
-                for i, k, s in zip(full.tolist(), mix(keys).view(np.int64), low, strict=True):
-                    bands[i], sketch[i] = k, s.tobytes()
-            packed = [items[i:j].tobytes() for i, j in zip(first[:-1], first[1:], strict=True)]
+                bits[full], least[full] = np.packbits(set_bits(items, own), axis=1), minima(items, own)
+            packed = [[x.tobytes() for x in y] for y in (bits, least)] + [[items[i:j].tobytes() for i, j in zip(first[:-1], first[1:], strict=True)]]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(a, b - a), pa.array(node), pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.binary()), pa.array(packed, pa.binary())],
-                names=["id", "node", "bands", "sketch", "items"],
+                [batch.column(0).slice(a, b - a), pa.array(node), pa.array(n.astype(np.int32)), *(pa.array(x, pa.binary()) for x in packed)],
+                names=["id", "node", "n", "bits", "least", "items"],
             )
 
 
+def _packed(column, kind, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, width)
+
+
+@releasing
+def _set_key_batches(batches):
+    """(node, bits, least) to (key, node)."""
+    for batch in batches:
+        if batch.num_rows:
+            bits = np.unpackbits(_packed(batch.column(1), np.uint8, WIDE // 8), axis=1)
+            key, owner = set_keys(bits, _packed(batch.column(2), np.uint64, PARTS))
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(batch.column(0).to_numpy()[owner])], names=["key", "node"])
+
+
+@releasing
+def _shared_keys(batches):
+    """Rows (key, node) by key and node: those of keys of several nodes, with the key's first node and whether it has more than two."""
+    key, node = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    going, lead, told = None, 0, 0  # a key that earlier rows had, its first node, and how many of its rows are told
+
+    def rows(key, node):
+        nonlocal going, lead, told
+        fresh = np.r_[True, key[1:] != key[:-1]]
+        start = np.flatnonzero(fresh)
+        size = np.diff(np.r_[start, len(key)])
+        first = node[start].copy()
+        if going == key[0]:
+            first[0] = lead
+            size[0] += told
+        told = int(size[-1])
+        going, lead = key[-1], first[-1]
+        group = np.cumsum(fresh) - 1
+        keep = (size > 1)[group]
+        columns = (key[keep], node[keep], first[group][keep], (size > 2)[group][keep])
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "node", "lead", "many"])
+
+    for batch in batches:
+        key, node = np.r_[key, batch.column(0).to_numpy()], np.r_[node, batch.column(1).to_numpy()]
+        done = int(np.searchsorted(key, key[-1])) if len(key) else 0  # the last key may go on
+        if len(key) - done > 1 << 16:  # a hot key: all but its last three rows, whatever comes, have their answer
+            done = len(key) - 3
+        if done:
+            yield rows(key[:done], node[:done])
+            key, node = key[done:], node[done:]
+    if len(key):
+        yield rows(key, node)
+
+
 def _alike(least: float):
     """Rows (a, b, items of a, items of b): the pairs whose sets are alike."""
 
@@ -322,8 +403,6 @@ def _alike(least: float):
             keep = np.zeros(batch.num_rows, bool)
             for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
                 x, y = (np.frombuffer(v.as_buffer(), np.uint32) for v in (x, y))
-                if min(len(x), len(y)) < least * max(len(x), len(y)):
-                    continue
                 both = np.sort(np.concatenate([x, y]), kind="stable")
                 same = int((both[1:] == both[:-1]).sum())
                 keep[i] = same >= least * (len(both) - same)
@@ -334,70 +413,93 @@ def _alike(least: float):
 
 @releasing
 def _open_pairs(batches):
-    """Rows (key, node, root, sketch) sorted by key: the pairs of nodes of a key that have different roots and enough equal minima."""
-
-    def settle(key, node, root, sketch):
-        start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        for s, e in zip(start, np.r_[start[1:], len(key)], strict=True):
-            for i in range(s, e, 64):  # a block of rows at a time
-                block = slice(i, min(i + 64, e))
-                for j in range(i, e, 4096):
-                    other = slice(j, min(j + 4096, e))
-                    far = root[block, None] != root[None, other]
-                    if not far.any():
-                        continue
-                    x, y = np.nonzero(far & (node[block, None] < node[None, other]) | far & (np.arange(j, other.stop)[None, :] >= block.stop))
-                    x, y = x + i, y + j
-                    for at in range(0, len(x), 1 << 16):
-                        u, v = x[at : at + (1 << 16)], y[at : at + (1 << 16)]
-                        near = (sketch[u] == sketch[v]).sum(axis=1) >= LEAST_ALIKE
-                        a, b = node[u[near]], node[v[near]]
-                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
-
-    held = None
+    """Rows (key, node, root, bits) by key and node: the pairs of nodes of a key that have different roots and near fingerprints.
+
+    A block of a key's rows is compared with the rows before it, which are kept as arrays of 48 bytes a row.
+    """
+    held, n, hot = None, 0, None  # rows of the key that goes on
+
+    def pairs(new, old):
+        """Pairs of each row of `new` with the rows of `old` before it of its key."""
+        key, node, root, fp = new
+        low, high = np.searchsorted(old[0], key, "left"), np.searchsorted(old[0], key, "right")
+        high = np.minimum(high, np.arange(len(key))) if old is new else high
+        for i in range(0, len(key), 64):
+            block = slice(i, i + 64)
+            for j in range(int(low[block].min()), int(high[block].max()), 4096):
+                other = slice(j, min(j + 4096, int(high[block].max())))
+                at = np.arange(j, other.stop)
+                ours = (at >= low[block, None]) & (at < high[block, None])
+                x, y = np.nonzero(ours & (root[block, None] != old[2][None, other]))
+                if len(x):
+                    near = np.bitwise_count(fp[x + i] ^ old[3][y + j]).sum(axis=1, dtype=np.int32) <= MOST_APART
+                    yield pa.RecordBatch.from_arrays([pa.array(old[1][y + j][near]), pa.array(node[x + i][near])], names=["a", "b"])
+
     for batch in batches:
-        cols = [batch.column(i).to_numpy() for i in range(3)]
-        cols.append(np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(-1, BANDS * ROWS))
-        held = cols if held is None else [np.concatenate([a, b]) for a, b in zip(held, cols, strict=True)]
-        done = int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0  # the last key may go on
-        if done:
-            yield from settle(*(x[:done] for x in held))
-            held = [x[done:] for x in held]
-    if held is not None and len(held[0]):
-        yield from settle(*held)
+        new = [batch.column(i).to_numpy() for i in range(3)] + [_packed(batch.column(3), np.uint64, LANES)]
+        if not len(new[0]):
+            continue
+        yield from pairs(new, new)
+        if n and hot == new[0][0]:
+            own = int(np.searchsorted(new[0], hot, "right"))
+            yield from pairs([x[:own] for x in new], [x[:n] for x in held])
+        at = int(np.searchsorted(new[0], new[0][-1]))
+        if hot != new[0][-1]:
+            held, n, hot = None, 0, new[0][-1]
+        tail = [x[at:] for x in new]
+        if held is None or n + len(tail[0]) > len(held[0]):  # room doubles, so that a long key isn't copied with every batch
+            room = max(2 * n, n + len(tail[0]))
+            grown = [np.empty((room, *x.shape[1:]), x.dtype) for x in tail]
+            for x, y in zip(grown, held or [], strict=False):
+                x[:n] = y[:n]
+            held = grown
+        for x, y in zip(held, tail, strict=True):
+            x[n : n + len(y)] = y
+        n += len(tail[0])
 
 
 def _judged(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
-    """(node, link): the pairs (a, b) whose sets are alike."""
-    named = pairs.join(nodes.select(F.col("node").alias("b"), F.col("items").alias("_b")), "b")
-    named = named.join(nodes.select(F.col("node").alias("a"), F.col("items").alias("_a")), "a")
+    """(node, link): the pairs (a, b) of distinct nodes whose sets are alike; only sets of pairs that pass by size travel with them."""
+    slim = nodes.select("node", "n")
+    sized = pairs.join(slim.select(F.col("node").alias("a"), F.col("n").alias("_n")), "a").join(slim.withColumnRenamed("node", "b"), "b")
+    sized = cut(sized.where(F.least("n", "_n") >= least * F.greatest("n", "_n")).select("a", "b"))
+    needed = sized.select(F.col("a").alias("node")).union(sized.select(F.col("b").alias("node"))).distinct()
+    sets = cut(nodes.select("node", "items").join(needed, "node"))
+    named = sized.join(sets.select(F.col("node").alias("b"), F.col("items").alias("_b")), "b")
+    named = named.join(sets.select(F.col("node").alias("a"), F.col("items").alias("_a")), "a")
     return named.select("a", "b", "_a", "_b").mapInArrow(_alike(least), "node long, link long")
 
 
+def _near_groups(docs: DataFrame, id_col: str, text_col: str, least: float) -> DataFrame:
+    """(node, least_id, root): the distinct sets, the least id that has each, and their groups."""
+    kind = docs.schema[id_col].dataType.simpleString()
+    schema = f"id {kind}, node long, n int, bits binary, least binary, items binary"
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(_set_batches, schema)
+    nodes = cut(rows.groupBy("node").agg(F.min("id").alias("least_id"), *(F.any_value(c).alias(c) for c in ("n", "bits", "least", "items"))))
+    keyed = nodes.where("n > 0").select("node", "bits", "least").mapInArrow(_set_key_batches, "key long, node long")
+    shared = cut(keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_shared_keys, "key long, node long, lead long, many boolean"))
+    links = cut(_judged(shared.where("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct(), nodes, least))
+    roots = connected_components(links, "node", "link")
+    rest = shared.where("many").select("key", "node").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+    several = rest.groupBy("key").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).where("_low <> _high").select("key")
+    rest = rest.join(several, "key").join(nodes.select("node", "bits"), "node").select("key", "node", "root", "bits")
+    pairs = rest.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_open_pairs, "a long, b long").distinct()
+    links = cut(links.unionByName(_judged(pairs, nodes, least)))
+    roots = connected_components(links, "node", "link")
+    return nodes.select("node", "least_id").join(roots, "node", "left").select("node", "least_id", F.coalesce("root", "node").alias("root"))
+
+
 def keep_one_near_copy(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = LIKENESS) -> DataFrame:
-    """The rows of `docs`, all columns, without near copies of a row with a smaller id: of each group linked by pairs of a Jaccard likeness
-    of `least` (LIKENESS or more) of five-word shingles the smallest id stays.
+    """The rows of `docs`, all columns, without near copies of a row with a smaller id: of each group linked by pairs of a Jaccard likeness of
+    `least` (LIKENESS or more) of the sets of five-word shingles the smallest id stays.
 
     Equal sets are one node, so copies of any number are grouped before the join.  In each key all nodes are first judged against the
-    smallest one, which settles groups of near copies with rows in proportion; then nodes of one key that are still in different
-    groups are judged pair by pair, whatever the key's size.  Wordless and null texts are alike; repeats of a row that stays stay.
+    smallest one, which settles groups of near copies with rows in proportion; then nodes of one key that are still in different groups are
+    judged, where their fingerprints are near.  There is no size from which that changes.  Wordless and null texts are alike; repeats of a row
+    that stays stay; a null id stays only where all ids of its group are null.
     """
     if least < LIKENESS:
         raise ValueError(f"the keys find pairs of a likeness of {LIKENESS} and more")
-    kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(_set_batches, f"id {kind}, node long, bands array<long>, sketch binary, items binary")
-    nodes = cut(rows.groupBy("node").agg(F.min("id").alias("least"), *(F.any_value(c).alias(c) for c in ("bands", "sketch", "items"))))
-    keyed = nodes.select("node", F.explode("bands").alias("key"))
-    groups = keyed.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1")
-    keyed = cut(keyed.join(groups, "key"))
-    links = cut(_judged(keyed.where("node <> a").select("a", F.col("node").alias("b")).distinct(), nodes, least))
-    roots = connected_components(links, "node", "link")
-    rest = keyed.where("n > 2").select("key", "node").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-    several = rest.groupBy("key").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).where("_low <> _high").select("key")
-    rest = rest.join(several, "key").join(nodes.select("node", "sketch"), "node").select("key", "node", "root", "sketch")
-    pairs = rest.repartition("key").sortWithinPartitions("key").mapInArrow(_open_pairs, "a long, b long").distinct()
-    links = cut(links.unionByName(_judged(pairs, nodes, least)))
-    roots = connected_components(links, "node", "link")
-    named = nodes.select("node", "least").join(roots, "node", "left").select("least", F.coalesce("root", "node").alias("root"))
-    kept = named.groupBy("root").agg(F.min("least").alias("_kept_id")).select("_kept_id").distinct()
+    groups = _near_groups(docs, id_col, text_col, least)
+    kept = groups.groupBy("root").agg(F.min("least_id").alias("_kept_id")).select("_kept_id").distinct()
     return docs.join(kept, docs[id_col].eqNullSafe(kept["_kept_id"]), "left_semi")

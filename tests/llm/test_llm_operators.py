@@ -324,36 +324,86 @@ def test_golay_links_every_near_pair(spark, most, monkeypatch):
     assert sorted(map(sorted, ours.values())) == sorted(map(sorted, theirs.values()))
 
 
-@pytest.mark.parametrize("most", [256, 3])
-def test_near_copies(spark, most, monkeypatch):
-    monkeypatch.setattr(simhash, "MAX_RUN", most)
+def shingles(text):
+    ws = words_of(text.lower()) if text else []
+    return {b" ".join(ws[i : i + 5]) for i in range(max(len(ws) - 4, 1))} if ws else frozenset()
+
+
+def likeness(a, b):
+    a, b = shingles(a), shingles(b)
+    return len(a & b) / len(a | b) if a or b else 1.0
+
+
+def kept_of(rows, least=0.8):
+    """The smallest id of each group linked by pairs of that likeness, over all pairs."""
+    sets, label = {i: shingles(t) for i, t in rows}, {i: i for i, _ in rows}
+    holders = {}
+    for i, x in sets.items():
+        for h in x or {b""}:
+            holders.setdefault(h, []).append(i)
+    for i, x in sets.items():
+        for j in {j for h in x or {b""} for j in holders[h] if j < i}:
+            both = len(x & sets[j])
+            if both >= least * (len(x) + len(sets[j]) - both):
+                old, new = max(label[i], label[j]), min(label[i], label[j])
+                label = {k: new if v == old else v for k, v in label.items()}
+    return set(label.values())
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_near_copies(spark, parts):
     rng = random.Random(8)
     words = ["".join(rng.choice("abcdefgiklmnorstu") for _ in range(rng.randint(2, 8))) for _ in range(3000)]
-    rows, group = [], {}
-    for g in range(40):
-        base = [rng.choice(words) for _ in range(rng.randint(90, 400))]
+    rows = []
+    for _ in range(60):
+        base = [rng.choice(words) for _ in range(rng.randint(30, 400))]
         for _ in range(rng.randint(1, 5)):
             text = list(base)
-            for _ in range(rng.randint(0, len(base) // 90)):
-                text[rng.randrange(len(text))] = "changed"
-            group[len(rows)] = g
+            for _ in range(rng.randint(0, len(base) // 40)):  # 0.8 is one word in 45
+                text[rng.randrange(len(text))] = rng.choice(words)
             rows.append((len(rows), " ".join(text), "x"))
-    rows += [(900, None, "x"), (901, "", "x"), (902, "one", "x"), (903, "one two", "x"), (904, "two one", "x"), (904, "two one", "x")]
-    d = spark.createDataFrame(rows, "doc_id long, text string, node string").repartition(3)
+    rows += [(900, None, "x"), (901, "", "x"), (902, "one", "x"), (903, "one two", "x"), (904, "two one", "x"), (904, "two one", "x"), (905, "One", "x")]
+    rows += [(906, " ".join(words[:400] * 100), "x"), (907, " ".join(words[:400] * 90), "x"), (908, "z" * 3_000_000, "x")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, node string").repartition(parts)
     kept = simhash.keep_one_near_copy(d)
     got = Counter(r.doc_id for r in kept.collect())
     assert kept.columns == d.columns and all(n == (2 if i == 904 else 1) for i, n in got.items())
-    first = {}
-    for i, g in group.items():
-        first.setdefault(g, i)
-    assert set(first.values()) <= set(got) and {900, 902, 903, 904} <= set(got) and 901 not in got
-    assert len([i for i in got if i < 900]) <= len(first) + 1
+    assert set(got) == kept_of([(i, t) for i, t, _ in rows])
     assert simhash.keep_one_near_copy(d.limit(0)).count() == 0
 
 
-def likeness(a, b):
-    a, b = ({tuple(x[i : i + 5]) for i in range(len(x) - 4)} for x in (a.split(), b.split()))
-    return len(a & b) / len(a | b)
+@pytest.mark.parametrize("words", [8, 9, 12, 20])
+def test_near_copies_of_few_words(spark, words):
+    """Sets of few shingles: a text and the same with a word more, from four shingles of five on."""
+    rng = random.Random(words)
+    word = lambda: "".join(rng.choice("abcdefgiklmnorstu") for _ in range(6))
+    rows = []
+    for g in range(300):
+        text = " ".join(word() for _ in range(words))
+        rows += [(2 * g, text), (2 * g + 1, f"{text} {word()}")]
+    kept = {r.doc_id for r in simhash.keep_one_near_copy(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert set(range(0, 600, 2)) <= kept and len(kept) <= 300 + 6  # recall of 0.98 or more at the very threshold
+
+
+def test_hubs_in_components(spark, monkeypatch):
+    monkeypatch.setattr(components, "SHARE", 4)
+    links = [(0, i) for i in range(1, 900)] + [(i, i + 1) for i in range(1000, 1100)] + [(899, 1050), (2000, 2001), (5, 5), (None, 3)]
+    got = {r.node: r.root for r in components.connected_components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()}
+    assert got == {**{i: 0 for i in [*range(900), *range(1000, 1101)]}, 2000: 2000, 2001: 2000}
+
+
+def test_shared_keys_over_batches():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    key = np.sort(np.r_[rng.integers(0, 400, 900), np.full(70_000, 500), np.full(2, 600), 700])
+    node = np.arange(len(key))
+    n = {k: int((key == k).sum()) for k in np.unique(key)}
+    expected = [(k, i, int(np.argmax(key == k)), n[k] > 2) for k, i in zip(key.tolist(), node.tolist(), strict=True) if n[k] > 1]
+    for step in (1000, 80_000):
+        batches = [pa.RecordBatch.from_arrays([pa.array(key[i : i + step]), pa.array(node[i : i + step])], names=["key", "node"]) for i in range(0, len(key), step)]
+        got = [r for b in simhash._shared_keys(iter(batches)) for r in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+        assert got == expected
 
 
 def test_near_copies_with_blocks_added_or_cut(spark):
