@@ -111,6 +111,24 @@ def test_winnowing_guarantee_and_ties():
     assert len(winnowing.winnow(winnowing.code_points(""))[0]) == 0
 
 
+def test_winnowing_of_short_texts_has_the_same_gram():
+    a, b = (set(winnowing.winnow(winnowing.code_points(t))[0].tolist()) for t in ("abcdefghijklmno", "abcdefghijklmnop"))
+    assert a & b or len(a | b) == 2
+    sets = [set(winnowing.winnow(winnowing.code_points("abcdefghijklmnopqrstuvwxyz"[:n]))[0].tolist()) for n in range(1, 24)]
+    assert all(len(x) == 1 for x in sets) and len(set.union(*sets[7:])) < 16  # one window each; longer texts keep a smallest gram
+
+
+def test_winnowing_neighbours_of_a_repeated_id(spark):
+    rows = [(i, f"text {i}") for i in range(40)] + [(None, f"none {i} {'x' * (i % 50)}") for i in range(300)] + [(7, f"seven {i}") for i in range(300)]
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    order = [r.text for r in d.orderBy(F.desc_nulls_last("doc_id"), F.xxhash64("text")).collect()]
+    expected = Counter()
+    for n, t in enumerate(order):
+        cut = len(t) // 3
+        expected[hashlib.sha256((t[: len(t) - cut] + order[(n + 1) % len(order)][:cut]).encode()).hexdigest()] += 1
+    assert Counter(r.edited_sha256 for r in winnowing.with_edited_neighbour(d).collect()) == expected
+
+
 def test_winnowing_neighbours(docs, rows):
     got = winnowing.with_edited_neighbour(docs).toPandas()
     order = sorted(((i, t or "") for i, t in rows), key=lambda r: -r[0])
@@ -496,6 +514,46 @@ def test_items_with_longer_fillings_and_odd_slots_are_found(spark):
     assert found_leaks(spark, texts, [item, passage]) == [(0, 0), (1, 0), (2, 1)]
 
 
+def test_two_item_values_may_get_one_filling(spark):
+    item = "a train leaves the station with 3 cars full of coal and later takes on 5 more cars at the next stop before noon"
+    texts = [item.replace("3", "4").replace("5", "4"), item.replace("3", "5").replace("5", "3", 1), "nothing " + " ".join(item.split()[:6])]
+    assert found_leaks(spark, texts, [item]) == [(0, 0), (1, 0)]
+
+
+def test_questions_with_other_parameters_are_found(spark):
+    """Recall of re-parameterised questions and precision on other ones of the same words, names at sentence starts included."""
+    rng = random.Random(17)
+    names, units, words = ["Alice", "Bob", "Carol", "Dmitri", "Eve", "Farid", "Grace"], ["kg", "miles", "hours", "liters"], [f"{a}{b}" for a in ("ra", "lo", "mi", "te", "su") for b in ("ban", "der", "fil", "gon", "hut", "kem")]
+
+    def question():
+        out = []
+        for _ in range(rng.randint(3, 5)):
+            ws = [rng.choice(words) for _ in range(rng.randint(8, 14))]
+            ws[rng.randrange(2, len(ws) - 1)] = "{n%d}" % rng.randrange(3)
+            ws[rng.randrange(2, len(ws) - 1)] = "{u}"
+            out.append(" ".join(["{a}", *ws] if rng.random() < 0.6 else [ws[0].capitalize(), *ws[1:], "{b}"]) + ".")
+        return " ".join(out)
+
+    def filled(q):
+        a, b = rng.sample(names, 2)
+        return q.format(a=a, b=b, u=rng.choice(units), n0=rng.randint(2, 99), n1=rng.randint(2, 99), n2=rng.randint(2, 99))
+
+    questions = [question() for _ in range(60)]
+    others = [question() for _ in range(60)]
+    noise = lambda: " ".join(rng.choice(words) for _ in range(30))
+    texts = [f"{noise()}. {filled(q)} {noise()}" for q in questions + others]
+    got = set(found_leaks(spark, texts, [filled(q) for q in questions]))
+    assert len({(i, i) for i in range(60)} & got) >= 57 and len(got - {(i, i) for i in range(60)}) <= 1
+
+
+def test_window_filter_holds_every_hash(spark, monkeypatch):
+    monkeypatch.setattr(decontamination, "FILTER_BITS", (17, 18))
+    hashes = np.random.default_rng(6).integers(-(1 << 63), 1 << 63, 5000)
+    bits = decontamination._hash_filter(spark.createDataFrame([(int(h),) for h in hashes], "hash long"), 5000)
+    at = hashes & (8 * len(bits) - 1)
+    assert (bits[at >> 3] >> (at & 7) & 1).all() and np.bitwise_count(bits).sum() == len(np.unique(at))
+
+
 def test_packing(docs, rows):
     from tokenizers import Tokenizer
 
@@ -528,6 +586,28 @@ def test_patterns_hold_the_histogram():
                 got[s] += c * times
         assert got == Counter(histogram)
         assert sequences <= -(-sum(s * c for s, c in histogram.items()) // 512) * 1.05 + 2
+
+
+@pytest.mark.parametrize(
+    ("histogram", "capacity", "gap"),
+    [
+        ({47: 600, 27: 600, 26: 600}, 100, 0.0),  # only 47 + 27 + 26 fills a sequence; best fit, longest first, needs 700
+        ({366: 3001}, 1024, 0.0),
+        ({375: 3000, 325: 2000, 275: 4000, 175: 900}, 1024, 0.01),
+        ({205 + k: 40 + k % 7 for k in range(300)}, 1024, 0.05),
+        ({1: 5000, 1023: 5000}, 1024, 0.0),
+    ],
+)
+def test_packing_is_near_the_programs_bound(histogram, capacity, gap):
+    patterns, bound = packing.solve_with_bound(histogram, capacity)
+    got = Counter()
+    for pattern, times in patterns:
+        assert sum(s * c for s, c in pattern) <= capacity
+        for s, c in pattern:
+            got[s] += c * times
+    assert got == Counter(histogram)
+    assert bound >= -(-sum(s * c for s, c in histogram.items()) // capacity)
+    assert bound <= sum(n for _, n in patterns) <= bound * (1 + gap) + 1
     assert packing.solve_patterns({}) == []
 
 
