@@ -3,13 +3,14 @@
 The program's only input is the histogram of piece lengths (at most `capacity` numbers, whatever the corpus).  Its
 variables are patterns of lengths that fit a sequence; multiplicative weights price the lengths, a knapsack dynamic
 program finds the best pattern for the prices, and the averaged pattern counts are rounded down.  What the rounding
-leaves is packed by best fit, also on the histogram.  The pieces themselves are ranked within their length by Spark and
+leaves is a smaller program, and at last packed by best fit, also on the histogram.  The prices give a lower bound too.  The pieces themselves are ranked within their length by Spark and
 look their place up in the (small) table of patterns.
 """
 
 from __future__ import annotations
 
 import json
+import math
 import re
 import struct
 import unicodedata
@@ -174,56 +175,65 @@ def tokenized_pieces(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", t
     return docs.select(id_col, text_col).mapInArrow(_piece_batches(vocabulary, capacity, end_id, with_ids), schema)
 
 
-def _best_pattern(price: np.ndarray, lengths: np.ndarray, capacity: int) -> dict[int, int]:
-    """Unbounded knapsack: the multiset of `lengths` of at most `capacity` in all with the highest price."""
-    best, pick = np.zeros(capacity + 1), np.full(capacity + 1, -1)
+def _highest_prices(price: np.ndarray, lengths: np.ndarray, capacity: int) -> np.ndarray:
+    """Unbounded knapsack: for each room up to `capacity` the highest price of a multiset of `lengths` (sorted) that fits."""
+    best = np.zeros(capacity + 1)
+    fitting = np.searchsorted(lengths, np.arange(capacity + 1), side="right").tolist()
+    value = np.empty(len(lengths))
     for c in range(1, capacity + 1):
-        n = int(np.searchsorted(lengths, c, side="right"))
-        best[c], pick[c] = best[c - 1], -1
+        n = fitting[c]
+        best[c] = best[c - 1]
         if n:
-            value = best[c - lengths[:n]] + price[:n]
-            k = int(value.argmax())
-            if value[k] > best[c]:
-                best[c], pick[c] = value[k], k
+            v = value[:n]
+            np.take(best, c - lengths[:n], out=v)
+            v += price[:n]
+            best[c] = max(best[c], v.max())
+    return best
+
+
+def _pattern(best: np.ndarray, price: np.ndarray, lengths: np.ndarray, lead: np.ndarray, slack: float) -> dict[int, int]:
+    """number -> count of a pattern whose price is within `slack` of best[-1]; of lengths that allow it that of the highest `lead` is taken."""
     out: dict[int, int] = {}
-    c = capacity
-    while c > 0:
-        if pick[c] < 0:
-            c -= 1
-        else:
-            size = int(lengths[pick[c]])
-            out[size] = out.get(size, 0) + 1
-            c -= size
+    c = len(best) - 1
+    while n := int(np.searchsorted(lengths, c, side="right")):
+        loss = best[c] - (best[c - lengths[:n]] + price[:n])
+        fine = np.flatnonzero(loss <= slack)
+        if not len(fine):
+            break
+        k = int(fine[lead[fine].argmax()])
+        slack -= max(float(loss[k]), 0.0)
+        out[k] = out.get(k, 0) + 1
+        c -= int(lengths[k])
     return out
 
 
-def _weighted_patterns(lengths: np.ndarray, demand: np.ndarray, capacity: int, rounds: int, rate: float) -> dict[tuple, float]:
-    """Multiplicative weights for the covering program: pattern -> fractional count.
+PATTERNS, SLACK = 16, 0.0002  # patterns taken at one table of prices; share of the highest price that each may lack
 
-    Each round prices a length by its weight over its demand, takes the best pattern and lowers the weights of the lengths it holds.
-    A pattern is used as often as an even share of the sequences allows without overfilling a length.
+
+def configuration_program(lengths: np.ndarray, demand: np.ndarray, capacity: int, rounds: int, rate: float) -> tuple[dict[tuple, float], float]:
+    """Multiplicative weights for the program min sum(x) with sum(x[p] * p[s]) >= demand[s]: (pattern -> x, a lower bound of the sum).
+
+    A length's price is its weight over its demand; the weights start so that prices are the lengths.  Each round the knapsack finds the
+    highest price of a pattern, and PATTERNS patterns of that price (up to SLACK) are used for an even share of the sequences; after each
+    the weights of its lengths fall by exp(-rate * share of the demand that was filled).  The average of the rounds is the program's
+    solution.  Any prices bound the sum from below, by the price of all demand over the highest price of a pattern; the best such bound is
+    returned.
     """
-    sequences = max(1.0, float((lengths * demand).sum()) / capacity)
-    share = sequences / rounds
-    weight, filled, chosen = np.ones(len(lengths)), np.zeros(len(lengths)), {}
-    place = {int(s): i for i, s in enumerate(lengths)}
+    volume = float((lengths * demand).sum()) / capacity
+    weight, chosen, bound = lengths * demand, {}, 0.0
     for _ in range(rounds):
-        open_ = filled < demand
-        if not open_.any():
-            break
-        at = np.flatnonzero(open_)
-        # the length itself is the worth of a filled token; the weight steers to lengths that lag behind
-        pattern = _best_pattern(lengths[at] * (1 + rate * weight[at] / weight[at].max()), lengths[at], capacity)
-        rows = np.array([place[s] for s in pattern])
-        count = np.array(list(pattern.values()), float)
-        use = min(max(share, 1.0), float(((demand[rows] - filled[rows]) / count).min()))
-        if use <= 0:
-            break
-        filled[rows] += use * count
-        weight[rows] *= np.exp(-rate * use * count / demand[rows])
-        key = tuple(sorted(pattern.items(), reverse=True))
-        chosen[key] = chosen.get(key, 0.0) + use
-    return chosen
+        weight /= weight.max()
+        price = weight / demand
+        best = _highest_prices(price, lengths, capacity)
+        bound = max(bound, float(weight.sum() / best[-1]))
+        for _ in range(PATTERNS):
+            pattern = _pattern(best, price, lengths, weight / demand / lengths, SLACK * best[-1])
+            rows, count = np.array(list(pattern)), np.array(list(pattern.values()), float)
+            use = min(max(volume / rounds / PATTERNS, 1.0), float((demand[rows] / count).min()))
+            weight[rows] *= np.exp(-rate * use * count / demand[rows])
+            key = tuple(sorted(((int(lengths[k]), n) for k, n in pattern.items()), reverse=True))
+            chosen[key] = chosen.get(key, 0.0) + use
+    return chosen, bound
 
 
 def _best_fit(left: dict[int, int], capacity: int) -> list[tuple[tuple, int]]:
@@ -247,20 +257,36 @@ def _best_fit(left: dict[int, int], capacity: int) -> list[tuple[tuple, int]]:
     return [x for g in groups.values() for x in g]
 
 
-def solve_patterns(histogram: dict[int, int], capacity: int = 4096, rounds: int = 200, rate: float = 0.5) -> list[tuple[tuple, int]]:
-    """(pattern, how often) that together hold each length exactly as often as `histogram` says; pattern: ((length, count), ...)."""
+def solve_with_bound(histogram: dict[int, int], capacity: int = 4096, rounds: int = 60, rate: float = 6.0) -> tuple[list[tuple[tuple, int]], int]:
+    """(patterns, bound): (pattern, how often) that together hold each length exactly as often as `histogram` says, where a pattern is
+    ((length, count), ...), and a number of sequences below which no packing can go.
+
+    The program's solution is rounded down, most used patterns first, and never holds a length too often; the rest is a smaller program, solved
+    with half as many rounds, and what is left after three such programs is packed by best fit.
+    """
     out = [(((capacity, 1),), histogram[capacity])] if histogram.get(capacity) else []
-    left = {s: n for s, n in histogram.items() if n and s < capacity}
-    if left:
+    left, bound = {s: n for s, n in histogram.items() if n and s < capacity}, histogram.get(capacity, 0)
+    for turn in range(3):
+        if not left or turn and sum(s * n for s, n in left.items()) < 2 * capacity:
+            break
         lengths = np.array(sorted(left), np.int64)
         demand = np.array([left[int(s)] for s in lengths], float)
-        for pattern, x in _weighted_patterns(lengths, demand, capacity, rounds, rate).items():
-            n = min([int(x + 1e-9), *(left[s] // k for s, k in pattern)])
+        chosen, least = configuration_program(lengths, demand, capacity, rounds >> turn, rate)
+        if not turn:
+            bound += math.ceil(least - 1e-6)
+        for pattern, x in sorted(chosen.items(), key=lambda item: (-item[1], item[0])):
+            n = min([int(x + 1e-9), *(left.get(s, 0) // k for s, k in pattern)])
             if n > 0:
                 out.append((pattern, n))
                 for s, k in pattern:
                     left[s] -= n * k
-    return out + _best_fit({s: n for s, n in left.items() if n}, capacity)
+        left = {s: n for s, n in left.items() if n}
+    return out + _best_fit(left, capacity), bound
+
+
+def solve_patterns(histogram: dict[int, int], capacity: int = 4096, rounds: int = 60, rate: float = 6.0) -> list[tuple[tuple, int]]:
+    """The patterns of `solve_with_bound`."""
+    return solve_with_bound(histogram, capacity, rounds, rate)[0]
 
 
 def _places(patterns: list[tuple[tuple, int]]):
@@ -296,7 +322,7 @@ def _place_batches(patterns):
     return run
 
 
-def pack(pieces: DataFrame, capacity: int = 4096, rounds: int = 200) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = 4096, rounds: int = 60) -> DataFrame:
     """`pieces` (with a `length` from 1 to `capacity`) and each piece's sequence_id and offset, gapless from 0.
 
     Only the length histogram (at most `capacity` rows) reaches the driver.  A length that a third of all pieces have is ranked in
