@@ -3,22 +3,23 @@
 Schleimer, Wilkerson, Aiken: Winnowing - Local Algorithms for Document Fingerprinting (SIGMOD 2003).  Every k-gram of code
 points is hashed by a rolling polynomial; of each window of `w` consecutive hashes the smallest is chosen, the rightmost of
 equal ones, and its position is kept.  Two texts that share `w + k - 1` consecutive code points share a chosen hash.
-Short texts take smaller windows (and, below 2k code points, shorter grams), which choose more, never fewer, hashes.
+Gram and window are the same for all texts.  A text of fewer grams than a window has is one window; a text shorter than a gram is one gram.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratewright.llm.arrays import POWERS, releasing, text_slices
 from ratewright.llm.lineage import shuffle_partitions
 
-GRAM, WINDOW = 8, 32
+GRAM, WINDOW = 8, 16
 _LEAST = -(1 << 63)
 _POINT_VALUE = np.random.Generator(np.random.PCG64(8191)).integers(1, 2**63, 1 << 16, dtype=np.uint64)
 
@@ -32,8 +33,7 @@ def winnow(points: np.ndarray, gram: int = GRAM, window: int = WINDOW) -> tuple[
     n = len(points)
     if n == 0:
         return np.zeros(0, np.uint32), np.zeros(0, np.int32)
-    if n < 2 * gram:
-        gram = max(1, n // 2)
+    gram = min(gram, n)
     up, down = POWERS.get(n)
     prefix = np.zeros(n + 1, np.uint64)
     value = _POINT_VALUE[points & 0xFFFF]
@@ -46,8 +46,7 @@ def winnow(points: np.ndarray, gram: int = GRAM, window: int = WINDOW) -> tuple[
     h &= np.uint64(0xFFFFFFFF00000000)
     m = len(h)
     h |= np.uint64(0xFFFFFFFF) - np.arange(m, dtype=np.uint64)  # of equal hashes the rightmost is the smallest
-    window = min(window, max(1, m // 8))
-    span = 1
+    window, span = min(window, m), 1
     while span < window:
         step = min(span, window - span)
         h = np.minimum(h[:-step], h[step:])
@@ -130,13 +129,14 @@ def with_edited_neighbour(docs: DataFrame, id_col: str = "doc_id", text_col: str
     follows the last.  The edited text is the text with its last third replaced by as many first code points of the next one.
     Null texts are empty.  One row alone is its own next.  An empty table gives an empty result.
 
-    Texts are exchanged once, by ranges of ids; a range gets one more row, the first of the range that follows.
+    Texts are exchanged once, by ranges of ids; a range gets one more row, the first of the range that follows.  The rows of an id that
+    fills several ranges (null, say) are dealt out by the hash of their text.
     """
     base = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LEAST)).alias("rank_id"), F.col(id_col).cast("long").alias("who"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     base = base.withColumn("tie", F.xxhash64("text"))
     buckets = 3 * shuffle_partitions(docs)
-    cuts = sorted(set(base.select(F.col("rank_id").cast("double")).approxQuantile("rank_id", [i / buckets for i in range(1, buckets)], 0.2 / buckets)))
-    base = base.withColumn("bucket", F.expr(_bucket_case(cuts)))
+    quantiles = base.select(F.col("rank_id").cast("double")).approxQuantile("rank_id", [i / buckets for i in range(1, buckets)], 0.2 / buckets)
+    base = base.withColumn("bucket", _bucket(quantiles))
     # by descending (order, -tie): the first row of each bucket; at most `buckets` rows reach the driver
     heads = base.groupBy("bucket").agg(F.max_by(F.struct("rank_id", "tie"), F.struct("rank_id", -F.col("tie").cast("decimal(20,0)"))).alias("head")).collect()
     heads = sorted((r["bucket"], r["head"]["rank_id"], r["head"]["tie"]) for r in heads)
@@ -153,6 +153,19 @@ def with_edited_neighbour(docs: DataFrame, id_col: str = "doc_id", text_col: str
 _NEIGHBOUR_SCHEMA = "id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, positions array<int>"
 
 
+def _bucket(quantiles: list[float]) -> Column:
+    """A number that rises with (rank_id, -tie): the quantiles below rank_id, and for an id that is several of them its share of the text hashes."""
+    times = Counter(quantiles)
+    parts = max(times.values(), default=1) + 2
+    out = F.expr(_bucket_case(sorted(times))) * parts
+    share = (F.col("tie").cast("double") + float(1 << 63)) / float(1 << 64)
+    for value, n in times.items():
+        if n > 1 and (abs(value) < 1 << 53 or value == _LEAST):  # ids that a double tells apart
+            part = F.least(F.floor(share * n), F.lit(n - 1))
+            out = F.when(F.col("rank_id") == F.lit(int(value)), out + (F.lit(n) - part).cast("int")).otherwise(out)
+    return out.cast("int")
+
+
 def _bucket_case(cuts: list[float], first: int = 0) -> str:
     """SQL for the number of cuts below `rank_id`, as a balanced tree of comparisons."""
     if not cuts:
