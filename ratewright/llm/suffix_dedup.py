@@ -25,7 +25,7 @@ from ratewright.llm.lineage import cut, shuffle_partitions
 
 GRAM = 32
 CELLS = 1000  # of one anchor in one shard
-RANGE_BITS = 4  # the strings of a divided anchor are merged in 2**4 hash ranges
+PARTS_A_RANGE = 2  # the strings of a divided anchor are merged in hash ranges, each of about as many strings as so many parts hold
 _BITS = 21  # a shard's chunk holds fewer than 2**21 bytes, so that two ranks and a place fit 63 bits
 _CELL = "id long, mark int, anchor long, cell long, first int, last int, times int, known boolean, runs binary"
 
@@ -144,8 +144,8 @@ def _runs(starts: np.ndarray, length: int) -> bytes:
 
 
 def _shard_batches(length: int):
-    """Rows by (anchor, part): anchor, part, cell, copies, divided, bytes.  Out: each cell's runs of repeated strings and, for the parts
-    of a divided anchor, the sorted hashes of the strings that the part holds, in RANGES ranges."""
+    """Rows by (anchor, part): anchor, part, cell, copies, ranges, bytes.  Out: each cell's runs of repeated strings and, for the parts
+    of a divided anchor, the sorted hashes of the strings that the part holds, in so many ranges."""
 
     def settle(rows):
         sizes = np.array([len(r[5]) for r in rows])
@@ -169,17 +169,17 @@ def _shard_batches(length: int):
             parts = {}
             for i, r in enumerate(rows):
                 if r[4]:
-                    parts.setdefault((r[0], r[1]), []).append(np.arange(cuts[i], cuts[i + 1]))
-            for (anchor, _), at in parts.items():
+                    parts.setdefault((r[0], r[1], r[4]), []).append(np.arange(cuts[i], cuts[i + 1]))
+            for (anchor, _, ranges), at in parts.items():
                 at = np.concatenate(at)
                 at = at[np.unique(rank[at], return_index=True)[1]]  # one start of each string that the part holds
                 at = at[np.argsort(hashes[at], kind="stable")]
                 place = np.where(again[at], -1, starts[at] - base[owner[at]])  # -1: no answer is needed
-                edges = np.searchsorted(hashes[at] >> np.uint64(64 - RANGE_BITS), np.arange((1 << RANGE_BITS) + 1))
-                for k, (i, j) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
-                    if j > i:
-                        body = b"".join((np.int64(j - i).tobytes(), hashes[at[i:j]].tobytes(), cells[owner[at[i:j]]].tobytes(), place[i:j].astype(np.int64).tobytes()))
-                        out.append((anchor ^ (k << 20), anchor, None, None, body))
+                number = ((hashes[at] >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
+                edges = np.r_[np.flatnonzero(np.r_[True, number[1:] != number[:-1]]), len(at)] if len(at) else [0]
+                for i, j in zip(edges[:-1], edges[1:], strict=True):
+                    body = b"".join((np.int64(j - i).tobytes(), hashes[at[i:j]].tobytes(), cells[owner[at[i:j]]].tobytes(), place[i:j].astype(np.int64).tobytes()))
+                    out.append((anchor ^ (int(number[i]) << 20), anchor, None, None, body))
         if out:
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=["key", "anchor", "cell", "runs", "strings"])
@@ -202,7 +202,7 @@ def _shard_batches(length: int):
 
 
 def _merge_batches(length: int):
-    """Rows by key: runs pass; the sorted hashes of one anchor's parts are merged by binary search, and starts whose string another part holds are runs too."""
+    """Rows (key, anchor, strings) by key: the sorted hashes of one anchor's parts are merged by binary search; starts whose string another part holds are runs."""
 
     def settle(anchor, bodies):
         if len(bodies) < 2:
@@ -215,9 +215,11 @@ def _merge_batches(length: int):
         found: dict[int, list] = {}
         for hashes, cells, places in parts:
             low, high = np.searchsorted(order, hashes, "left"), np.searchsorted(order, hashes, "right")
-            hit = (high - low > 1) & (places >= 0)
-            for c in np.unique(cells[hit]):
-                found.setdefault(int(c), []).append(places[hit & (cells == c)])
+            hit = np.flatnonzero((high - low > 1) & (places >= 0))
+            hit = hit[np.argsort(cells[hit], kind="stable")]
+            start = np.flatnonzero(np.r_[True, cells[hit][1:] != cells[hit][:-1]]) if len(hit) else hit
+            for i, j in zip(start, np.r_[start[1:], len(hit)], strict=False):
+                found.setdefault(int(cells[hit[i]]), []).append(places[hit[i:j]])
         out = [(anchor, c, _runs(np.sort(np.concatenate(x)), length)) for c, x in found.items()]
         if out:
             yield rows(*zip(*out, strict=True))
@@ -229,12 +231,7 @@ def _merge_batches(length: int):
     def run(batches):
         group, bodies = None, []
         for batch in batches:
-            done = pa.compute.is_valid(batch.column(3))
-            passed = batch.filter(done)
-            if passed.num_rows:
-                yield pa.RecordBatch.from_arrays([passed.column(1), passed.column(2), passed.column(3)], names=["anchor", "cell", "runs"])
-            rest = batch.filter(pa.compute.invert(done))
-            for key, anchor, body in zip(*(rest.column(i).to_pylist() for i in (0, 1, 4)), strict=True):
+            for key, anchor, body in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 if (key, anchor) != group:
                     if bodies:
                         yield from settle(group[1], bodies)
@@ -257,10 +254,10 @@ def _body_batches(length: int):
             out = []
             for i, cells in enumerate(wanted.to_pylist()):
                 for c in cells or ():
-                    out.append((c["anchor"], c["part"], c["cell"], c["copies"], c["divided"], data[offs[i] + c["first"] : offs[i] + c["last"] + length].tobytes()))
+                    out.append((c["anchor"], c["part"], c["cell"], c["copies"], c["ranges"], data[offs[i] + c["first"] : offs[i] + c["last"] + length].tobytes()))
             if out:
-                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=["anchor", "part", "cell", "copies", "divided", "body"])
+                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=["anchor", "part", "cell", "copies", "ranges", "body"])
 
     return run
 
@@ -309,12 +306,15 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str
     anchors = distinct.groupBy("anchor").agg(F.count("*").alias("kinds"), F.sum("copies").alias("total")).where("total > 1")
     shared = cut(distinct.join(anchors, "anchor"))
     parts = F.ceil(F.col("kinds") / min(CELLS, 400_000 // length)).cast("int")
-    several = shared.where("kinds > 1").select("rep.*", F.struct("anchor", F.pmod(F.col("cell"), parts).cast("int").alias("part"), "cell", "copies", (parts > 1).alias("divided"), F.col("rep.first").alias("first"), F.col("rep.last").alias("last")).alias("c"))
+    ranges = F.when(parts > 1, F.ceil(parts / PARTS_A_RANGE)).otherwise(0).cast("int")
+    several = shared.where("kinds > 1").select("rep.*", F.struct("anchor", F.pmod(F.col("cell"), parts).cast("int").alias("part"), "cell", "copies", ranges.alias("ranges"), F.col("rep.first").alias("first"), F.col("rep.last").alias("last")).alias("c"))
     wanted = several.groupBy("id", "mark").agg(F.collect_list("c").alias("cells"))
-    bodies = base.join(wanted, ["id", "mark"], "left").mapInArrow(_body_batches(length), "anchor long, part int, cell long, copies long, divided boolean, body binary")
+    bodies = base.join(wanted, ["id", "mark"], "left").mapInArrow(_body_batches(length), "anchor long, part int, cell long, copies long, ranges int, body binary")
     shards = bodies.repartition(n, "anchor", "part").sortWithinPartitions("anchor", "part", "cell")
-    settled = shards.mapInArrow(_shard_batches(length), "key long, anchor long, cell long, runs binary, strings binary")
-    merged = settled.repartition(n, "key").sortWithinPartitions("key", "anchor").mapInArrow(_merge_batches(length), "anchor long, cell long, runs binary")
+    settled = cut(shards.mapInArrow(_shard_batches(length), "key long, anchor long, cell long, runs binary, strings binary"))
+    strings = settled.where("strings is not null").select("key", "anchor", "strings")
+    merged = strings.repartition(n, "key").sortWithinPartitions("key", "anchor").mapInArrow(_merge_batches(length), "anchor long, cell long, runs binary")
+    merged = merged.unionByName(settled.where("runs is not null").select("anchor", "cell", "runs"))
     whole = shared.where("copies > 1").select("anchor", "cell", _whole(length).alias("runs"))
     answers = merged.unionByName(whole)
     answers = answers.groupBy("anchor", "cell").agg(F.collect_list("runs").alias("runs"))
