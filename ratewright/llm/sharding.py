@@ -47,8 +47,10 @@ def _part(key: np.ndarray, who: np.ndarray, edge_key: np.ndarray, edge_who: np.n
     """How many edges are below (key, who)."""
     part = np.searchsorted(edge_key, key, side="left")
     last = np.searchsorted(edge_key, key, side="right")
-    for i in np.flatnonzero(part < last):
-        part[i] += int(np.searchsorted(edge_who[part[i] : last[i]], who[i], side="left"))
+    split = np.flatnonzero(part < last)
+    for a in np.unique(part[split]):  # once for each hash that edges have
+        own = split[part[split] == a]
+        part[own] += np.searchsorted(edge_who[a : last[own[0]]], who[own], side="left")
     return part
 
 
