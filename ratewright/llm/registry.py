@@ -94,13 +94,32 @@ n AS (SELECT doc_id, count(*) AS n_removed FROM gone GROUP BY doc_id)
 SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(s, '')) AS kept_sha256
 FROM w LEFT JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)""",
     "op5_redirect_equivalence": r"""
-WITH RECURSIVE tags AS (
-  SELECT url, unnest(list_concat(
-    list_transform(list_filter(regexp_extract_all(coalesce(html, ''), '(?is)<link\b[^>]*>'), lambda x: regexp_matches(x, '(?is)\brel\s*=\s*["'']?canonical\b')),
-                   lambda x: regexp_extract(x, '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1)),
-    list_transform(list_filter(regexp_extract_all(coalesce(html, ''), '(?is)<meta\b[^>]*>'), lambda x: regexp_matches(x, '(?is)\bhttp-equiv\s*=\s*["'']?refresh\b')),
-                   lambda x: regexp_extract(x, '(?is)\bcontent\s*=\s*["''][^"''>]*url\s*=\s*([^"''\s>]+)', 1)))) AS target
-  FROM pages WHERE url LIKE '%://%'),
+WITH RECURSIVE parts_of_pages AS (
+  SELECT DISTINCT url, html, translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS h,
+    regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS p FROM pages WHERE url LIKE '%://%'),
+written AS (
+  SELECT url, h, p, replace(unnest(list_concat(
+    list_transform(list_filter(regexp_extract_all(coalesce(html, ''), '(?is)<link\b[^>]*>'), lambda x: regexp_matches(x, '(?is)\brel\s*=\s*("[^"]*\bcanonical\b|''[^'']*\bcanonical\b|canonical\b)')),
+                   lambda x: regexp_extract(x, '(?is)\bhref\s*=\s*["'']?\s*([^"''\s>]+)', 1)),
+    list_transform(list_filter(regexp_extract_all(coalesce(html, ''), '(?is)<meta\b[^>]*>'), lambda x: regexp_matches(x, '(?is)\bhttp-equiv\s*=\s*["'']?\s*refresh\b')),
+                   lambda x: regexp_extract(regexp_extract(x, '(?is)\bcontent\s*=\s*("[^"]*"|''[^'']*''|[^\s>]+)', 1), '(?is)\burl\s*=\s*["'']?\s*([^"''\s>]+)', 1)))), '&amp;', '&') AS t
+  FROM parts_of_pages WHERE h <> ''),
+joined AS (
+  SELECT *, CASE WHEN starts_with(t, '/') THEN regexp_extract(t, '(?s)^([^?#]*)', 1)
+    ELSE coalesce(nullif(regexp_extract(p, '(?s)^(.*/)', 1), ''), '/') || regexp_extract(t, '(?s)^([^?#]*)', 1) END AS j, row_number() OVER () AS n
+  FROM written WHERE t <> ''),
+-- one path segment a step: '..' takes the last one away
+walk(n, k, done) AS (
+  SELECT n, 2, ['']::VARCHAR[] FROM joined
+  UNION ALL
+  SELECT walk.n, k + 1, CASE string_split(j, '/')[k] WHEN '.' THEN done WHEN '..' THEN CASE WHEN len(done) > 1 THEN done[:-2] ELSE done END ELSE list_append(done, string_split(j, '/')[k]) END
+  FROM walk JOIN (SELECT n, CASE WHEN regexp_matches(j, '/\.\.?$') THEN j || '/' ELSE j END AS j FROM joined) USING (n) WHERE k <= len(string_split(j, '/'))),
+walked AS (SELECT n, array_to_string(max_by(done, k), '/') AS j FROM walk GROUP BY n),
+tags AS (
+  SELECT url, CASE WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN t WHEN starts_with(t, '//') THEN 'http:' || t
+    WHEN starts_with(t, '#') OR regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN NULL WHEN starts_with(t, '?') THEN 'http://' || h || p || t
+    ELSE 'http://' || h || walked.j || regexp_extract(t, '(?s)^[^?#]*(.*)$', 1) END AS target
+  FROM joined JOIN walked USING (n)),
 urls AS (SELECT url FROM pages WHERE url LIKE '%://%' UNION SELECT target FROM tags WHERE target LIKE '%://%'),
 parts AS (
   SELECT url, translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
