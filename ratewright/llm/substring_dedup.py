@@ -44,14 +44,17 @@ def _pack(hashes, doc, pos, ids, marks) -> bytes:
     return b"".join(x.tobytes() for x in parts)
 
 
-def _unpack(body: bytes):
-    """hashes (none: None), and per occurrence the id, mark and position."""
+def _unpack(body: bytes, slices: int = 1, number: int = 0):
+    """hashes (none: None), and per occurrence the id, mark and position; of several slices of the hashes the one of that number."""
     n, h, m, wide, far = np.frombuffer(body, np.int64, 5)
     at, out = 40, []
     for count, kind in ((n * (h > 0), f"u{h or 1}"), (n, f"u{wide}"), (n, f"i{far}"), (m, "i8"), (m, "i4")):
         out.append(np.frombuffer(body, kind, count, at))
         at += count * np.dtype(kind).itemsize
     hashes, doc, pos, ids, marks = out
+    if slices > 1:
+        own = np.flatnonzero(hashes % hashes.dtype.type(slices) == number)
+        hashes, doc, pos = hashes[own], doc[own], pos[own]
     return hashes.astype(np.uint64) if h else None, ids[doc], marks[doc], pos.astype(np.int64)
 
 
@@ -132,17 +135,24 @@ class _Sender:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*sent, strict=True), kinds, strict=True)], names=["bucket", "chunk", "known", "body"])
 
 
-def _answers(later: bool):
+def _answers(later: bool, most: int):
     """Per bucket: of the occurrences sent, those that the rule answers, packed by the chunk that they came from."""
 
     def rows(chunks, bodies):
         return pa.RecordBatch.from_arrays([pa.array(chunks, pa.int64()), pa.array(bodies, pa.binary())], names=["chunk", "body"])
 
     def settle(sent):
-        if not sent:
+        """A bucket's packed bodies, some `most` occurrences of them at a time."""
+        slices = -(-sum(int(np.frombuffer(body, np.int64, 1)[0]) for _, body in sent) // most)
+        for number in range(slices):
+            yield from settle_slice(sent, slices, number)
+
+    def settle_slice(sent, slices, number):
+        parts = [_unpack(body, slices, number) for _, body in sent]
+        source = np.repeat(np.arange(len(sent)), [len(x[0]) for x in parts])
+        hashes, ids, marks, pos = (np.concatenate(x) for x in zip(*parts, strict=True))
+        if not len(hashes):
             return
-        hashes, ids, marks, pos = (np.concatenate(x) for x in zip(*(_unpack(body) for _, body in sent), strict=True))
-        source = np.repeat(np.arange(len(sent)), [int(np.frombuffer(body, np.int64, 1)[0]) for _, body in sent])
         order = np.argsort(hashes, kind="stable")
         hashes, sorted_ids = hashes[order], ids[order]
         start = np.flatnonzero(np.r_[True, hashes[1:] != hashes[:-1]])
@@ -193,7 +203,7 @@ def _exchange(df: DataFrame, send, later: bool) -> DataFrame:
     """(id, mark, list of packed positions) of the occurrences that `send` emits and the rule answers."""
     n = shuffle_partitions(df)
     sent = df.mapInArrow(send(n, later), _SENT).repartition(n, "bucket").sortWithinPartitions("bucket")
-    answered = sent.mapInArrow(_answers(later), _ANSWERED).repartition(n, "chunk").sortWithinPartitions("chunk")
+    answered = sent.mapInArrow(_answers(later, CHUNK), _ANSWERED).repartition(n, "chunk").sortWithinPartitions("chunk")
     return answered.mapInArrow(_by_document, _SPOTS).groupBy("id", "mark").agg(F.collect_list("spots").alias("spots"))
 
 

@@ -165,8 +165,9 @@ def brute_windows(rows, window):
     return out
 
 
-@pytest.mark.parametrize("window", [7, 13])
-def test_substring_dedup(docs, rows, window):
+@pytest.mark.parametrize(("window", "chunk"), [(7, 2_000_000), (13, 2_000_000), (13, 300)])
+def test_substring_dedup(docs, rows, window, chunk, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "CHUNK", chunk)
     got = substring_dedup.remove_repeats(docs, window=window).select("row.*", "n_words", "n_removed", "kept").collect()
     assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept) for r in got) == brute_windows(rows, window)
     assert {(r.doc_id, r.score, r.mark) for r in got} == {(r.doc_id, r.score, r.mark) for r in docs.collect()}
