@@ -6,13 +6,13 @@ last return the columns of documents (further columns of the input too).
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratewright.llm import decontamination, packing, simhash, substring_dedup, toxicity
+from ratewright.sources.io import shared_folder
 
 #: No SQL: character n-gram regression, XXH64 fingerprints and the tokeniser are not SQL functions.
 ORACLE_SQL = None
@@ -61,8 +61,7 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages over documents; each result is kept as Parquet in the folder that spark.checkpoint.dir names."""
-    shared = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="pipeline-")
-    base = f"{shared.rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    base = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{base}/{name}")

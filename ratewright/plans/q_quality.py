@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
@@ -145,8 +144,7 @@ def _(spark, sf):
 
 
 def _shared(spark, name):
-    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tables-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{io.shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 @query("immutable_snapshot", "SELECT n_nationkey, n_regionkey AS frozen, n_regionkey + (n_nationkey % 2)::INTEGER AS current, (n_nationkey % 2)::INTEGER AS drift FROM nation")

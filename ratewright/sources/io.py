@@ -9,6 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for tables between steps: what spark.checkpoint.dir names or the context has, else one in the warehouse, which executors share too."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_between").rstrip("/")
+
+
 def _clean_names(df: DataFrame) -> DataFrame:
     return df.toDF(*(c.strip().lower() for c in df.columns))
 
