@@ -2,19 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame
 
+from ratewright.sources.io import shared_folder
 
-def cut(df: DataFrame) -> DataFrame:
-    """`df.checkpoint()` in the folder that the cluster names in spark.checkpoint.dir.
 
-    Only where the session names none (tests) is a folder set here.
-    """
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+def cut(df: DataFrame) -> DataFrame:
+    """`df.checkpoint()` in the folder that every executor shares."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
