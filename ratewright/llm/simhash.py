@@ -258,12 +258,15 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ra
 # likeness, however the texts were edited, and takes the part that the equal segment has above.  At 0.8 a bit differs with a chance of 0.15, and
 # two segments share a codeword with one of 0.60 (always where at most two bits differ; by pigeonhole some segment is such up to 32 differing
 # bits).  So all PARTS keys miss a pair at 0.8 with a chance of (1 - 0.8 * 0.60)**11 = 0.0007, and less above.  A pair that shares a key is judged
-# by its sets.
+# by its sets; pairs that no star settles only if their fingerprints allow it.
 SHINGLE, LIKENESS = 5, 0.8
-LANES, PARTS = 4, 11  # 64-bit lanes of the fingerprint; segments
+LANES, PARTS = 16, 11  # 64-bit lanes of the fingerprint; segments of its first bits that make keys
 WIDE = 64 * LANES
-MOST_APART = 68  # of WIDE bits; more differ at LIKENESS with a chance of 1e-6, of 1e-3 in sets of five shingles
-_ODD = np.random.Generator(np.random.PCG64(20240301)).integers(1 << 62, 1 << 63, (3, PARTS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+# of WIDE bits 155 +- 11.5 differ at LIKENESS, more in small sets; beyond this bound with a chance of 2e-6, while at 0.6 nearly all pairs are beyond it
+MOST_APART, MORE_APART = 208, 512  # that many, and the second number over the smaller set's shingles
+BLOCK = 4096  # rows of one key that a task compares with as many others; more are dealt out as pairs of blocks
+_SALTS = np.random.Generator(np.random.PCG64(20240302)).integers(1 << 62, 1 << 63, LANES, dtype=np.uint64)
+_ODD = np.random.Generator(np.random.PCG64(20240301)).integers(1 << 62, 1 << 63, (2, PARTS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(np.uint64).ravel()  # a byte's bits, a byte each
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
@@ -298,10 +301,10 @@ def set_bits(items: np.ndarray, first: np.ndarray) -> np.ndarray:
     row_block = np.cumsum(blocks) - blocks
     start = np.repeat(first[:-1], blocks) + 255 * (np.arange(blocks.sum()) - np.repeat(row_block, blocks))
     end, counts = np.r_[start[1:], first[-1]], []
-    for k in range(0, len(start), 256):
-        part = items[start[k] : end[min(k + 256, len(start)) - 1]].astype(np.uint64)
-        lanes = np.stack([mix(part + salt) for salt in _ODD[2][:LANES]], axis=1)
-        counts.append(np.add.reduceat(_SPREAD[lanes.view(np.uint8)], start[k : k + 256] - start[k], axis=0).view(np.uint8))
+    for k in range(0, len(start), 64):
+        part = items[start[k] : end[min(k + 64, len(start)) - 1]].astype(np.uint64)
+        lanes = np.stack([mix(part + salt) for salt in _SALTS], axis=1)
+        counts.append(np.add.reduceat(_SPREAD[lanes.view(np.uint8)], start[k : k + 64] - start[k], axis=0).view(np.uint8))
     ones = np.add.reduceat(np.concatenate(counts), row_block, axis=0, dtype=np.int32)
     return (2 * ones > n[:, None]).astype(np.uint8)
 
@@ -312,15 +315,29 @@ def minima(items: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.stack([np.minimum.reduceat(h * m, first[:-1]) for m in _ODD[0]], axis=1)
 
 
+def segment_codes(bits: np.ndarray) -> np.ndarray:
+    """The sorted codewords near each of the PARTS segments, with repeats: (rows, PARTS, 6)."""
+    value = bits[:, : 23 * PARTS].reshape(-1, 23).astype(np.int64) @ (1 << np.arange(23))
+    return np.sort(golay().keys(value), axis=1).reshape(len(bits), PARTS, -1)
+
+
+def _key(least: np.ndarray, codes: np.ndarray, part: np.ndarray) -> np.ndarray:
+    return mix(least + codes.astype(np.uint64) * _ODD[1][part])
+
+
 def set_keys(bits: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(key, number of its set): each codeword near a segment with that segment's minimum, without repeats in a set."""
-    value = bits[:, : 23 * PARTS].reshape(-1, 23).astype(np.int64) @ (1 << np.arange(23))
-    codes = np.sort(golay().keys(value), axis=1)
-    fresh = np.c_[np.ones(len(codes), bool), codes[:, 1:] != codes[:, :-1]]
-    part = np.tile(_ODD[1], len(bits))
-    keys = mix(least.ravel()[:, None] + codes.astype(np.uint64) * part[:, None])
-    owner = np.broadcast_to(np.repeat(np.arange(len(bits)), PARTS)[:, None], fresh.shape)
-    return keys[fresh], owner[fresh]
+    codes = segment_codes(bits)
+    fresh = np.concatenate([np.ones((*codes.shape[:2], 1), bool), codes[:, :, 1:] != codes[:, :, :-1]], axis=2)
+    owner, part, _ = np.nonzero(fresh)
+    return _key(least[owner, part], codes[fresh], part), owner
+
+
+def first_shared_key(least: np.ndarray, codes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The key that stands for a pair among all that it shares: the first segment's, with the least codeword."""
+    equal = (codes[a][:, :, :, None] == codes[b][:, :, None, :]).any(axis=3) & (least[a] == least[b])[:, :, None]
+    part, place = np.divmod(equal.reshape(len(a), -1).argmax(axis=1), codes.shape[2])
+    return _key(least[a, part], codes[a, part, place], part)
 
 
 @releasing
@@ -394,79 +411,100 @@ def _shared_keys(batches):
         yield rows(key, node)
 
 
+def _are_alike(x, y, least: float) -> bool:
+    """Whether two sets, as packed by _set_batches, have that Jaccard likeness."""
+    x, y = (np.frombuffer(v.as_buffer(), np.uint32) for v in (x, y))
+    both = np.sort(np.concatenate([x, y]), kind="stable")
+    same = int((both[1:] == both[:-1]).sum())
+    return same >= least * (len(both) - same)
+
+
 def _alike(least: float):
     """Rows (a, b, items of a, items of b): the pairs whose sets are alike."""
 
     @releasing
     def run(batches):
         for batch in batches:
-            keep = np.zeros(batch.num_rows, bool)
-            for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint32) for v in (x, y))
-                both = np.sort(np.concatenate([x, y]), kind="stable")
-                same = int((both[1:] == both[:-1]).sum())
-                keep[i] = same >= least * (len(both) - same)
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(keep)), batch.column(1).filter(pa.array(keep))], names=["node", "link"])
+            keep = pa.array([_are_alike(x, y, least) for x, y in zip(batch.column(2), batch.column(3), strict=True)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["node", "link"])
 
     return run
 
 
-@releasing
-def _open_pairs(batches):
-    """Rows (key, node, root, bits) by key and node: the pairs of nodes of a key that have different roots and near fingerprints.
+def _open_links(least: float):
+    """Rows (task, side, key, node, root, n, bits, least, items) by task: links between alike nodes of one task (of different sides, or side 2)
+    that have different roots and are not linked by earlier ones.  A pair is judged in one of the keys that it shares only."""
+
+    def pairs(task, side, root, n, fp):
+        """Row numbers of the pairs of a task that sizes and fingerprints allow."""
+        low = np.searchsorted(task, task, "left")
+        for i in range(0, len(task), 64):
+            block = slice(i, min(i + 64, len(task)))
+            other = slice(int(low[i]), block.stop)
+            at = np.arange(other.start, other.stop)
+            ours = (at >= low[block, None]) & (at < np.arange(i, block.stop)[:, None])
+            ours &= (side[block, None] == 2) | (side[block, None] != side[None, other])
+            ours &= root[block, None] != root[None, other]
+            x, y = np.nonzero(ours)
+            for k in range(0, len(x), 1 << 13):
+                a, b = x[k : k + (1 << 13)] + i, y[k : k + (1 << 13)] + other.start
+                small, large = np.minimum(n[a], n[b]), np.maximum(n[a], n[b])
+                fit = small >= least * large
+                a, b, small = a[fit], b[fit], small[fit]
+                near = np.bitwise_count(fp[a] ^ fp[b]).sum(axis=1, dtype=np.int32) <= MOST_APART + MORE_APART // small
+                yield a[near], b[near]
+
+    def settle(table):
+        table = table.combine_chunks()
+        task, side, key, node, root, n = (table.column(k).to_numpy() for k in range(6))
+        fp = _packed(table.column(6), np.uint64, LANES)
+        minimum, items = _packed(table.column(7), np.uint64, PARTS), table.column(8)
+        codes = segment_codes(np.unpackbits(fp.view(np.uint8), axis=1))
+        joined: dict[int, int] = {}
+
+        def top(x):
+            while x in joined:
+                x = joined[x]
+            return x
 
-    A block of a key's rows is compared with the rows before it, which are kept as arrays of 48 bytes a row.
-    """
-    held, n, hot = None, 0, None  # rows of the key that goes on
-
-    def pairs(new, old):
-        """Pairs of each row of `new` with the rows of `old` before it of its key."""
-        key, node, root, fp = new
-        low, high = np.searchsorted(old[0], key, "left"), np.searchsorted(old[0], key, "right")
-        high = np.minimum(high, np.arange(len(key))) if old is new else high
-        for i in range(0, len(key), 64):
-            block = slice(i, i + 64)
-            for j in range(int(low[block].min()), int(high[block].max()), 4096):
-                other = slice(j, min(j + 4096, int(high[block].max())))
-                at = np.arange(j, other.stop)
-                ours = (at >= low[block, None]) & (at < high[block, None])
-                x, y = np.nonzero(ours & (root[block, None] != old[2][None, other]))
-                if len(x):
-                    near = np.bitwise_count(fp[x + i] ^ old[3][y + j]).sum(axis=1, dtype=np.int32) <= MOST_APART
-                    yield pa.RecordBatch.from_arrays([pa.array(old[1][y + j][near]), pa.array(node[x + i][near])], names=["a", "b"])
+        left, right = [], []
+        for a, b in pairs(task, side, root, n, fp):
+            if not len(a):
+                continue
+            here = first_shared_key(minimum, codes, a, b).view(np.int64) == key[a]
+            for i, j in zip(a[here].tolist(), b[here].tolist(), strict=True):
+                x, y = top(int(root[i])), top(int(root[j]))
+                if x != y and _are_alike(items[i], items[j], least):
+                    joined[max(x, y)] = min(x, y)
+                    left.append(node[i])
+                    right.append(node[j])
+        if left:
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["node", "link"])
 
-    for batch in batches:
-        new = [batch.column(i).to_numpy() for i in range(3)] + [_packed(batch.column(3), np.uint64, LANES)]
-        if not len(new[0]):
-            continue
-        yield from pairs(new, new)
-        if n and hot == new[0][0]:
-            own = int(np.searchsorted(new[0], hot, "right"))
-            yield from pairs([x[:own] for x in new], [x[:n] for x in held])
-        at = int(np.searchsorted(new[0], new[0][-1]))
-        if hot != new[0][-1]:
-            held, n, hot = None, 0, new[0][-1]
-        tail = [x[at:] for x in new]
-        if held is None or n + len(tail[0]) > len(held[0]):  # room doubles, so that a long key isn't copied with every batch
-            room = max(2 * n, n + len(tail[0]))
-            grown = [np.empty((room, *x.shape[1:]), x.dtype) for x in tail]
-            for x, y in zip(grown, held or [], strict=False):
-                x[:n] = y[:n]
-            held = grown
-        for x, y in zip(held, tail, strict=True):
-            x[n : n + len(y)] = y
-        n += len(tail[0])
+    @releasing
+    def run(batches):
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            held = table if held is None else pa.concat_tables([held, table])
+            task = held.column(0).to_numpy()
+            done = int(np.searchsorted(task, task[-1])) if len(task) else 0  # the last task may go on
+            if done:
+                yield from settle(held.slice(0, done))
+                held = held.slice(done)
+        if held is not None and held.num_rows:
+            yield from settle(held)
+
+    return run
 
 
 def _judged(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
-    """(node, link): the pairs (a, b) of distinct nodes whose sets are alike; only sets of pairs that pass by size travel with them."""
+    """(node, link): the pairs (a, b) of distinct nodes whose sets are alike; sets travel with pairs that their sizes allow."""
     slim = nodes.select("node", "n")
     sized = pairs.join(slim.select(F.col("node").alias("a"), F.col("n").alias("_n")), "a").join(slim.withColumnRenamed("node", "b"), "b")
-    sized = cut(sized.where(F.least("n", "_n") >= least * F.greatest("n", "_n")).select("a", "b"))
-    needed = sized.select(F.col("a").alias("node")).union(sized.select(F.col("b").alias("node"))).distinct()
-    sets = cut(nodes.select("node", "items").join(needed, "node"))
-    named = sized.join(sets.select(F.col("node").alias("b"), F.col("items").alias("_b")), "b")
-    named = named.join(sets.select(F.col("node").alias("a"), F.col("items").alias("_a")), "a")
+    sized = sized.where(F.least("n", "_n") >= least * F.greatest("n", "_n")).select("a", "b")
+    named = sized.join(nodes.select(F.col("node").alias("b"), F.col("items").alias("_b")), "b")
+    named = named.join(nodes.select(F.col("node").alias("a"), F.col("items").alias("_a")), "a")
     return named.select("a", "b", "_a", "_b").mapInArrow(_alike(least), "node long, link long")
 
 
@@ -478,13 +516,20 @@ def _near_groups(docs: DataFrame, id_col: str, text_col: str, least: float) -> D
     nodes = cut(rows.groupBy("node").agg(F.min("id").alias("least_id"), *(F.any_value(c).alias(c) for c in ("n", "bits", "least", "items"))))
     keyed = nodes.where("n > 0").select("node", "bits", "least").mapInArrow(_set_key_batches, "key long, node long")
     shared = cut(keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_shared_keys, "key long, node long, lead long, many boolean"))
-    links = cut(_judged(shared.where("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct(), nodes, least))
+    sharing = cut(nodes.select("node", "n", "bits", "least", "items").join(shared.select("node").distinct(), "node", "left_semi"))
+    links = cut(_judged(shared.where("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct(), sharing, least))
     roots = connected_components(links, "node", "link")
     rest = shared.where("many").select("key", "node").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-    several = rest.groupBy("key").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).where("_low <> _high").select("key")
-    rest = rest.join(several, "key").join(nodes.select("node", "bits"), "node").select("key", "node", "root", "bits")
-    pairs = rest.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_open_pairs, "a long, b long").distinct()
-    links = cut(links.unionByName(_judged(pairs, nodes, least)))
+    several = rest.groupBy("key").agg(F.min("root").alias("_low"), F.max("root").alias("_high"), F.count("*").alias("_rows")).where("_low <> _high")
+    blocks = F.ceil(F.col("_rows") / BLOCK).cast("int")
+    rest = rest.join(several, "key").select("key", "node", "root", blocks.alias("_blocks"), F.pmod(F.xxhash64("node"), blocks).cast("int").alias("_own"))
+    rest = rest.select("*", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_other"))
+    task = F.xxhash64("key", F.least("_own", "_other"), F.greatest("_own", "_other")).alias("task")
+    side = F.when(F.col("_own") == F.col("_other"), 2).otherwise((F.col("_own") > F.col("_other")).cast("int")).alias("side")
+    rest = rest.select(task, side, "key", "node", "root").join(sharing, "node")
+    rest = rest.select("task", "side", "key", "node", "root", "n", "bits", "least", "items")
+    found = rest.repartition("task").sortWithinPartitions("task", "node").mapInArrow(_open_links(least), "node long, link long")
+    links = cut(links.unionByName(found))
     roots = connected_components(links, "node", "link")
     return nodes.select("node", "least_id").join(roots, "node", "left").select("node", "least_id", F.coalesce("root", "node").alias("root"))
 
@@ -495,7 +540,8 @@ def keep_one_near_copy(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     Equal sets are one node, so copies of any number are grouped before the join.  In each key all nodes are first judged against the
     smallest one, which settles groups of near copies with rows in proportion; then nodes of one key that are still in different groups are
-    judged, where their fingerprints are near.  There is no size from which that changes.  Wordless and null texts are alike; repeats of a row
+    judged by the task that holds the key, where their fingerprints are near, and only links leave it.  Of a key with more than BLOCK such
+    nodes each pair of blocks is a task; no result depends on that.  Wordless and null texts are alike; repeats of a row
     that stays stay; a null id stays only where all ids of its group are null.
     """
     if least < LIKENESS:

@@ -388,8 +388,9 @@ def kept_of(rows, least=0.8):
     return set(label.values())
 
 
-@pytest.mark.parametrize("parts", [1, 7])
-def test_near_copies(spark, parts):
+@pytest.mark.parametrize(("parts", "block"), [(1, 4096), (7, 4096), (3, 2)])
+def test_near_copies(spark, parts, block, monkeypatch):
+    monkeypatch.setattr(simhash, "BLOCK", block)
     rng = random.Random(8)
     words = ["".join(rng.choice("abcdefgiklmnorstu") for _ in range(rng.randint(2, 8))) for _ in range(3000)]
     rows = []
@@ -459,7 +460,9 @@ def test_near_copies_with_blocks_added_or_cut(spark):
     assert 30 < sum(alike.values()) < 110 and kept == {i for i, _ in rows if not alike.get(i, False)}
 
 
-def test_near_copies_in_a_large_key_are_all_compared(spark):
+@pytest.mark.parametrize("block", [4096, 20])
+def test_near_copies_in_a_large_key_are_all_compared(spark, block, monkeypatch):
+    monkeypatch.setattr(simhash, "BLOCK", block)
     rng = random.Random(22)
     word = lambda: "".join(rng.choice("abcdefgiklmnorstu") for _ in range(8))
     stem = " ".join(word() for _ in range(100))
