@@ -264,6 +264,7 @@ LANES, PARTS = 16, 11  # 64-bit lanes of the fingerprint; segments of its first
 WIDE = 64 * LANES
 # of WIDE bits 155 +- 11.5 differ at LIKENESS, more in small sets; beyond this bound with a chance of 2e-6, while at 0.6 nearly all pairs are beyond it
 MOST_APART, MORE_APART = 208, 512  # that many, and the second number over the smaller set's shingles
+FIRST_LANES, FIRST_APART = 4, 66  # the same for the first lanes alone, which are looked at first: 39 +- 5.7 differ at LIKENESS
 BLOCK = 4096  # rows of one key that a task compares with as many others; more are dealt out as pairs of blocks
 _SALTS = np.random.Generator(np.random.PCG64(20240302)).integers(1 << 62, 1 << 63, LANES, dtype=np.uint64)
 _ODD = np.random.Generator(np.random.PCG64(20240301)).integers(1 << 62, 1 << 63, (2, PARTS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -379,36 +380,20 @@ def _set_key_batches(batches):
 
 @releasing
 def _shared_keys(batches):
-    """Rows (key, node) by key and node: those of keys of several nodes, with the key's first node and whether it has more than two."""
-    key, node = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    going, lead, told = None, 0, 0  # a key that earlier rows had, its first node, and how many of its rows are told
-
-    def rows(key, node):
-        nonlocal going, lead, told
-        fresh = np.r_[True, key[1:] != key[:-1]]
-        start = np.flatnonzero(fresh)
-        size = np.diff(np.r_[start, len(key)])
-        first = node[start].copy()
-        if going == key[0]:
-            first[0] = lead
-            size[0] += told
-        told = int(size[-1])
-        going, lead = key[-1], first[-1]
-        group = np.cumsum(fresh) - 1
-        keep = (size > 1)[group]
-        columns = (key[keep], node[keep], first[group][keep], (size > 2)[group][keep])
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "node", "lead", "many"])
-
+    """Rows (key, node) sorted by key: those of keys of several nodes."""
+    last = None  # the last row met, and whether it is told already
     for batch in batches:
-        key, node = np.r_[key, batch.column(0).to_numpy()], np.r_[node, batch.column(1).to_numpy()]
-        done = int(np.searchsorted(key, key[-1])) if len(key) else 0  # the last key may go on
-        if len(key) - done > 1 << 16:  # a hot key: all but its last three rows, whatever comes, have their answer
-            done = len(key) - 3
-        if done:
-            yield rows(key[:done], node[:done])
-            key, node = key[done:], node[done:]
-    if len(key):
-        yield rows(key, node)
+        key, node = (batch.column(i).to_numpy() for i in range(2))
+        if not len(key):
+            continue
+        told = False
+        if last is not None:
+            key, node, told = np.r_[last[0], key], np.r_[last[1], node], last[2]
+        same = np.r_[False, key[1:] == key[:-1]]
+        shared = same | np.r_[same[1:], False]
+        last = key[-1], node[-1], bool(shared[-1])
+        shared[0] &= not told
+        yield pa.RecordBatch.from_arrays([pa.array(key[shared]), pa.array(node[shared])], names=["key", "node"])
 
 
 def _are_alike(x, y, least: float) -> bool:
@@ -431,31 +416,69 @@ def _alike(least: float):
     return run
 
 
+def _near_pairs(task, side, root, n, fp, least: float, apart: int):
+    """Row numbers (later, earlier) of the pairs of one task, of different roots and of different sides (or side 2), that sizes and fingerprints allow."""
+    low, more = np.searchsorted(task, task, "left"), MORE_APART * fp.shape[1] // LANES
+    for i in range(0, len(task), 64):
+        block = slice(i, min(i + 64, len(task)))
+        other = slice(int(low[i]), block.stop)
+        at = np.arange(other.start, other.stop)
+        ours = (at >= low[block, None]) & (at < np.arange(i, block.stop)[:, None])
+        ours &= (side[block, None] == 2) | (side[block, None] != side[None, other])
+        ours &= root[block, None] != root[None, other]
+        x, y = np.nonzero(ours)
+        for k in range(0, len(x), 1 << 13):
+            a, b = x[k : k + (1 << 13)] + i, y[k : k + (1 << 13)] + other.start
+            small, large = np.minimum(n[a], n[b]), np.maximum(n[a], n[b])
+            fit = small >= least * large
+            a, b, small = a[fit], b[fit], small[fit]
+            near = np.bitwise_count(fp[a] ^ fp[b]).sum(axis=1, dtype=np.int32) <= apart + more // small
+            yield a[near], b[near]
+
+
+def _by_task(settle):
+    """A mapInArrow function over rows sorted by their first column: `settle` gets tables of whole tasks."""
+
+    @releasing
+    def run(batches):
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            held = table if held is None else pa.concat_tables([held, table])
+            task = held.column(0).to_numpy()
+            done = int(np.searchsorted(task, task[-1])) if len(task) else 0  # the last task may go on
+            if done:
+                yield settle(held.slice(0, done).combine_chunks())
+                held = held.slice(done)
+        if held is not None and held.num_rows:
+            yield settle(held.combine_chunks())
+
+    return run
+
+
+def _close_rows(least: float):
+    """Rows (task, side, key, node, n, first lanes) by task and node: key and node of those that the first lanes bring near another one, and the
+    smallest such node if that is smaller than their own."""
+
+    def settle(table):
+        task, side, key, node, n = (table.column(k).to_numpy() for k in range(5))
+        fp = _packed(table.column(5), np.uint64, FIRST_LANES)
+        close, partner = np.zeros(len(task), bool), np.arange(len(task))
+        for a, b in _near_pairs(task, side, node, n, fp, least, FIRST_APART):
+            close[a] = close[b] = True
+            np.minimum.at(partner, a, b)
+        at = np.flatnonzero(close)
+        smaller = pa.array(node[partner[at]], mask=partner[at] == at)
+        return pa.RecordBatch.from_arrays([pa.array(key[at]), pa.array(node[at]), smaller], names=["key", "node", "partner"])
+
+    return _by_task(settle)
+
+
 def _open_links(least: float):
     """Rows (task, side, key, node, root, n, bits, least, items) by task: links between alike nodes of one task (of different sides, or side 2)
     that have different roots and are not linked by earlier ones.  A pair is judged in one of the keys that it shares only."""
 
-    def pairs(task, side, root, n, fp):
-        """Row numbers of the pairs of a task that sizes and fingerprints allow."""
-        low = np.searchsorted(task, task, "left")
-        for i in range(0, len(task), 64):
-            block = slice(i, min(i + 64, len(task)))
-            other = slice(int(low[i]), block.stop)
-            at = np.arange(other.start, other.stop)
-            ours = (at >= low[block, None]) & (at < np.arange(i, block.stop)[:, None])
-            ours &= (side[block, None] == 2) | (side[block, None] != side[None, other])
-            ours &= root[block, None] != root[None, other]
-            x, y = np.nonzero(ours)
-            for k in range(0, len(x), 1 << 13):
-                a, b = x[k : k + (1 << 13)] + i, y[k : k + (1 << 13)] + other.start
-                small, large = np.minimum(n[a], n[b]), np.maximum(n[a], n[b])
-                fit = small >= least * large
-                a, b, small = a[fit], b[fit], small[fit]
-                near = np.bitwise_count(fp[a] ^ fp[b]).sum(axis=1, dtype=np.int32) <= MOST_APART + MORE_APART // small
-                yield a[near], b[near]
-
     def settle(table):
-        table = table.combine_chunks()
         task, side, key, node, root, n = (table.column(k).to_numpy() for k in range(6))
         fp = _packed(table.column(6), np.uint64, LANES)
         minimum, items = _packed(table.column(7), np.uint64, PARTS), table.column(8)
@@ -468,7 +491,7 @@ def _open_links(least: float):
             return x
 
         left, right = [], []
-        for a, b in pairs(task, side, root, n, fp):
+        for a, b in _near_pairs(task, side, root, n, fp, least, MOST_APART):
             if not len(a):
                 continue
             here = first_shared_key(minimum, codes, a, b).view(np.int64) == key[a]
@@ -478,24 +501,22 @@ def _open_links(least: float):
                     joined[max(x, y)] = min(x, y)
                     left.append(node[i])
                     right.append(node[j])
-        if left:
-            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["node", "link"])
+        return pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["node", "link"])
 
-    @releasing
-    def run(batches):
-        held = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            held = table if held is None else pa.concat_tables([held, table])
-            task = held.column(0).to_numpy()
-            done = int(np.searchsorted(task, task[-1])) if len(task) else 0  # the last task may go on
-            if done:
-                yield from settle(held.slice(0, done))
-                held = held.slice(done)
-        if held is not None and held.num_rows:
-            yield from settle(held)
+    return _by_task(settle)
 
-    return run
+
+def _dealt(rows: DataFrame, counts: DataFrame) -> DataFrame:
+    """`rows` (key, node, ...) with the task that compares them and their side in it.  `counts` has the keys (others are dropped) and their _rows.
+
+    A key of up to BLOCK rows is one task (side 2: all pairs); of a larger one each block is a task, and each pair of blocks (sides 0 and 1).
+    """
+    blocks = F.ceil(F.col("_rows") / BLOCK).cast("int")
+    rows = rows.join(counts, "key").withColumns({"_blocks": blocks, "_own": F.pmod(F.xxhash64("node"), blocks).cast("int")})
+    rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    task = F.xxhash64("key", F.least("_own", "_other"), F.greatest("_own", "_other"))
+    side = F.when(F.col("_own") == F.col("_other"), 2).otherwise((F.col("_own") > F.col("_other")).cast("int"))
+    return rows.withColumns({"task": task, "side": side}).drop("_rows", "_blocks", "_own", "_other")
 
 
 def _judged(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
@@ -515,20 +536,18 @@ def _near_groups(docs: DataFrame, id_col: str, text_col: str, least: float) -> D
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(_set_batches, schema)
     nodes = cut(rows.groupBy("node").agg(F.min("id").alias("least_id"), *(F.any_value(c).alias(c) for c in ("n", "bits", "least", "items"))))
     keyed = nodes.where("n > 0").select("node", "bits", "least").mapInArrow(_set_key_batches, "key long, node long")
-    shared = cut(keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_shared_keys, "key long, node long, lead long, many boolean"))
-    sharing = cut(nodes.select("node", "n", "bits", "least", "items").join(shared.select("node").distinct(), "node", "left_semi"))
-    links = cut(_judged(shared.where("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct(), sharing, least))
+    shared = cut(keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_shared_keys, "key long, node long"))
+    slim = nodes.select("node", "n", F.substring("bits", 1, 8 * FIRST_LANES).alias("first"))
+    dealt = _dealt(shared, shared.groupBy("key").agg(F.count("*").alias("_rows"))).join(slim, "node").select("task", "side", "key", "node", "n", "first")
+    close = cut(dealt.repartition("task").sortWithinPartitions("task", "node").mapInArrow(_close_rows(least), "key long, node long, partner long"))
+    sharing = cut(nodes.select("node", "n", "bits", "least", "items").join(close.select("node").distinct(), "node", "left_semi"))
+    links = cut(_judged(close.where("partner is not null").select(F.col("partner").alias("a"), F.col("node").alias("b")).distinct(), sharing, least))
     roots = connected_components(links, "node", "link")
-    rest = shared.where("many").select("key", "node").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-    several = rest.groupBy("key").agg(F.min("root").alias("_low"), F.max("root").alias("_high"), F.count("*").alias("_rows")).where("_low <> _high")
-    blocks = F.ceil(F.col("_rows") / BLOCK).cast("int")
-    rest = rest.join(several, "key").select("key", "node", "root", blocks.alias("_blocks"), F.pmod(F.xxhash64("node"), blocks).cast("int").alias("_own"))
-    rest = rest.select("*", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_other"))
-    task = F.xxhash64("key", F.least("_own", "_other"), F.greatest("_own", "_other")).alias("task")
-    side = F.when(F.col("_own") == F.col("_other"), 2).otherwise((F.col("_own") > F.col("_other")).cast("int")).alias("side")
-    rest = rest.select(task, side, "key", "node", "root").join(sharing, "node")
-    rest = rest.select("task", "side", "key", "node", "root", "n", "bits", "least", "items")
-    found = rest.repartition("task").sortWithinPartitions("task", "node").mapInArrow(_open_links(least), "node long, link long")
+    rest = close.select("key", "node").distinct().join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+    several = rest.groupBy("key").agg(F.min("root").alias("_low"), F.max("root").alias("_high"), F.count("*").alias("_rows"))
+    several = several.where("_low <> _high and _rows > 2").select("key", "_rows")
+    dealt = _dealt(rest, several).join(sharing, "node").select("task", "side", "key", "node", "root", "n", "bits", "least", "items")
+    found = dealt.repartition("task").sortWithinPartitions("task", "node").mapInArrow(_open_links(least), "node long, link long")
     links = cut(links.unionByName(found))
     roots = connected_components(links, "node", "link")
     return nodes.select("node", "least_id").join(roots, "node", "left").select("node", "least_id", F.coalesce("root", "node").alias("root"))
@@ -538,10 +557,10 @@ def keep_one_near_copy(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """The rows of `docs`, all columns, without near copies of a row with a smaller id: of each group linked by pairs of a Jaccard likeness of
     `least` (LIKENESS or more) of the sets of five-word shingles the smallest id stays.
 
-    Equal sets are one node, so copies of any number are grouped before the join.  In each key all nodes are first judged against the
-    smallest one, which settles groups of near copies with rows in proportion; then nodes of one key that are still in different groups are
-    judged by the task that holds the key, where their fingerprints are near, and only links leave it.  Of a key with more than BLOCK such
-    nodes each pair of blocks is a task; no result depends on that.  Wordless and null texts are alike; repeats of a row
+    Equal sets are one node, so copies of any number are grouped before the join.  Nodes that no fingerprint of their keys is near go
+    first.  Of the others each is judged against the smallest near one of each key, which settles groups of near copies with rows in proportion;
+    then nodes of one key that are still in different groups are judged by the task that holds the key, and only links leave it.  Of a key
+    with more than BLOCK nodes each pair of blocks is a task; no result depends on that.  Wordless and null texts are alike; repeats of a row
     that stays stay; a null id stays only where all ids of its group are null.
     """
     if least < LIKENESS:
