@@ -153,19 +153,32 @@ def evidence_slots(players: DataFrame, evidence: DataFrame, keys: list[str], slo
     return players.join(best, keys).join(F.broadcast(perms), ["perm", "rn"]).select(*keys, player, slot, "evidence")
 
 
-def token_match(tokens: DataFrame, aliases: DataFrame, token_id: str, text: str, entity: str, alias: str, least: float = 0.68, rounds: int = 3) -> DataFrame:
-    """Greedy one-to-one match of noisy tokens to entities by edit similarity within equal first letters, best pairs first.
+def _bigrams(text: str) -> Column:
+    padded = F.concat(F.lit("\x02"), F.col(text), F.lit("\x03"))
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(padded) - 1), lambda i: F.substr(padded, i, F.lit(2))))
 
-    A round keeps pairs that are best for both sides, so no order of rows matters.
+
+def token_match(tokens: DataFrame, aliases: DataFrame, token_id: str, text: str, entity: str, alias: str, least: float = 0.68) -> DataFrame:
+    """Greedy one-to-one match of noisy tokens to entities by edit similarity of `least` (0.5 or more), best pairs first, until no pair is left.
+
+    A round keeps the pairs that are best for both sides, so no order of rows matters; the best pair of all is one, so the rounds end.  Pairs
+    are found by shared bigrams: an edit changes two of them, so at half as many edits as letters one is left.  Nulls match nothing.
     """
-    similar = 1 - F.levenshtein(text, alias) / F.greatest(F.length(text), F.length(alias))
-    pairs = tokens.join(aliases, F.substring(text, 1, 1) == F.substring(alias, 1, 1)).withColumn("similarity", similar).where(F.col("similarity") >= least)
-    pairs = pairs.groupBy(token_id, entity).agg(F.max("similarity").alias("similarity"))
-    done = None
-    for _ in range(rounds):
-        by_token = Window.partitionBy(token_id).orderBy(F.desc("similarity"), entity)
-        by_entity = Window.partitionBy(entity).orderBy(F.desc("similarity"), token_id)
-        best = pairs.withColumns({"_a": F.row_number().over(by_token), "_b": F.row_number().over(by_entity)}).where("_a = 1 and _b = 1").select(token_id, entity, "similarity")
+    if least < 0.5:
+        raise ValueError("below 0.5 two strings may share no bigram")
+    from ratewright.sources.io import cut
+
+    left = tokens.select(F.col(token_id).alias("token"), F.col(text).alias("text")).withColumn("gram", F.explode(_bigrams("text")))
+    right = aliases.select(F.col(entity).alias("entity"), F.col(alias).alias("alias")).withColumn("gram", F.explode(_bigrams("alias")))
+    pairs = left.join(right, "gram").drop("gram").distinct()
+    similar = 1 - F.levenshtein("text", "alias") / F.greatest(F.length("text"), F.length("alias"))
+    pairs = pairs.withColumn("similarity", similar).where(F.col("similarity") >= least)
+    pairs, done = cut(pairs.groupBy("token", "entity").agg(F.max("similarity").alias("similarity"))), None
+    while done is None or not pairs.isEmpty():
+        by_token = pairs.groupBy("token").agg(F.min(F.struct(-F.col("similarity"), "entity")).alias("_a"))
+        by_entity = pairs.groupBy("entity").agg(F.min(F.struct(-F.col("similarity"), "token")).alias("_b"))
+        best = pairs.join(by_token, "token").join(by_entity, "entity").where("_a.entity = entity and _b.token = token").select("token", "entity", "similarity")
+        best = cut(best)
         done = best if done is None else done.unionByName(best)
-        pairs = pairs.join(best.select(token_id), token_id, "left_anti").join(best.select(entity), entity, "left_anti")
-    return done
+        pairs = cut(pairs.join(best.select("token"), "token", "left_anti").join(best.select("entity"), "entity", "left_anti"))
+    return done.select(F.col("token").alias(token_id), F.col("entity").alias(entity), "similarity")

@@ -121,10 +121,11 @@ def feature_stats(df: DataFrame, features: list[str], group: list[str] | None =
     return q.join(moments, [*group, "feature"])
 
 
-def standardized(df: DataFrame, stats: DataFrame, features: list[str], keys: list[str], missing: bool = False) -> DataFrame:
-    """Rows with `_terms`, an array of (feature, z), and for `missing` an indicator of each null; `keys` name the rows."""
-    wide = stats.groupBy().agg(F.map_from_entries(F.collect_list(F.struct("feature", F.struct("median", "low", "high", "mean", "sd")))).alias("_s"))
-    out = df.crossJoin(F.broadcast(wide))  # one row: a statistic per feature
+def standardized(df: DataFrame, stats: DataFrame, features: list[str], by: list[str] | None = None, missing: bool = False) -> DataFrame:
+    """Rows with `_terms`, an array of (feature, z), and for `missing` an indicator of each null; `by`: the groups that have statistics of their own."""
+    by = by or []
+    wide = stats.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("feature", F.struct("median", "low", "high", "mean", "sd")))).alias("_s"))
+    out = df.join(F.broadcast(wide), by) if by else df.crossJoin(F.broadcast(wide))  # a row per group: a statistic per feature
 
     def z(f):
         s = F.col("_s")[f]
@@ -153,23 +154,28 @@ def apply_linear(rows: DataFrame, coefficients: DataFrame, on: list[str], out: s
     return joined.withColumn(out, value).drop("_m")
 
 
-def season_forward(rows: DataFrame, y: str, keys: list[str], alphas: list[float], season: str = "season", least_rows: int = 50, nonnegative: bool = False) -> DataFrame:
+def season_forward(
+    rows: DataFrame, features: list[str], y: str, alphas: list[float], season: str = "season", least_rows: int = 50, nonnegative: bool = False, missing: bool = False
+) -> DataFrame:
     """Out-of-fold predictions: each season scored by models of the seasons before it, one per alpha, all solved in one job.
 
-    Grams are summed once per season and prefix-summed; a fold is never trained row by row.
+    Medians, clips, means and deviations are those of the fold's own past too, so nothing of a season or a later one reaches its scores.  A
+    row takes part in every later fold; folds are few, and each is reduced to its Gram by partial sums.
     """
-    per_season = linear_gram(rows, [season], F.col(y), intercept=not nonnegative)
-    seasons = rows.select(F.col(season).alias("fold")).distinct()
-    before = seasons.join(per_season, F.col(season) < F.col("fold")).groupBy("fold", "i", "j").agg(F.sum("v").alias("v"), F.sum("n").alias("n"))
+    folds = rows.select(F.col(season).alias("fold")).distinct()
+    past = rows.join(F.broadcast(folds), F.col(season) < F.col("fold"))  # a row per season
+    stats = feature_stats(past, features, ["fold"])
+    before = linear_gram(standardized(past, stats, features, ["fold"], missing), ["fold"], F.col(y), intercept=not nonnegative)
+    rows = standardized(rows.withColumn("fold", F.col(season)), stats, features, ["fold"], missing)
     grid = before.withColumn("alpha", F.explode(F.array(*map(F.lit, alphas))))
     enough = grid.withColumn("_most", F.max("n").over(Window.partitionBy("fold", "alpha"))).where(F.col("_most") >= least_rows).drop("_most")
     models = solve(enough, ["fold", "alpha"], "alpha", ("(1)",), nonnegative=nonnegative)
-    return apply_linear(rows.withColumn("fold", F.col(season)), models, ["fold"], "predicted") if len(alphas) == 1 else _apply_grid(rows, models, season)
+    return apply_linear(rows, models, ["fold"], "predicted") if len(alphas) == 1 else _apply_grid(rows, models)
 
 
-def _apply_grid(rows: DataFrame, models: DataFrame, season: str) -> DataFrame:
+def _apply_grid(rows: DataFrame, models: DataFrame) -> DataFrame:
     model = models.groupBy("fold", "alpha").agg(F.map_from_entries(F.collect_list(F.struct("term", "coefficient"))).alias("_m"))
-    joined = rows.join(F.broadcast(model), F.col(season) == F.col("fold"))  # folds x alphas models
+    joined = rows.join(F.broadcast(model), "fold")  # folds x alphas models
     total = F.aggregate("_terms", F.coalesce(F.try_element_at("_m", F.lit("(1)")), F.lit(0.0)), lambda acc, x: acc + x["v"] * F.coalesce(F.try_element_at(F.col("_m"), x["t"]), F.lit(0.0)))
     return joined.withColumn("predicted", total).drop("_m")
 

@@ -41,7 +41,7 @@ def fill_slots(candidates: DataFrame, keys: list[str], slots: list[str], slot: s
     """Slots in the given order each take their best candidate that no earlier slot took; all keys at once."""
     out, left = None, candidates
     for s in slots:
-        best = first_k(left.where(F.col(slot) == s), keys, [*order, F.col(player)], 1).drop("rank")
+        best = first_k(left.where(F.col(slot) == s), keys, [*order, F.col(player)], 1, "_place").drop("_place")
         out = best if out is None else out.unionByName(best)
         left = left.join(best.select(*keys, player), [*keys, player], "left_anti")
     return out

@@ -223,10 +223,15 @@ def _(spark, sf):
     return I.evidence_slots(top, ev.groupBy("offense", "player", "kind").agg(F.sum("measure").alias("w")), ["offense"], ["R", "A", "N"], "player", "kind", "w")
 
 
-@query("entity_token_match")
+@query(
+    "entity_token_match",
+    """
+WITH n AS (SELECT DISTINCT p_name, left(p_name, length(p_name) - 1) || 'x' AS token FROM part)
+SELECT 't:' || p_name AS token_id, p_name AS entity, 1 - levenshtein(token, p_name)::DOUBLE / greatest(length(token), length(p_name)) AS similarity FROM n""",
+)
 def _(spark, sf):
     p = table(spark, sf, "part").select("p_name").distinct()
-    noisy = p.select(F.xxhash64("p_name").alias("token_id"), F.concat(F.expr("left(p_name, length(p_name) - 1)"), F.lit("x")).alias("token"))
+    noisy = p.select(F.concat(F.lit("t:"), "p_name").alias("token_id"), F.concat(F.expr("left(p_name, length(p_name) - 1)"), F.lit("x")).alias("token"))
     return I.token_match(noisy, p.select(F.col("p_name").alias("entity"), F.col("p_name").alias("alias")), "token_id", "token", "entity", "alias")
 
 

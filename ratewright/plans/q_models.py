@@ -40,11 +40,15 @@ def _(spark, sf):
 FEATURES = ["edge", "line", "model"]
 
 
+def _gains(spark, sf):
+    return predictions(spark, sf).withColumn("gain", (F.col("actual") - F.col("line")).cast("double"))
+
+
 def _frame(spark, sf, missing=False):
-    p = predictions(spark, sf).withColumn("gain", (F.col("actual") - F.col("line")).cast("double"))
+    p = _gains(spark, sf)
     p = p.withColumn("model", F.when(F.col("team") % 6 != 0, F.col("model"))) if missing else p
     stats = S.feature_stats(p, FEATURES)
-    return S.standardized(p, stats, FEATURES, ["season", "period", "team"], missing), stats, p
+    return S.standardized(p, stats, FEATURES, missing=missing), stats, p
 
 
 @query("process_margin_model")
@@ -72,15 +76,13 @@ def _(spark, sf):
 
 @query("season_forward_oof")
 def _(spark, sf):
-    rows, _, _ = _frame(spark, sf)
-    oof = S.season_forward(rows, "gain", ["season", "period", "team"], [50.0], least_rows=50)
+    oof = S.season_forward(_gains(spark, sf), FEATURES, "gain", [50.0], least_rows=50)
     return oof.select("season", "period", "team", "gain", F.round("predicted", 6).alias("predicted"))
 
 
 @query("nested_grid_select")
 def _(spark, sf):
-    rows, _, _ = _frame(spark, sf)
-    oof = S.season_forward(rows, "gain", ["season", "period", "team"], [1.0, 10.0, 100.0, 1000.0], least_rows=50)
+    oof = S.season_forward(_gains(spark, sf), FEATURES, "gain", [1.0, 10.0, 100.0, 1000.0], least_rows=50)
     return S.choose_alpha(oof, "gain").withColumn("mae", F.round("mae", 6))
 
 

@@ -87,23 +87,23 @@ def _(spark, sf):
     return Q.staleness(table(spark, sf, "events"), "ts", at("2024-01-20"), at("2024-01-19"), 48.0).select("event_id", "status")
 
 
-@query("board_completeness", """WITH b AS (SELECT CAST(ts AS DATE) AS day, user_id, CASE WHEN event_id % 97 <> 0 THEN round(value / 20) * CASE WHEN event_id % 53 = 0 THEN 0.25 ELSE 0.5 END END AS line FROM events WHERE event_id % 40 = 0 OR event_id % 97 = 0)
+@query("board_completeness", """WITH b AS (SELECT CAST(ts AS DATE) AS day, user_id, CASE WHEN event_id % 97 <> 0 THEN round(value / 20) * CASE WHEN event_id % 53 = 0 THEN 0.25 ELSE 0.5 END END AS line FROM events)
 SELECT day, count(*) AS rows, (count(*) - count(DISTINCT user_id))::BIGINT AS repeated, count(CASE WHEN line IS NULL THEN 1 END) AS missing, count(CASE WHEN line * 2 <> round(line * 2) THEN 1 END) AS off_grid, count(*) >= 3 AND count(*) = count(DISTINCT user_id) AND count(line) = count(*) AND count(CASE WHEN line * 2 <> round(line * 2) THEN 1 END) = 0 AS complete FROM b GROUP BY day""")
 def _(spark, sf):
-    e = table(spark, sf, "events").where("event_id % 40 = 0 or event_id % 97 = 0")
+    e = table(spark, sf, "events")
     line = F.when(F.col("event_id") % 97 != 0, F.round(F.col("value") / 20) * F.when(F.col("event_id") % 53 == 0, 0.25).otherwise(0.5))
     return Q.board_completeness(e.select(F.to_date("ts").alias("day"), "user_id", line.alias("line")), ["day"], "user_id", "line", 3)
 
 
-@query("read_typed", "SELECT count(*) AS n, sum(r_regionkey)::BIGINT AS total FROM region")
+@query("read_typed", "SELECT count(*) AS n, sum(o_orderkey)::BIGINT AS total FROM orders")
 def _(spark, sf):
-    return io.read_typed(spark, f"{sf}/region.parquet", table(spark, sf, "region").schema).agg(F.count("*").alias("n"), F.sum("r_regionkey").alias("total"))
+    return io.read_typed(spark, f"{sf}/orders.parquet", table(spark, sf, "orders").schema).agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("total"))
 
 
-@query("first_available_source", "SELECT n_nationkey, 'primary' AS source FROM nation")
+@query("first_available_source", "SELECT c_custkey, 'primary' AS source FROM customer")
 def _(spark, sf):
-    n = table(spark, sf, "nation").select("n_nationkey")
-    return io.first_available({"explicit": n.where("n_nationkey < 0"), "primary": n, "backup": n})
+    n = table(spark, sf, "customer").select("c_custkey")
+    return io.first_available({"explicit": n.where("c_custkey < 0"), "primary": n, "backup": n})
 
 
 @query("read_nested_offers", """SELECT user_id::VARCHAR AS id, event_type AS book, count(*) AS offers, sum(-(event_id % 7 + 0.5))::DOUBLE AS home_points FROM events WHERE event_id % 5 <> 0 GROUP BY ALL""")
@@ -138,20 +138,20 @@ def _(spark, sf):
     return io.frame_fingerprint(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber", "l_extendedprice"])
 
 
-@query("row_lineage_hash", """SELECT n_nationkey, sha256('{"n_name":"' || n_name || '","n_nationkey":' || n_nationkey || ',"n_regionkey":' || n_regionkey || '}') AS row_hash FROM nation""")
+@query("row_lineage_hash", """SELECT c_custkey, sha256('{"c_custkey":' || c_custkey || ',"c_name":"' || c_name || '","c_nationkey":' || c_nationkey || '}') AS row_hash FROM customer""")
 def _(spark, sf):
-    return io.row_lineage(table(spark, sf, "nation"), ["n_nationkey", "n_regionkey", "n_name"]).select("n_nationkey", "row_hash")
+    return io.row_lineage(table(spark, sf, "customer"), ["c_custkey", "c_nationkey", "c_name"]).select("c_custkey", "row_hash")
 
 
 def _shared(spark, name):
     return f"{io.shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-@query("immutable_snapshot", "SELECT n_nationkey, n_regionkey AS frozen, n_regionkey + (n_nationkey % 2)::INTEGER AS current, (n_nationkey % 2)::INTEGER AS drift FROM nation")
+@query("immutable_snapshot", "SELECT c_custkey, c_nationkey AS frozen, c_nationkey + (c_custkey % 2)::INTEGER AS current, (c_custkey % 2)::INTEGER AS drift FROM customer")
 def _(spark, sf):
-    n = table(spark, sf, "nation")
-    kept = io.immutable_snapshot(n, _shared(spark, "snapshot"), ["n_nationkey", "n_regionkey"])
-    return io.drift(kept, n.withColumn("n_regionkey", (F.col("n_regionkey") + F.col("n_nationkey") % 2).cast("int")), ["n_nationkey"], "n_regionkey")
+    n = table(spark, sf, "customer")
+    kept = io.immutable_snapshot(n, _shared(spark, "snapshot"), ["c_custkey", "c_nationkey"])
+    return io.drift(kept, n.withColumn("c_nationkey", (F.col("c_nationkey") + F.col("c_custkey") % 2).cast("int")), ["c_custkey"], "c_nationkey")
 
 
 @query("replace_partition", "SELECT o_orderstatus, count(*) AS n, sum(o_orderkey + CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END)::BIGINT AS total FROM orders GROUP BY 1")
@@ -162,17 +162,17 @@ def _(spark, sf):
     return spark.read.parquet(path).groupBy("o_orderstatus").agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("total"))
 
 
-@query("append_evolving", "SELECT count(*) * 2 AS n, count(n_name) AS named FROM nation")
+@query("append_evolving", "SELECT count(*) * 2 AS n, count(c_name) AS named FROM customer")
 def _(spark, sf):
-    n, path = table(spark, sf, "nation"), _shared(spark, "history")
-    io.append_evolving(n.select("n_nationkey"), path)
-    io.append_evolving(n.select("n_nationkey", "n_name"), path)
-    return io.read_evolving(spark, path).agg(F.count("*").alias("n"), F.count("n_name").alias("named"))
+    n, path = table(spark, sf, "customer"), _shared(spark, "history")
+    io.append_evolving(n.select("c_custkey"), path)
+    io.append_evolving(n.select("c_custkey", "c_name"), path)
+    return io.read_evolving(spark, path).agg(F.count("*").alias("n"), F.count("c_name").alias("named"))
 
 
-@query("persist_with_history", "SELECT 2 * count(*) AS history, count(*) AS current, 2::BIGINT AS runs FROM nation")
+@query("persist_with_history", "SELECT 2 * count(*) AS history, count(*) AS current, 2::BIGINT AS runs FROM customer")
 def _(spark, sf):
-    n, base = table(spark, sf, "nation"), _shared(spark, "runs")
+    n, base = table(spark, sf, "customer"), _shared(spark, "runs")
     io.persist_with_history(n, base, "run-1")
     io.persist_with_history(n, base, "run-2", csv=True)
     count = lambda part, name: spark.read.parquet(f"{base}/{part}").agg(F.count("*").alias(name))

@@ -143,10 +143,10 @@ def _(spark, sf):
     return table(spark, sf, "customer").select("c_custkey", C.normalize_code(F.lower("c_mktsegment"), {"AUTOMOBILE": "AUTO", "HOUSEHOLD": "HOME"}).alias("code"))
 
 
-@query("name_keys", f"""WITH n AS (SELECT doc_id, {_NAME_SQL.format("left(text, 40) || ' Jr.'")} AS name FROM documents)
+@query("name_keys", f"""WITH n AS (SELECT doc_id, {_NAME_SQL.format("text || ' Jr.'")} AS name FROM documents)
 SELECT doc_id, name, replace(name, ' ', '') AS compact, CASE WHEN len(string_split(name, ' ')) > 1 THEN left(string_split(name, ' ')[1], 1) || '.' || string_split(name, ' ')[-1] END AS initial_last FROM n""")
 def _(spark, sf):
-    text = F.concat(F.substring("text", 1, 40), F.lit(" Jr."))
+    text = F.concat("text", F.lit(" Jr."))
     return table(spark, sf, "documents").select("doc_id", C.normalize_name(text).alias("name"), C.compact_name(text).alias("compact"), C.initial_last(text).alias("initial_last"))
 
 

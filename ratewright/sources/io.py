@@ -15,6 +15,14 @@ def shared_folder(spark: SparkSession) -> str:
     return (named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_between").rstrip("/")
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """`df.checkpoint()` in the shared folder."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint()
+
+
 def _clean_names(df: DataFrame) -> DataFrame:
     return df.toDF(*(c.strip().lower() for c in df.columns))
 

@@ -1,5 +1,7 @@
 """Operators on small frames: nulls, ties, empty input, shuffled rows, and closed forms."""
 
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -182,3 +184,35 @@ def test_guard_features():
         D.guard_features(["pass_epa", "market_margin"])
     with pytest.raises(ValueError):
         D.guard_features(["a", "b"], expected=["b", "a"])
+
+
+def test_later_seasons_change_no_earlier_score(spark):
+    rng = random.Random(4)
+    rows = [(s, i, rng.gauss(0, 1), None if i % 9 == 0 else rng.gauss(5, 2), rng.gauss(0, 3)) for s in range(2000, 2005) for i in range(60)]
+    wild = [(s, i, 1e6 * a, b and -b, 99.0 * y) if s >= 2003 else (s, i, a, b, y) for s, i, a, b, y in rows]
+    score = lambda data: {
+        (r.season, r.i): r.predicted for r in S.season_forward(spark.createDataFrame(data, "season int, i int, a double, b double, y double"), ["a", "b"], "y", [10.0], missing=True).collect()
+    }
+    one, two = score(rows), score(wild)
+    assert {s for s, _ in one} == {2001, 2002, 2003, 2004}
+    assert all(abs(one[k] - two[k]) < 1e-9 for k in one if k[0] < 2003) and any(abs(one[k] - two[k]) > 1e-3 for k in one if k[0] == 2004)
+
+
+def test_token_match_goes_on_until_no_pair_is_left(spark):
+    names = ["alpha one", "alpha two", "alpha six", "alpha ten", "bravo one"]
+    tokens = [(i, f"alpha on{c}") for i, c in enumerate("abcd")] + [(4, "xravo one"), (5, None)]
+    got = I.token_match(spark.createDataFrame(tokens, "t int, text string"), spark.createDataFrame([(n, n) for n in names], "e string, alias string"), "t", "text", "e", "alias", least=0.6).collect()
+    pairs, expected = [], {}
+    distance = lambda a, b: sum(x != y for x, y in zip(a, b, strict=True))  # noqa: E731 - all of nine letters, and no shift is shorter here
+    for t, text in tokens:
+        pairs += [(-(1 - distance(text, n) / 9), n, t) for n in names if text and 1 - distance(text, n) / 9 >= 0.6]
+    while pairs:
+        best = min(pairs, key=lambda x: (x[0], x[2], x[1]))
+        expected[best[2]] = best[1]
+        pairs = [x for x in pairs if x[1] != best[1] and x[2] != best[2]]
+    assert len(expected) == 5 and {r.t: r.e for r in got} == expected
+
+
+def test_fill_slots_keeps_the_callers_columns(spark):
+    df = spark.createDataFrame([("t", "A", "x", 1), ("t", "A", "y", 2), ("t", "B", "x", 1)], "team string, slot string, player string, rank int")
+    assert W.fill_slots(df, ["team"], ["A", "B"], "slot", "player", [F.col("rank")]).columns == df.columns
