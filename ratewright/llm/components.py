@@ -3,7 +3,8 @@
 Kiveris, Lattanzi, Mirrokni, Rastogi, Vassilvitskii: Connected Components in MapReduce and Beyond (SoCC 2014).
 Neighbourhoods are only ever reduced to their minimum (a partial aggregate) and joined back, so a hub's
 neighbours never meet in one task.  Hubs with more than one in SHARE of the rows are few (fewer than SHARE), so
-their minima are broadcast; all others are joined by an exchange.
+their minima are broadcast; all others are joined by an exchange.  A graph of at most SMALL rows has one plain join a
+round, whose plans are shorter: no hub is then too large for a task.  Results are the same either way.
 """
 
 from __future__ import annotations
@@ -13,12 +14,15 @@ from pyspark.sql import functions as F
 
 from ratewright.llm.lineage import cut
 
-SHARE = 1000  # bounds the rows of a broadcast; a node with fewer rows than a task usually has needs none
+SHARE = 1000  # bounds the rows of a broadcast
+SMALL = 2_000_000  # rows of 16 bytes
 
 
 def _with_least(rows: DataFrame, low: DataFrame, total: int) -> DataFrame:
     """`rows` (u, v) with m, the least neighbour of u, from `low` (u, m, n): n counts u's rows, of `total` at most."""
-    hub = F.col("n") > max(total // SHARE, 200)
+    if total <= SMALL:
+        return rows.join(low.drop("n"), "u")
+    hub = F.col("n") > total // SHARE
     hubs = F.broadcast(low.where(hub).select("u", "m"))
     rest = rows.join(hubs.select("u"), "u", "left_anti").join(low.where(~hub).select("u", "m"), "u")
     return rows.join(hubs, "u").unionByName(rest)

@@ -548,7 +548,7 @@ def _near_groups(docs: DataFrame, id_col: str, text_col: str, least: float) -> D
     several = several.where("_low <> _high and _rows > 2").select("key", "_rows")
     dealt = _dealt(rest, several).join(sharing, "node").select("task", "side", "key", "node", "root", "n", "bits", "least", "items")
     found = dealt.repartition("task").sortWithinPartitions("task", "node").mapInArrow(_open_links(least), "node long, link long")
-    links = cut(links.unionByName(found))
+    links = links.unionByName(found)  # the first ones are a table already
     roots = connected_components(links, "node", "link")
     return nodes.select("node", "least_id").join(roots, "node", "left").select("node", "least_id", F.coalesce("root", "node").alias("root"))
 

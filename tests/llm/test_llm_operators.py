@@ -424,7 +424,9 @@ def test_near_copies_of_few_words(spark, words):
     assert set(range(0, 600, 2)) <= kept and len(kept) <= 300 + 6  # recall of 0.98 or more at the very threshold
 
 
-def test_hubs_in_components(spark, monkeypatch):
+@pytest.mark.parametrize("small", [2_000_000, 0])
+def test_hubs_in_components(spark, small, monkeypatch):
+    monkeypatch.setattr(components, "SMALL", small)
     monkeypatch.setattr(components, "SHARE", 4)
     links = [(0, i) for i in range(1, 900)] + [(i, i + 1) for i in range(1000, 1100)] + [(899, 1050), (2000, 2001), (5, 5), (None, 3)]
     got = {r.node: r.root for r in components.connected_components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()}
