@@ -162,7 +162,7 @@ def _shard_batches(length: int):
             own = slice(cuts[i], cuts[i + 1])
             runs = _runs((starts[own] - base[i])[again[own]], length)
             if runs:
-                out.append((r[0], r[0], r[2], runs, None))
+                out.append((r[2], r[0], r[2], runs, None))  # by its cell, so that a hot anchor's runs are spread
         if any(r[4] for r in rows):
             hashes = span_hash(prefix_hash(text), starts, starts + length)
             cells = np.array([r[2] for r in rows], np.int64)
@@ -202,7 +202,7 @@ def _shard_batches(length: int):
 
 
 def _merge_batches(length: int):
-    """Rows (key, anchor, strings) by key: the sorted hashes of one anchor's parts are merged by binary search; starts whose string another part holds are runs."""
+    """Rows (key, anchor, cell, runs, strings) by key: runs pass; the sorted hashes of one anchor's parts are merged by binary search; starts whose string another part holds are runs."""
 
     def settle(anchor, bodies):
         if len(bodies) < 2:
@@ -231,7 +231,11 @@ def _merge_batches(length: int):
     def run(batches):
         group, bodies = None, []
         for batch in batches:
-            for key, anchor, body in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            done = pa.compute.is_valid(batch.column(3))
+            passed, rest = batch.filter(done), batch.filter(pa.compute.invert(done))
+            if passed.num_rows:
+                yield rows(passed.column(1), passed.column(2), passed.column(3))
+            for key, anchor, body in zip(*(rest.column(i).to_pylist() for i in (0, 1, 4)), strict=True):
                 if (key, anchor) != group:
                     if bodies:
                         yield from settle(group[1], bodies)
@@ -311,10 +315,8 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str
     wanted = several.groupBy("id", "mark").agg(F.collect_list("c").alias("cells"))
     bodies = base.join(wanted, ["id", "mark"], "left").mapInArrow(_body_batches(length), "anchor long, part int, cell long, copies long, ranges int, body binary")
     shards = bodies.repartition(n, "anchor", "part").sortWithinPartitions("anchor", "part", "cell")
-    settled = cut(shards.mapInArrow(_shard_batches(length), "key long, anchor long, cell long, runs binary, strings binary"))
-    strings = settled.where("strings is not null").select("key", "anchor", "strings")
-    merged = strings.repartition(n, "key").sortWithinPartitions("key", "anchor").mapInArrow(_merge_batches(length), "anchor long, cell long, runs binary")
-    merged = merged.unionByName(settled.where("runs is not null").select("anchor", "cell", "runs"))
+    settled = shards.mapInArrow(_shard_batches(length), "key long, anchor long, cell long, runs binary, strings binary")
+    merged = settled.repartition(n, "key").sortWithinPartitions("key", "anchor").mapInArrow(_merge_batches(length), "anchor long, cell long, runs binary")
     whole = shared.where("copies > 1").select("anchor", "cell", _whole(length).alias("runs"))
     answers = merged.unionByName(whole)
     answers = answers.groupBy("anchor", "cell").agg(F.collect_list("runs").alias("runs"))
