@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratewright.operators.solve import apply_linear
+from ratewright.sources.io import shared_folder
 
 
 def phase_switch(rows: DataFrame, coefficients: DataFrame, period: str, last_early: int, share: float, first: str = "A", second: str = "B") -> DataFrame:
@@ -22,11 +23,15 @@ def phase_switch(rows: DataFrame, coefficients: DataFrame, period: str, last_ear
 def boosted(rows: DataFrame, features: list[str], y: str, season: str, first_test: int, iterations: int = 200, step: float = 0.04, depth: int = 4, seed: int = 7) -> DataFrame:
     """Gradient-boosted trees fitted on seasons before `first_test`, applied to the later ones.
 
-    Trees are bounded by depth, so predictions agree with leaf-bounded boosting in quality, not to the bit.
+    Trees are bounded by depth, so predictions agree with leaf-bounded boosting in quality, not to the bit.  Every tenth iteration is
+    checkpointed in the shared folder, so that lineage stays short and a lost executor costs few iterations.
     """
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GBTRegressor
 
+    context = rows.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(rows.sparkSession))
     spark_rows = rows.select(*(c for c in rows.columns if c not in features), *(F.col(f).cast("double").alias(f) for f in features))
     vectors = VectorAssembler(inputCols=features, outputCol="_v", handleInvalid="keep").transform(spark_rows)
     train, test = vectors.where(F.col(season) < first_test), vectors.where(F.col(season) >= first_test)

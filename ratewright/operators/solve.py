@@ -6,6 +6,8 @@ Y.  Only a group's Gram, terms squared at most, reaches a task for the dense sol
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -20,15 +22,19 @@ def term(name: Column | str, value: Column | float = 1.0) -> Column:
     return F.struct(name.alias("t"), (value if isinstance(value, Column) else F.lit(value)).cast("double").alias("v"))
 
 
-def gram(df: DataFrame, group: list[str], terms: list[Column], y: Column, weight: Column | None = None) -> DataFrame:
-    """(group, i, j, v): sums of weight x_i x_j for i <= j over the non-zero terms of each row, y among them, and rows in `n`."""
-    x = F.array(*terms, term(Y, y))
+def _pair_sums(df: DataFrame, group: list[str], x: Column, weight: Column | None = None) -> DataFrame:
+    """(group, i, j, v, n): sums over rows of weight x_i x_j for the terms i <= j of the array `x`."""
     w = weight if weight is not None else F.lit(1.0)
     pairs = F.flatten(F.transform(F.col("_x"), lambda a: F.transform(F.filter(F.col("_x"), lambda b: b["t"] >= a["t"]), lambda b: F.struct(a["t"].alias("i"), b["t"].alias("j"), (F.col("_w") * a["v"] * b["v"]).alias("v")))))
     rows = df.select(*group, x.alias("_x"), w.cast("double").alias("_w")).select(*group, F.explode(pairs).alias("p"))
     return rows.groupBy(*group, "p.i", "p.j").agg(F.sum("p.v").alias("v"), F.count("*").alias("n"))
 
 
+def gram(df: DataFrame, group: list[str], terms: list[Column], y: Column, weight: Column | None = None) -> DataFrame:
+    """(group, i, j, v): sums of weight x_i x_j for i <= j over the non-zero terms of each row, y among them, and rows in `n`."""
+    return _pair_sums(df, group, F.array(*terms, term(Y, y)), weight)
+
+
 def _matrices(pdf: pd.DataFrame):
     names = sorted(set(pdf["i"]) | set(pdf["j"]))
     at = {t: k for k, t in enumerate(names)}
@@ -41,15 +47,29 @@ def _matrices(pdf: pd.DataFrame):
     return terms, full[np.ix_(k, k)], full[k, at[Y]] if Y in at else np.zeros(len(k)), float(pdf["n"].max())
 
 
-def solve(grams: DataFrame, group: list[str], alpha: float | str, unpenalized: tuple[str, ...] = (), least_rows: int = 1, nonnegative: bool = False, center: tuple[str, ...] = ()) -> DataFrame:
+def _scaled(terms: list[str], g: np.ndarray, xy: np.ndarray):
+    """The terms but "(1)", their Gram and X'y over their deviations, and those; a constant term has the deviation 1."""
+    one = terms.index("(1)")
+    mean, square = g[:, one] / g[one, one], np.diag(g) / g[one, one]
+    sd = np.sqrt(np.where(square - mean**2 > 1e-12 * square, square - mean**2, 1.0))
+    keep = [k for k in range(len(terms)) if k != one]
+    return [terms[k] for k in keep], g[np.ix_(keep, keep)] / np.outer(sd[keep], sd[keep]), xy[keep] / sd[keep], sd[keep]
+
+
+def solve(grams: DataFrame, group: list[str], alpha: float | str, unpenalized: tuple[str, ...] = (), least_rows: int = 1, nonnegative: bool = False, center: tuple[str, ...] = (),
+          scaled: bool = False) -> DataFrame:
     """(group, term, coefficient): (G + alpha I) b = X'y per group; `alpha` is a number or a column of the group.
 
     Terms in `unpenalized` carry no penalty; groups of fewer rows get zeros; prefixes in `center` have their mean taken off afterwards;
-    `nonnegative` solves by coordinate descent with b >= 0.
+    `nonnegative` solves by coordinate descent with b >= 0.  `scaled` penalises terms divided by their population deviation, known from the
+    sums of the term "(1)", which then is no term of the model; coefficients are those of the terms as they were given.
     """
 
     def one(key, pdf: pd.DataFrame) -> pd.DataFrame:
         terms, g, xy, rows = _matrices(pdf)
+        sd = np.ones(len(terms))
+        if scaled:
+            terms, g, xy, sd = _scaled(terms, g, xy)
         a = float(pdf[alpha].iloc[0]) if isinstance(alpha, str) else alpha
         g = g + np.diag([0.0 if t in unpenalized else a for t in terms])
         if rows < least_rows:
@@ -68,7 +88,7 @@ def solve(grams: DataFrame, group: list[str], alpha: float | str, unpenalized: t
         for prefix in center:
             at = [k for k, t in enumerate(terms) if t.startswith(prefix)]
             b[at] -= b[at].mean() if at else 0.0
-        out = pd.DataFrame({"term": terms, "coefficient": b})
+        out = pd.DataFrame({"term": terms, "coefficient": b / sd})
         for name, value in zip(group, key, strict=True):
             out[name] = value
         return out[[*group, "term", "coefficient"]]
@@ -139,10 +159,7 @@ def standardized(df: DataFrame, stats: DataFrame, features: list[str], by: list[
 def linear_gram(rows: DataFrame, group: list[str], y: Column, weight: Column | None = None, intercept: bool = True) -> DataFrame:
     """Gram of `_terms` rows (see `standardized`), with an intercept term "(1)"."""
     x = F.concat(F.col("_terms"), F.array(term("(1)")) if intercept else F.array().cast("array<struct<t:string,v:double>>"), F.array(term(Y, y)))
-    w = weight if weight is not None else F.lit(1.0)
-    pairs = F.flatten(F.transform(F.col("_x"), lambda a: F.transform(F.filter(F.col("_x"), lambda b: b["t"] >= a["t"]), lambda b: F.struct(a["t"].alias("i"), b["t"].alias("j"), (F.col("_w") * a["v"] * b["v"]).alias("v")))))
-    long = rows.select(*group, x.alias("_x"), w.cast("double").alias("_w")).select(*group, F.explode(pairs).alias("p"))
-    return long.groupBy(*group, "p.i", "p.j").agg(F.sum("p.v").alias("v"), F.count("*").alias("n"))
+    return _pair_sums(rows, group, x, weight)
 
 
 def apply_linear(rows: DataFrame, coefficients: DataFrame, on: list[str], out: str, cap: float | None = None) -> DataFrame:
@@ -180,13 +197,42 @@ def _apply_grid(rows: DataFrame, models: DataFrame) -> DataFrame:
     return joined.withColumn("predicted", total).drop("_m")
 
 
-def choose_alpha(oof: DataFrame, y: str, group: list[str] | None = None) -> DataFrame:
-    """Mean absolute error per alpha and the least (ties: the larger penalty)."""
-    group = group or []
-    mae = oof.groupBy(*group, "alpha").agg(F.avg(F.abs(F.col(y) - F.col("predicted"))).alias("mae"), F.count("*").alias("n"))
-    w = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(1))  # a row per alpha
-    best = F.min(F.struct("mae", -F.col("alpha"))).over(w)
-    return mae.withColumn("chosen", (F.struct(F.col("mae"), -F.col("alpha")) == best).cast("int"))
+def nested_grid_select(
+    rows: DataFrame, features: Callable[[Column, Column], dict[str, Column]], y: str, ks: list[float], caps: list[float], alphas: list[float], target_caps: list[float], season: str = "season"
+) -> DataFrame:
+    """(test_season, k, cap, alpha, target_cap, mae, n, chosen): the mean absolute error of every setting over the seasons before each test season.
+
+    `features(k, cap)` gives a row's features under a transition setting.  A season is predicted by a non-negative ridge without intercept, fitted on
+    the seasons before it, of features over their deviations there, to `y` clipped at the target cap both ways; errors are those of `y` as it is.
+    The first season is fitted only.  Chosen (1) is the least error to nine digits; ties: the smaller alpha, then k, cap and target cap.  Rows without `y`
+    are left out, null features are 0.
+
+    Each (k, cap) is reduced once to Grams of a season, which hold every target cap; the Grams before a season are sums of those, so
+    rows are never read again for a fold, a penalty or a target cap.  Errors are added where they arise.
+    """
+    number = lambda x: F.lit(float(x))
+    settings = F.explode(F.array(*(F.struct(number(k).alias("k"), number(c).alias("cap")) for k in ks for c in caps)))
+    made = [term(name, F.coalesce(value.cast("double"), F.lit(0.0))) for name, value in features(F.col("_g.k"), F.col("_g.cap")).items()]
+    target = F.col(y).cast("double")
+    long = rows.where(target.isNotNull()).withColumn("_g", settings).select(F.col(season).alias("season"), "_g.k", "_g.cap", target.alias("_y"), F.array(*made).alias("_terms"))
+
+    clipped = [term(f"{Y}:{i}", F.greatest(F.least(F.col("_y"), number(c)), number(-c))) for i, c in enumerate(target_caps)]
+    grams = _pair_sums(long, ["season", "k", "cap"], F.concat("_terms", F.array(term("(1)"), *clipped)))
+    folds = grams.select(F.col("season").alias("fold")).distinct()
+    before = grams.join(F.broadcast(folds), F.col("season") < F.col("fold")).groupBy("fold", "k", "cap", "i", "j").agg(F.sum("v").alias("v"), F.sum("n").alias("n"))
+    targets = F.explode(F.array(*(F.struct(F.lit(f"{Y}:{i}").alias("name"), number(c).alias("cap")) for i, c in enumerate(target_caps))))
+    own = lambda c: F.when(F.col(c) == F.col("_t.name"), Y).when(~F.startswith(F.col(c), F.lit(Y)), F.col(c))
+    grid = before.withColumn("_t", targets).select("fold", "k", "cap", F.col("_t.cap").alias("target_cap"), own("i").alias("i"), own("j").alias("j"), "v", "n").where("i is not null and j is not null")
+    models = solve(grid.withColumn("alpha", F.explode(F.array(*map(number, alphas)))), ["fold", "k", "cap", "alpha", "target_cap"], "alpha", nonnegative=True, scaled=True)
+
+    model = models.groupBy("fold", "k", "cap", "alpha", "target_cap").agg(F.map_from_entries(F.collect_list(F.struct("term", "coefficient"))).alias("_m"))
+    scored = long.withColumnRenamed("season", "fold").join(F.broadcast(model), ["fold", "k", "cap"])  # seasons x settings models
+    miss = F.abs(F.aggregate("_terms", -F.col("_y"), lambda acc, x: acc + x["v"] * F.coalesce(F.try_element_at(F.col("_m"), x["t"]), F.lit(0.0))))
+    errors = scored.groupBy("fold", "k", "cap", "alpha", "target_cap").agg(F.sum(miss).alias("miss"), F.count("*").alias("n"))
+    tests = folds.withColumnRenamed("fold", "test_season")
+    found = errors.join(F.broadcast(tests), F.col("fold") < F.col("test_season")).groupBy("test_season", "k", "cap", "alpha", "target_cap").agg((F.sum("miss") / F.sum("n")).alias("mae"), F.sum("n").alias("n"))
+    best = Window.partitionBy("test_season").orderBy(F.round("mae", 9), "alpha", "k", "cap", "target_cap")  # a row per setting
+    return found.withColumn("chosen", (F.row_number().over(best) == 1).cast("int"))
 
 
 def zero_intercept_slope(df: DataFrame, x: str, y: str, weight: Column, alpha: float, low: float, high: float, least_rows: int) -> DataFrame:

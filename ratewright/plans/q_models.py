@@ -82,8 +82,14 @@ def _(spark, sf):
 
 @query("nested_grid_select")
 def _(spark, sf):
-    oof = S.season_forward(_gains(spark, sf), FEATURES, "gain", [1.0, 10.0, 100.0, 1000.0], least_rows=50)
-    return S.choose_alpha(oof, "gain").withColumn("mae", F.round("mae", 6))
+    played = F.col("period") - 1
+
+    def mixed(k, cap):
+        current = F.least(played / (played + k), cap)
+        return {"prior": F.col("model") * (1 - current), "current": F.col("line") * current}
+
+    found = S.nested_grid_select(predictions(spark, sf), mixed, "actual", [3.0, 5.0, 8.0, 12.0], [0.65, 0.75, 0.85], [30.0, 100.0, 300.0, 1000.0], [140.0, 160.0, 180.0])
+    return found.withColumn("mae", F.round("mae", 6))
 
 
 @query("positive_ridge")
@@ -208,7 +214,7 @@ def _(spark, sf):
     from ratewright.operators.phases import boosted
 
     p = predictions(spark, sf).withColumn("gain", (F.col("actual") - F.col("line")).cast("double"))
-    return boosted(p, FEATURES, "gain", "season", 2000, iterations=20).select("season", "period", "team", "predicted")
+    return boosted(p, FEATURES, "gain", "season", 2000).select("season", "period", "team", "predicted")
 
 
 @query("live_matchup_features")

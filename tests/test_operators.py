@@ -1,5 +1,6 @@
 """Operators on small frames: nulls, ties, empty input, shuffled rows, and closed forms."""
 
+import itertools
 import random
 
 import numpy as np
@@ -216,3 +217,45 @@ def test_token_match_goes_on_until_no_pair_is_left(spark):
 def test_fill_slots_keeps_the_callers_columns(spark):
     df = spark.createDataFrame([("t", "A", "x", 1), ("t", "A", "y", 2), ("t", "B", "x", 1)], "team string, slot string, player string, rank int")
     assert W.fill_slots(df, ["team"], ["A", "B"], "slot", "player", [F.col("rank")]).columns == df.columns
+
+
+def test_nested_grid_equals_brute_force(spark):
+    rng = np.random.default_rng(11)
+    rows = [(int(s), int(g), *map(float, rng.normal(0, 1, 2)), 0.0) for s in range(2000, 2004) for g in range(12)]
+    rows = [(s, g, a, b, 2.0 * a * (g < 6) + b * (g >= 6) + float(rng.normal(0, 0.5))) for s, g, a, b, _ in rows]
+    ks, caps, alphas, limits = [2.0, 9.0], [0.5, 0.9], [0.1, 30.0], [0.8, 50.0]
+    share = lambda k, cap: F.least(F.col("g") / (F.col("g") + k), cap)
+    make = lambda k, cap: {"prior": F.col("a") * (1 - share(k, cap)), "current": F.col("b") * share(k, cap)}
+    df = spark.createDataFrame([*rows, (2001, 3, 1.0, 1.0, None)], "season int, g int, a double, b double, y double")
+    ours = {(r.test_season, r.k, r.cap, r.alpha, r.target_cap): r for r in S.nested_grid_select(df, make, "y", ks, caps, alphas, limits).collect()}
+
+    season, g, a, b, y = map(np.array, zip(*rows))
+    expected = {}
+    for k, cap, alpha, limit in itertools.product(ks, caps, alphas, limits):
+        w = np.minimum(g / (g + k), cap)
+        x, miss = np.c_[a * (1 - w), b * w], {}
+        for fold in (2001, 2002, 2003):
+            past, sd = season < fold, x[season < fold].std(axis=0)
+            z, t = x[past] / sd, np.clip(y[past], -limit, limit)
+            best = None
+            for used in ([], [0], [1], [0, 1]):  # the best of all sets of positive coefficients
+                c = np.zeros(2)
+                c[used] = np.linalg.solve(z[:, used].T @ z[:, used] + alpha * np.eye(len(used)), z[:, used].T @ t)
+                loss = ((t - z @ c) ** 2).sum() + alpha * (c**2).sum()
+                if (c >= 0).all() and (best is None or loss < best[0]):
+                    best = loss, c
+            miss[fold] = np.abs(x[season == fold] / sd @ best[1] - y[season == fold])
+        for test in (2002, 2003):
+            expected[test, k, cap, alpha, limit] = np.concatenate([v for fold, v in miss.items() if fold < test]).mean()
+    assert ours.keys() == expected.keys()
+    assert all(abs(ours[k].mae - v) < 1e-8 for k, v in expected.items())
+    for test in (2002, 2003):
+        least = min((round(v, 9), alpha, k, cap, limit) for (t, k, cap, alpha, limit), v in expected.items() if t == test)
+        assert [(k[3], k[1], k[2], k[4]) for k, r in ours.items() if r.chosen and k[0] == test] == [least[1:]]
+
+
+def test_nested_grid_of_no_rows_or_one_season_is_empty(spark):
+    make = lambda k, cap: {"a": F.col("a") * k * cap}
+    for data in ([], [(2000, 1.0, 2.0)]):
+        df = spark.createDataFrame(data, "season int, a double, y double")
+        assert S.nested_grid_select(df, make, "y", [1.0], [1.0], [1.0], [9.0]).isEmpty()
