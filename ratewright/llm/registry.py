@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ratewright.llm import decontamination, packing, sharding, simhash, substring_dedup, suffix_dedup, toxicity, url_filter, weak_quality, winnowing
+from ratewright.llm import decontamination, divergence, packing, sharding, simhash, substring_dedup, suffix_dedup, toxicity, url_filter, weak_quality, winnowing
 
 
 def vocabulary() -> str:
@@ -69,6 +69,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumnRenamed("id", "doc_id")
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_docs(spark, sf_dir))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_winnowing": op2_winnowing,
@@ -80,6 +84,7 @@ QUERIES = {
     "op8_simhash_golay": op8_simhash_golay,
     "op9_decontamination": op9_decontamination,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op13_source_divergence": op13_source_divergence,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
@@ -134,4 +139,22 @@ reach AS (SELECT DISTINCT a, a AS b FROM both_ways UNION SELECT r.a, e.b FROM re
 inherited AS (SELECT r.a, min(n.verdict) AS verdict FROM reach r JOIN node n ON n.a = r.b GROUP BY r.a)
 SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule, coalesce(n.verdict, i.verdict, 'allow') AS verdict
 FROM pages LEFT JOIN node n USING (url) LEFT JOIN inherited i USING (a)""",
+    "op13_source_divergence": r"""
+WITH d AS (SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+t AS (SELECT k, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS total FROM t GROUP BY ALL HAVING count(DISTINCT k) >= 3),
+c AS (SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+g AS (SELECT DISTINCT lang, source FROM d),
+v AS (SELECT lang, count(*) AS v, sum(total) AS l FROM kept GROUP BY lang),
+sizes AS (SELECT g.*, coalesce((SELECT sum(n) FROM c WHERE c.lang = g.lang AND c.source = g.source), 0) AS n_all, coalesce(v, 0) AS v, coalesce(l, 0) AS l FROM g LEFT JOIN v USING (lang)),
+-- every kept term in every group of its language
+p AS (SELECT s.lang, s.source, kept.term, coalesce(c.n, 0) AS n, (1 + (1000000000 * (coalesce(c.n, 0) + 1)::HUGEINT) // (s.n_all + s.v)::HUGEINT)::HUGEINT AS p,
+    (1 + (1000000000 * (total + 1)::HUGEINT) // (s.l + s.v)::HUGEINT)::HUGEINT AS q FROM sizes s JOIN kept USING (lang) LEFT JOIN c ON c.lang = s.lang AND c.source = s.source AND c.term = kept.term),
+pair AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p)::BIGINT AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(pair.value, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pair ON pair.lang = a.lang AND pair.source = a.source AND pair.item = b.source),
+terms AS (SELECT lang, source, term AS item, (((p - q) * (p - q)) // q)::BIGINT AS value FROM p WHERE n > 0 AND p > q),
+ranked AS (SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM pairs
+  UNION ALL SELECT lang, source, 'term', item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) FROM terms)
+SELECT lang, source, part, item, value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 200""",
 }
