@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ratewright.llm import decontamination, divergence, packing, sharding, simhash, substring_dedup, suffix_dedup, toxicity, url_filter, weak_quality, winnowing
+from ratewright.llm import decontamination, divergence, packing, sharding, simhash, substring_dedup, suffix_dedup, toxicity, url_filter, warc, weak_quality, winnowing
 
 
 def vocabulary() -> str:
@@ -69,6 +69,11 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumnRenamed("id", "doc_id")
 
 
+def op11_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = warc.round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet"), "page_id", "url", "html")
+    return out.select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(_docs(spark, sf_dir))
 
@@ -84,6 +89,7 @@ QUERIES = {
     "op8_simhash_golay": op8_simhash_golay,
     "op9_decontamination": op9_decontamination,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_warc_revisits": op11_warc_revisits,
     "op13_source_divergence": op13_source_divergence,
     "pipeline": corpus_pipeline.run,
 }
@@ -139,6 +145,13 @@ reach AS (SELECT DISTINCT a, a AS b FROM both_ways UNION SELECT r.a, e.b FROM re
 inherited AS (SELECT r.a, min(n.verdict) AS verdict FROM reach r JOIN node n ON n.a = r.b GROUP BY r.a)
 SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule, coalesce(n.verdict, i.verdict, 'allow') AS verdict
 FROM pages LEFT JOIN node n USING (url) LEFT JOIN inherited i USING (a)""",
+    "op11_warc_revisits": r"""
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS h, min(page_id) OVER (PARTITION BY sha1(coalesce(html, ''))) AS original FROM pages)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
+  -- five hexadecimal digits are four of base32
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(h, 1 + 5 * (i // 4), 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INTEGER, 1)), '') AS payload_digest,
+  CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> original THEN original END AS refers_to
+FROM p""",
     "op13_source_divergence": r"""
 WITH d AS (SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
 t AS (SELECT k, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
