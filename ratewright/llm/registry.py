@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ratewright.llm import decontamination, divergence, packing, sharding, simhash, substring_dedup, suffix_dedup, toxicity, url_filter, warc, weak_quality, winnowing
+from ratewright.llm import decontamination, divergence, packing, sharding, simhash, substring_dedup, suffix_dedup, toxicity, url_filter, warc, weak_quality, whitening, winnowing
 
 
 def vocabulary() -> str:
@@ -74,6 +74,10 @@ def op11_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), "vec_id", "embedding")
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(_docs(spark, sf_dir))
 
@@ -90,6 +94,7 @@ QUERIES = {
     "op9_decontamination": op9_decontamination,
     "op10_best_fit_packing": op10_best_fit_packing,
     "op11_warc_revisits": op11_warc_revisits,
+    "op12_embedding_whitening": op12_embedding_whitening,
     "op13_source_divergence": op13_source_divergence,
     "pipeline": corpus_pipeline.run,
 }
