@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ratewright.operators.quantiles import exact_quantiles, medians
 from ratewright.operators.windows import percentile_score
 
 
@@ -61,9 +62,9 @@ def empirical_bayes(df: DataFrame, group: list[str], events: str, opportunities:
 
 def shrink_to_median(df: DataFrame, group: list[str], value: str, sample: str, half: float = 150.0, least: float = 0.0, out: str = "shrunk") -> DataFrame:
     """value x n/(n+half) + median x half/(n+half); the median is that of the group's rows with at least `least` of the sample."""
-    medians = df.where((F.col(sample) >= least) & F.col(value).isNotNull()).groupBy(*group).agg(F.percentile(value, F.lit(0.5)).alias("_median"))
+    middle = exact_quantiles(df.where(F.col(sample) >= least), group, value, {"_median": 0.5})
     share = F.col(sample) / (F.col(sample) + half)
-    joined = df.join(medians, group, "left")
+    joined = df.join(middle, group, "left")
     return joined.withColumn(out, F.coalesce(F.col(value), F.col("_median")) * share + F.col("_median") * (1 - share)).drop("_median")
 
 
@@ -106,7 +107,8 @@ def grade_history(df: DataFrame, keys: list[str], season: str, grade: str, relia
 
 def replacement(df: DataFrame, group: list[str], grade: str, qualified: Column, quantile: float = 0.2) -> DataFrame:
     """The exact quantile (linear interpolation) of qualified rows."""
-    return df.where(qualified).groupBy(*group).agg(F.percentile(grade, F.lit(quantile)).alias("replacement"), F.count("*").alias("qualified"))
+    good = df.where(qualified)
+    return good.groupBy(*group).agg(F.count("*").alias("qualified")).join(exact_quantiles(good, group, grade, {"replacement": quantile}), group, "left").select(*group, "replacement", "qualified")
 
 
 def weighted_units(chosen: DataFrame, keys: list[str], unit: str, weight: str, value: str, baseline: str, slots: dict[str, int]) -> DataFrame:
@@ -125,8 +127,7 @@ def pivot_units(units: DataFrame, keys: list[str], unit: str, rating: str, names
 def center_and_impute(df: DataFrame, group: list[str], values: list[str]) -> DataFrame:
     """Missing values by the group's median (none: 0), then the group's mean off."""
     w = Window.partitionBy(*group)
-    medians = df.groupBy(*group).agg(*(F.percentile(v, F.lit(0.5)).alias(f"_m_{v}") for v in values))
-    d = df.join(medians, group, "left").withColumns({v: F.coalesce(F.col(v), F.col(f"_m_{v}"), F.lit(0.0)) for v in values})
+    d = df.join(medians(df, group, values, "_m_"), group, "left").withColumns({v: F.coalesce(F.col(v), F.col(f"_m_{v}"), F.lit(0.0)) for v in values})
     return d.withColumns({v: F.col(v) - F.avg(v).over(w) for v in values}).drop(*(f"_m_{v}" for v in values))
 
 

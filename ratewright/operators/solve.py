@@ -14,6 +14,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ratewright.operators.quantiles import exact_quantiles, later
+from ratewright.sources.io import written
+
 Y = "~y"  # sorts after the terms
 
 
@@ -56,35 +59,67 @@ def _scaled(terms: list[str], g: np.ndarray, xy: np.ndarray):
     return [terms[k] for k in keep], g[np.ix_(keep, keep)] / np.outer(sd[keep], sd[keep]), xy[keep] / sd[keep], sd[keep]
 
 
+def _standardizing(terms: list[str], g: np.ndarray, features: set[str]) -> np.ndarray:
+    """The matrix that takes the mean off `features` and divides them by their population deviation, both known from the sums of "(1)"; a constant one becomes 0."""
+    one = terms.index("(1)")
+    mean, square = g[:, one] / g[one, one], np.diag(g) / g[one, one]
+    out = np.eye(len(terms))
+    for k, name in enumerate(terms):
+        if name in features:
+            variance = square[k] - mean[k] ** 2
+            out[k, k] = 1 / np.sqrt(variance) if variance > 1e-12 * square[k] else 0.0
+            out[k, one] -= mean[k] * out[k, k]
+    return out
+
+
+def _ridge(g: np.ndarray, xy: np.ndarray) -> np.ndarray:
+    """By Cholesky where the matrix is positive definite, as it is with a penalty, else the least solution."""
+    try:
+        root = np.linalg.cholesky(g)
+    except np.linalg.LinAlgError:
+        return np.linalg.lstsq(g, xy, rcond=None)[0]
+    return np.linalg.solve(root.T, np.linalg.solve(root, xy))
+
+
+def _nonnegative(g: np.ndarray, xy: np.ndarray) -> np.ndarray:
+    b = np.zeros(len(xy))
+    for _ in range(500):
+        last = b.copy()
+        for k in range(len(b)):
+            if g[k, k] > 0:
+                b[k] = max(0.0, (xy[k] - g[k] @ b + g[k, k] * b[k]) / g[k, k])
+        if np.abs(b - last).max(initial=0.0) < 1e-10:
+            break
+    return b
+
+
 def solve(grams: DataFrame, group: list[str], alpha: float | str, unpenalized: tuple[str, ...] = (), least_rows: int = 1, nonnegative: bool = False, center: tuple[str, ...] = (),
-          scaled: bool = False) -> DataFrame:
+          scaled: bool = False, standardize: tuple[str, ...] = (), intercept: bool = True) -> DataFrame:
     """(group, term, coefficient): (G + alpha I) b = X'y per group; `alpha` is a number or a column of the group.
 
     Terms in `unpenalized` carry no penalty; groups of fewer rows get zeros; prefixes in `center` have their mean taken off afterwards;
     `nonnegative` solves by coordinate descent with b >= 0.  `scaled` penalises terms divided by their population deviation, known from the
-    sums of the term "(1)", which then is no term of the model; coefficients are those of the terms as they were given.
+    sums of the term "(1)", which then is no term of the model; coefficients are those of the terms as they were given.  `standardize` names terms that
+    are penalised as if their mean were off and their deviation 1; without `intercept` the model then has none, though "(1)" takes what the means leave.
     """
+    to_standardize = set(standardize)
 
     def one(key, pdf: pd.DataFrame) -> pd.DataFrame:
         terms, g, xy, rows = _matrices(pdf)
-        sd = np.ones(len(terms))
+        sd, back = np.ones(len(terms)), None
         if scaled:
             terms, g, xy, sd = _scaled(terms, g, xy)
+        own = terms
+        if to_standardize:
+            back = _standardizing(terms, g, to_standardize)
+            keep = [k for k, t in enumerate(terms) if intercept or t != "(1)"]
+            back, own = back[keep], [terms[k] for k in keep]
+            g, xy = back @ g @ back.T, back @ xy
         a = float(pdf[alpha].iloc[0]) if isinstance(alpha, str) else alpha
-        g = g + np.diag([0.0 if t in unpenalized else a for t in terms])
-        if rows < least_rows:
-            b = np.zeros(len(terms))
-        elif nonnegative:
-            b = np.zeros(len(terms))
-            for _ in range(500):
-                last = b.copy()
-                for k in range(len(terms)):
-                    if g[k, k] > 0:
-                        b[k] = max(0.0, (xy[k] - g[k] @ b + g[k, k] * b[k]) / g[k, k])
-                if np.abs(b - last).max(initial=0.0) < 1e-10:
-                    break
-        else:
-            b = np.linalg.lstsq(g, xy, rcond=None)[0]
+        g = g + np.diag([0.0 if t in unpenalized else a for t in own])
+        b = np.zeros(len(own)) if rows < least_rows else _nonnegative(g, xy) if nonnegative else _ridge(g, xy)
+        if back is not None:
+            b = back.T @ b
         for prefix in center:
             at = [k for k, t in enumerate(terms) if t.startswith(prefix)]
             b[at] -= b[at].mean() if at else 0.0
@@ -131,26 +166,52 @@ def paired_ratings(games: DataFrame, group: list[str], home: str, away: str, mar
     return solve(paired_gram(games, group, home, away, margin, **options), group, alpha, ("home",), center=("t:",))
 
 
+def _long(df: DataFrame, features: list[str], kept: list[str]) -> DataFrame:
+    each = F.explode(F.array(*(F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value")) for f in features)))
+    return df.select(*kept, each.alias("_x")).select(*kept, "_x.*")
+
+
+def _filled(f: str, s: Column) -> Column:
+    """A feature with its nulls filled by the median and both ends clipped, as the statistics `s` say."""
+    return F.greatest(F.least(F.coalesce(F.col(f).cast("double"), s["median"]), s["high"]), s["low"])
+
+
+def _by_feature(stats: DataFrame, by: list[str], names: tuple[str, ...]) -> DataFrame:
+    """A row per group with a map from feature to statistics: `_s`."""
+    return stats.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("feature", F.struct(*names)))).alias("_s"))
+
+
+def _with(df: DataFrame, side: DataFrame, on: list[str]) -> DataFrame:
+    """Joined with a row per group, as Spark sees fit; without groups that is one row."""
+    return df.join(side, on) if on else df.crossJoin(F.broadcast(side))
+
+
+QUANTILES = {"median": 0.5, "low": 0.01, "high": 0.99}
+
+
 def feature_stats(df: DataFrame, features: list[str], group: list[str] | None = None) -> DataFrame:
-    """(group, feature, median, low, high, mean, sd): exact quantiles; mean and population deviation after filling and clipping."""
+    """(group, feature, median, low, high, mean, sd): exact quantiles; mean and population deviation after filling and clipping.
+
+    Quantiles are found by counting (see `exact_quantiles`), moments in one pass over the rows as they are.  A feature without values has nulls.
+    """
     group = group or []
-    long = df.unpivot([*group], features, "feature", "value") if group else df.select(F.explode(F.array(*(F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value")) for f in features))).alias("x")).select("x.*")
-    q = long.groupBy(*group, "feature").agg(*(F.percentile("value", F.lit(p)).alias(n) for n, p in (("median", 0.5), ("low", 0.01), ("high", 0.99))))
-    filled = F.greatest(F.least(F.coalesce("value", "median"), F.col("high")), F.col("low"))
-    moments = long.join(q, [*group, "feature"]).groupBy(*group, "feature").agg(F.avg(filled).alias("mean"), F.stddev_pop(filled).alias("sd"))
-    return q.join(moments, [*group, "feature"])
+    found = written(exact_quantiles(_long(df, features, group), [*group, "feature"], "value", QUANTILES))
+    rows = df.select(*group, *features)
+    joined = rows.join(_by_feature(found, group, tuple(QUANTILES)), group, "left") if group else rows.join(F.broadcast(_by_feature(found, [], tuple(QUANTILES))), how="left")  # one row
+    sums = joined.groupBy(*group).agg(*(F.struct(F.avg(x).alias("mean"), F.stddev_pop(x).alias("sd")).alias(f"_m{i}") for i, x in enumerate(_filled(f, F.col("_s")[f]) for f in features)))
+    each = F.explode(F.array(*(F.struct(F.lit(f).alias("feature"), F.col(f"_m{i}.mean").alias("mean"), F.col(f"_m{i}.sd").alias("sd")) for i, f in enumerate(features))))
+    moments = sums.select(*group, each.alias("_x")).select(*group, "_x.*")
+    return moments.join(found, [*group, "feature"], "left").select(*group, "feature", *QUANTILES, "mean", "sd")
 
 
 def standardized(df: DataFrame, stats: DataFrame, features: list[str], by: list[str] | None = None, missing: bool = False) -> DataFrame:
     """Rows with `_terms`, an array of (feature, z), and for `missing` an indicator of each null; `by`: the groups that have statistics of their own."""
     by = by or []
-    wide = stats.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("feature", F.struct("median", "low", "high", "mean", "sd")))).alias("_s"))
-    out = df.join(F.broadcast(wide), by) if by else df.crossJoin(F.broadcast(wide))  # a row per group: a statistic per feature
+    out = _with(df, _by_feature(stats, by, (*QUANTILES, "mean", "sd")), by)
 
     def z(f):
         s = F.col("_s")[f]
-        x = F.greatest(F.least(F.coalesce(F.col(f).cast("double"), s["median"]), s["high"]), s["low"])
-        return term(f, F.when(s["sd"] > 0, (x - s["mean"]) / s["sd"]).otherwise(0.0))
+        return term(f, F.when(s["sd"] > 0, (_filled(f, s) - s["mean"]) / s["sd"]).otherwise(0.0))
 
     cols = [z(f) for f in features] + ([term(f"{f}_missing", F.col(f).isNull().cast("double")) for f in features] if missing else [])
     return out.withColumn("_terms", F.array(*cols)).drop("_s")
@@ -162,11 +223,21 @@ def linear_gram(rows: DataFrame, group: list[str], y: Column, weight: Column | N
     return _pair_sums(rows, group, x, weight)
 
 
+def _models(coefficients: DataFrame, on: list[str]) -> DataFrame:
+    """A row per model with its coefficients as a map, `_m`."""
+    return coefficients.groupBy(*on).agg(F.map_from_entries(F.collect_list(F.struct("term", "coefficient"))).alias("_m"))
+
+
+def _score() -> Column:
+    """`_terms` times `_m`, and the intercept."""
+    of = lambda t: F.coalesce(F.try_element_at(F.col("_m"), t), F.lit(0.0))
+    return F.aggregate("_terms", of(F.lit("(1)")), lambda acc, x: acc + x["v"] * of(x["t"]))
+
+
 def apply_linear(rows: DataFrame, coefficients: DataFrame, on: list[str], out: str, cap: float | None = None) -> DataFrame:
     """Score `_terms` rows with the coefficient table of their group (`on`), intercept included, capped both ways."""
-    model = coefficients.groupBy(*on).agg(F.map_from_entries(F.collect_list(F.struct("term", "coefficient"))).alias("_m"))  # one map per model
-    joined = rows.join(F.broadcast(model), on) if on else rows.crossJoin(F.broadcast(model))
-    total = F.aggregate("_terms", F.coalesce(F.try_element_at("_m", F.lit("(1)")), F.lit(0.0)), lambda acc, x: acc + x["v"] * F.coalesce(F.try_element_at(F.col("_m"), x["t"]), F.lit(0.0)))
+    joined = _with(rows, _models(coefficients, on), on)
+    total = _score()
     value = F.greatest(F.least(total, F.lit(cap)), F.lit(-cap)) if cap is not None else total
     return joined.withColumn(out, value).drop("_m")
 
@@ -176,25 +247,45 @@ def season_forward(
 ) -> DataFrame:
     """Out-of-fold predictions: each season scored by models of the seasons before it, one per alpha, all solved in one job.
 
-    Medians, clips, means and deviations are those of the fold's own past too, so nothing of a season or a later one reaches its scores.  A
-    row takes part in every later fold; folds are few, and each is reduced to its Gram by partial sums.
+    Medians, clips, means and deviations are those of the fold's own past too, so nothing of a season or a later one reaches its scores.  Seasons before which
+    no feature has a value, or fewer than `least_rows` rows are, have no scores.
+
+    Quantiles of all folds come from one count by season.  A row that no later fold's clips or fillings change goes into the Gram of its season, and a
+    fold's Gram is the sum of those before it; only rows that some fold changes are taken to the later folds.  Means and deviations are read from the
+    Grams, in which a feature is measured from its first fold's median, so that squares stay small.
     """
-    folds = rows.select(F.col(season).alias("fold")).distinct()
-    past = rows.join(F.broadcast(folds), F.col(season) < F.col("fold"))  # a row per season
-    stats = feature_stats(past, features, ["fold"])
-    before = linear_gram(standardized(past, stats, features, ["fold"], missing), ["fold"], F.col(y), intercept=not nonnegative)
-    rows = standardized(rows.withColumn("fold", F.col(season)), stats, features, ["fold"], missing)
+    rows = written(rows)
+    names = tuple(QUANTILES)
+    bounds = written(exact_quantiles(_long(rows, features, [season]), ["feature"], "value", QUANTILES, part=season))
+    origin = {r["feature"]: r["x"] for r in bounds.groupBy("feature").agg(F.min_by("median", "fold").alias("x")).collect()}  # a row per feature
+    folds = [r[season] for r in rows.select(season).where(F.col(season).isNotNull()).distinct().collect()]  # a row per season
+    own = written(_by_feature(bounds, ["fold"], names))
+    earlier = F.explode(F.filter(F.array(*map(F.lit, folds)), lambda s: s < F.col("fold")))
+    ends = bounds.withColumn("_season", earlier).groupBy("_season", "feature").agg(F.max("low").alias("low"), F.min("high").alias("high"))
+    narrow = written(_by_feature(ends, ["_season"], ("low", "high")).withColumnRenamed("_s", "_n"))
+
+    def terms(value, indicators: bool) -> list[Column]:
+        made = [term(f, F.coalesce(value(f) - F.lit(float(origin.get(f, 0.0))), F.lit(0.0))) for f in features]
+        return made + [term(f"{f}_missing", F.col(f).isNull().cast("double")) for f in features if indicators] + [term("(1)")]
+
+    inside = lambda f: F.coalesce(F.col(f).cast("double").between(F.col("_n")[f]["low"], F.col("_n")[f]["high"]), F.lit(False))
+    plain = F.lit(True)
+    for f in features:
+        plain &= inside(f)
+    marked = rows.withColumn("_season", F.col(season)).join(narrow, "_season").withColumn("_plain", plain)
+    target = term(Y, F.col(y))
+    by_season = _pair_sums(marked.where("_plain"), ["_season"], F.array(*terms(lambda f: F.col(f).cast("double"), False), target))
+    shared = by_season.withColumn("fold", later(folds, F.col("_season"))).select("fold", "i", "j", "v", "n")
+    clipped = marked.where("not _plain").drop("_n").withColumn("fold", later(folds, F.col("_season"))).join(own, "fold")
+    changed = _pair_sums(clipped, ["fold"], F.array(*terms(lambda f: _filled(f, F.col("_s")[f]), missing), target))
+    before = shared.unionByName(changed).groupBy("fold", "i", "j").agg(F.sum("v").alias("v"), F.sum("n").alias("n"))
+
     grid = before.withColumn("alpha", F.explode(F.array(*map(F.lit, alphas))))
     enough = grid.withColumn("_most", F.max("n").over(Window.partitionBy("fold", "alpha"))).where(F.col("_most") >= least_rows).drop("_most")
-    models = solve(enough, ["fold", "alpha"], "alpha", ("(1)",), nonnegative=nonnegative)
-    return apply_linear(rows, models, ["fold"], "predicted") if len(alphas) == 1 else _apply_grid(rows, models)
-
-
-def _apply_grid(rows: DataFrame, models: DataFrame) -> DataFrame:
-    model = models.groupBy("fold", "alpha").agg(F.map_from_entries(F.collect_list(F.struct("term", "coefficient"))).alias("_m"))
-    joined = rows.join(F.broadcast(model), "fold")  # folds x alphas models
-    total = F.aggregate("_terms", F.coalesce(F.try_element_at("_m", F.lit("(1)")), F.lit(0.0)), lambda acc, x: acc + x["v"] * F.coalesce(F.try_element_at(F.col("_m"), x["t"]), F.lit(0.0)))
-    return joined.withColumn("predicted", total).drop("_m")
+    models = solve(enough, ["fold", "alpha"], "alpha", ("(1)",), nonnegative=nonnegative, standardize=tuple(features), intercept=not nonnegative)
+    tested = rows.withColumn("fold", F.col(season)).join(own, "fold").withColumn("_terms", F.array(*terms(lambda f: _filled(f, F.col("_s")[f]), missing)[:-1])).drop("_s")
+    scored = _with(tested, _models(models, ["fold", "alpha"]), ["fold"]).withColumn("predicted", _score()).drop("_m", "_terms")
+    return scored.drop("alpha") if len(alphas) == 1 else scored
 
 
 def nested_grid_select(
@@ -225,9 +316,8 @@ def nested_grid_select(
     grid = before.withColumn("_t", targets).select("fold", "k", "cap", F.col("_t.cap").alias("target_cap"), own("i").alias("i"), own("j").alias("j"), "v", "n").where("i is not null and j is not null")
     models = solve(grid.withColumn("alpha", F.explode(F.array(*map(number, alphas)))), ["fold", "k", "cap", "alpha", "target_cap"], "alpha", nonnegative=True, scaled=True)
 
-    model = models.groupBy("fold", "k", "cap", "alpha", "target_cap").agg(F.map_from_entries(F.collect_list(F.struct("term", "coefficient"))).alias("_m"))
-    scored = long.withColumnRenamed("season", "fold").join(F.broadcast(model), ["fold", "k", "cap"])  # seasons x settings models
-    miss = F.abs(F.aggregate("_terms", -F.col("_y"), lambda acc, x: acc + x["v"] * F.coalesce(F.try_element_at(F.col("_m"), x["t"]), F.lit(0.0))))
+    scored = long.withColumnRenamed("season", "fold").join(_models(models, ["fold", "k", "cap", "alpha", "target_cap"]), ["fold", "k", "cap"])
+    miss = F.abs(_score() - F.col("_y"))
     errors = scored.groupBy("fold", "k", "cap", "alpha", "target_cap").agg(F.sum(miss).alias("miss"), F.count("*").alias("n"))
     tests = folds.withColumnRenamed("fold", "test_season")
     found = errors.join(F.broadcast(tests), F.col("fold") < F.col("test_season")).groupBy("test_season", "k", "cap", "alpha", "target_cap").agg((F.sum("miss") / F.sum("n")).alias("mae"), F.sum("n").alias("n"))

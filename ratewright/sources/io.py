@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,9 +11,16 @@ from pyspark.sql.types import StructType
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder for tables between steps: what spark.checkpoint.dir names or the context has, else one in the warehouse, which executors share too."""
+    """The folder for tables between steps: what spark.checkpoint.dir names or the context has.
+
+    Where neither is set, one in the warehouse, on a local master only: on a cluster the default warehouse may be each machine's own disk, so that raises.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return (named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_between").rstrip("/")
+    if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        named = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_between"
+    return named.rstrip("/")
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -23,6 +31,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """`df` as a table in the shared folder: it is made once, outlives its executors, and Spark knows its size."""
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _clean_names(df: DataFrame) -> DataFrame:
     return df.toDF(*(c.strip().lower() for c in df.columns))
 
