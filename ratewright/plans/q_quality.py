@@ -186,19 +186,27 @@ def _(spark, sf):
     return out.groupBy("target_season").agg(F.count("*").alias("rows"), F.count_distinct("season").alias("seasons"), F.min("season").alias("first_season"))
 
 
-@query("live_offer_stream")
-def _(spark, sf):
-    """The events file as a stream of offers; what the last batch kept."""
-    schema = table(spark, sf, "events").schema
+@query("live_offer_stream", """
+WITH o AS (SELECT user_id AS game, event_type AS book, event_id, value AS line, ts, CASE event_type WHEN 'purchase' THEN 1 WHEN 'click' THEN 2 WHEN 'view' THEN 3 ELSE 4 END AS place FROM events),
+-- where the watermark stands in the end
+w AS (SELECT epoch_ms(max(ts)) - 3600000 AS now FROM events),
+fresh AS (SELECT o.* FROM o, w WHERE now - epoch_ms(ts) <= 2 * 86400000),
+best AS (SELECT game, book, event_id, line FROM fresh QUALIFY row_number() OVER (PARTITION BY game ORDER BY place, ts DESC, event_id DESC) = 1)
+SELECT game, book, event_id, line, CASE WHEN b.game IS NULL THEN 'no fresh offer' END AS reason FROM (SELECT DISTINCT game FROM o) g LEFT JOIN best b USING (game)""")
+def _(spark, sf):
+    """The events arrive as offers in three runs of one stream, in the order of time; the table after the last commit."""
+    events_ = table(spark, sf, "events")
     base = _shared(spark, "stream")
-    table(spark, sf, "events").repartition(2).write.parquet(f"{base}/in")
-    raw = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    first, last = events_.agg(F.min(F.unix_micros(F.col("ts").cast("timestamp"))), F.max(F.unix_micros(F.col("ts").cast("timestamp")))).first()
+    cuts = [first + (last - first) * k // 3 for k in range(3)] + [last + 1]
+    offers.use_state_store(spark)
+    events_.limit(0).write.parquet(f"{base}/in")
+    raw = spark.readStream.schema(events_.schema).parquet(f"{base}/in")
     stream = raw.select(F.col("user_id").alias("game"), F.col("event_type").alias("book"), "event_id", F.col("value").alias("line"), F.col("ts").cast("timestamp").alias("ts"))
-    kept = offers.live_offers(stream, "ts", ["event_id"], "60 days")
-    write = offers.keep_best("game", "book", ["purchase", "click", "view"], "ts", 60 * 24 * 60.0, ["event_id"], f"{base}/best")
-    q = kept.writeStream.foreachBatch(write).option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start()
-    q.awaitTermination()
-    out = spark.read.parquet(f"{base}/best")
-    return out.where(F.col("batch") == out.agg(F.max("batch")).first()[0]).select("game", "book", "event_id", "line")
-
-
+    best = offers.best_offers(offers.live_offers(stream, "ts", ["event_id"], "1 hour"), "game", "book", ["purchase", "click", "view"], "ts", 2 * 24 * 60.0, ["event_id"])
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        at = F.unix_micros(F.col("ts").cast("timestamp"))
+        events_.where((at >= a) & (at < b)).write.mode("append").parquet(f"{base}/in")
+        run = best.writeStream.outputMode("append").foreachBatch(offers.keep_best(spark, f"{base}/best", "game")).option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start()
+        run.awaitTermination()
+    return offers.DeltaTable(spark, f"{base}/best", "game").read().select("game", "book", "event_id", "line", "reason")

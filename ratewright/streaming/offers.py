@@ -1,11 +1,23 @@
-"""Arriving offers: the best current one per game, kept by micro-batch."""
+"""Arriving offers: the best current one per game, from keyed state with event-time timers, in a table that changes batch by batch or not at all.
+
+State holds the newest offer of each book of a game, so it is bounded by games times books and not by arrivals.  When the watermark passes the
+age at which the chosen offer goes stale, a timer chooses anew, whether the game gets offers or not.  What changes is appended to a table as a
+delta of its batch; a commit file, put in place by one rename, makes it visible.  A batch that is played again finds its commit or
+overwrites its unfinished delta; a batch whose predecessor isn't committed raises.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+from collections.abc import Callable, Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor
 
-from ratewright.operators.select import priority_pick
+STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def live_offers(stream: DataFrame, ts: str, keys: list[str], late: str = "10 minutes") -> DataFrame:
@@ -13,17 +25,173 @@ def live_offers(stream: DataFrame, ts: str, keys: list[str], late: str = "10 min
     return stream.withWatermark(ts, late).dropDuplicatesWithinWatermark(keys)
 
 
-def keep_best(game: str, book: str, priority: list[str], ts: str, most_minutes: float, tie: list[str], path: str):
-    """A foreachBatch function: what was kept and what arrived go through the same pick as in batch, then replace the table."""
+def use_state_store(spark: SparkSession) -> None:
+    """Keyed state with timers needs the RocksDB store: call this before the stream starts."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STORE)
+
+
+class _BestOffer(StatefulProcessor):
+    """State of one game, in one value: the newest offer of each book, the book last said to be best with its offer, and the timer that is set."""
+
+    def __init__(self, schema: T.StructType, priority: list[str], most_minutes: float, tie: list[str]):
+        self.schema, self.tie = schema, tie
+        self.place = {b: i for i, b in enumerate(priority)}
+        self.most = int(most_minutes * 60_000)
+        self.fields = [f for f in schema.fields if f.name not in ("game", "reason")]
+        self.names = [f.name for f in self.fields]
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        offer = T.StructType(self.fields)
+        self.state = handle.getValueState("game", T.StructType([T.StructField("books", T.ArrayType(offer)), T.StructField("said", T.ArrayType(offer)), T.StructField("timer", T.LongType())]))
+
+    def _order(self, offer: dict) -> tuple:
+        """Later offers are greater: by time, then by the tie-breaks."""
+        return offer["us"], *(offer[t] for t in self.tie)
+
+    def _newer(self, books: dict[str, dict], offers: list[dict]) -> None:
+        for offer in offers:
+            last = books.get(offer["book"])
+            if last is None or self._order(last) < self._order(offer):
+                books[offer["book"]] = offer
+
+    def _choose(self, key, arrived: list[dict], now: int) -> Iterator[pd.DataFrame]:
+        offers = lambda rows: [dict(zip(self.names, r, strict=True)) for r in rows or ()]
+        kept, said, timer = self.state.get() if self.state.exists() else ((), None, None)
+        books: dict[str, dict] = {}
+        self._newer(books, offers(kept))
+        self._newer(books, arrived)
+        stale_at = lambda o: o["us"] // 1000 + self.most + 1
+        fresh = [o for o in books.values() if stale_at(o) > now]  # the others can't be chosen again
+        best = max(fresh, key=lambda o: (-self.place.get(o["book"], len(self.place)), self._order(o)), default=None)
+        due = stale_at(best) if best else None
+        if due != timer:
+            if timer is not None and timer > now:
+                self.handle.deleteTimer(timer)
+            if due is not None:
+                self.handle.registerTimer(due)
+        plain = lambda o: tuple(o[c] for c in self.names)
+        self.state.update(([plain(o) for o in fresh], [plain(best)] if best else [], due))
+        if said is None or offers(said) != ([best] if best else []):
+            row = {"game": key[0]} | (best or dict.fromkeys(self.names)) | {"reason": None if best else "no fresh offer"}
+            yield pd.DataFrame({c: pd.Series([row[c]], dtype=object) for c in self.schema.names})
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        newest: dict[str, dict] = {}
+        for pdf in rows:
+            own = pdf[pdf["book"].notna()].sort_values(["us", *self.tie]).groupby("book").tail(1)
+            columns = [own[c].astype(object).where(own[c].notna(), None).tolist() for c in self.names]
+            self._newer(newest, [dict(zip(self.names, r, strict=True)) for r in zip(*columns, strict=True)])
+        if newest:
+            yield from self._choose(key, list(newest.values()), timerValues.getCurrentWatermarkInMs())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield from self._choose(key, [], timerValues.getCurrentWatermarkInMs())
+
+    def close(self) -> None:
+        pass
+
+
+def best_offers(stream: DataFrame, game: str, book: str, priority: list[str], ts: str, most_minutes: float, tie: list[str]) -> DataFrame:
+    """A row whenever the choice of a game changes: the newest offer of the best-placed book that isn't older than `most_minutes` at the watermark, else a reason.
+
+    `stream` has a watermark on `ts`; `tie` orders offers of one time and holds no nulls.  Books outside `priority` share the last place.  Offers
+    without a book or a time are left out.  Rows of one game are combined an Arrow batch at a time, however many a game has.
+    """
+    payload = [f for f in stream.schema.fields if f.name not in (game, book, ts)]
+    given = {game: "game", book: "book", ts: "ts"} | {f.name: f"c{i}" for i, f in enumerate(payload)}  # names that a Python tuple may have
+    rows = stream.where(F.col(ts).isNotNull()).select(*(F.col(c).alias(given[c]) for c in stream.columns), F.unix_micros(ts).alias("us"))
+    fields = [T.StructField("game", stream.schema[game].dataType), T.StructField("book", T.StringType()), *(T.StructField(given[f.name], f.dataType) for f in payload), T.StructField("us", T.LongType())]
+    out = T.StructType([*fields, T.StructField("reason", T.StringType())])
+    said = rows.groupBy("game").transformWithStateInPandas(statefulProcessor=_BestOffer(out, priority, most_minutes, [given[t] for t in tie]), outputStructType=out, outputMode="Append", timeMode="EventTime")
+    return said.select(*((F.timestamp_micros("us") if c == ts else F.col(given[c])).alias(c) for c in stream.columns), "reason")
+
+
+class DeltaTable:
+    """A keyed table in a shared folder that changes by whole batches.
+
+    `base-N` is the table after batch N, `delta-N` what batch N changes, `commit-N` says which of them are the table.  Every `compact`
+    batches a new base is written; what a commit no longer names is removed with the next one, so that a reader of the last table can finish.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, key: str, compact: int = 10):
+        self.spark, self.path, self.key, self.compact = spark, path.rstrip("/"), key, compact
+        self.fs_path = spark._jvm.org.apache.hadoop.fs.Path
+        self.fs = self.fs_path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _at(self, name: str):
+        return self.fs_path(f"{self.path}/{name}")
+
+    def _names(self) -> list[str]:
+        root = self.fs_path(self.path)
+        return [s.getPath().getName() for s in self.fs.listStatus(root)] if self.fs.exists(root) else []
+
+    def last(self) -> dict | None:
+        """The newest commit: {"batch", "base", "deltas"}."""
+        batches = [int(n.removeprefix("commit-")) for n in self._names() if n.startswith("commit-")]
+        return json.loads(self.spark.read.text(f"{self.path}/commit-{max(batches)}", wholetext=True).first()[0]) if batches else None
+
+    def _put(self, name: str, text: str) -> None:
+        """The whole file under its name, or none: it is written beside and renamed."""
+        part = self._at(f"_{name}")
+        stream = self.fs.create(part, True)
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
+        if not self.fs.rename(part, self._at(name)):
+            raise OSError(f"{self.path}/{name} could not be put in place")
+
+    def apply(self, changes: DataFrame, batch: int, after_write: Callable[[], None] = lambda: None) -> None:
+        """Commit a batch: rows of `changes` replace those of their keys, the last of a key by `_order` if there is that column.
+
+        Of a committed batch the table is left alone; its rows are still computed, as the stream's state is committed by that.  `after_write` runs between writing and committing, for tests of a failure there.
+        """
+        last = self.last()
+        if last and last["batch"] >= batch:
+            changes.write.format("noop").mode("overwrite").save()
+            return
+        if (last["batch"] if last else -1) != batch - 1:
+            raise ValueError(f"batch {batch} of {self.path} comes after {last['batch'] if last else 'none'}: a batch is missing")
+        changes.write.mode("overwrite").parquet(f"{self.path}/delta-{batch}")
+        now = {"batch": batch, "base": last["base"] if last else None, "deltas": [*(last["deltas"] if last else []), batch]}
+        if len(now["deltas"]) >= self.compact:
+            self._rows(now).write.mode("overwrite").parquet(f"{self.path}/base-{batch}")
+            now |= {"base": batch, "deltas": []}
+        after_write()
+        self._put(f"commit-{batch}", json.dumps(now))
+        self._remove(last, now)
+
+    def _remove(self, last: dict | None, now: dict) -> None:
+        """All folders that neither the new commit nor the one before it names."""
+        kept = {f"commit-{c['batch']}" for c in (last, now) if c} | {f"base-{c['base']}" for c in (last, now) if c and c["base"] is not None} | {f"delta-{d}" for c in (last, now) if c for d in c["deltas"]}
+        for name in self._names():
+            if name.split("-")[0] in ("commit", "base", "delta") and name not in kept:
+                self.fs.delete(self._at(name), True)
+
+    def _rows(self, commit: dict) -> DataFrame:
+        parts = [(-1, f"base-{commit['base']}")] if commit["base"] is not None else []
+        parts += [(d, f"delta-{d}") for d in commit["deltas"]]
+        frames = [self.spark.read.parquet(f"{self.path}/{name}").withColumn("_batch", F.lit(n)) for n, name in parts]
+        rows = frames[0]
+        for df in frames[1:]:
+            rows = rows.unionByName(df)
+        columns = [c for c in rows.columns if c not in (self.key, "_batch")]
+        newest = rows.groupBy(self.key).agg(F.max_by(F.struct(*columns), "_batch").alias("_r"))  # partial: a row per key and task
+        return newest.select(self.key, "_r.*")
+
+    def read(self) -> DataFrame:
+        """The table after the last committed batch."""
+        last = self.last()
+        if last is None:
+            raise ValueError(f"{self.path} has no committed batch")
+        return self._rows(last)
+
+
+def keep_best(spark: SparkSession, path: str, game: str, compact: int = 10) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch function for `best_offers`: each batch's changes are one commit of the table."""
 
     def write(batch: DataFrame, number: int) -> None:
-        from ratewright.sources.io import exists
-
-        spark = batch.sparkSession
-        last = f"{path}/batch={number - 1}"
-        rows = batch.unionByName(spark.read.parquet(last).select(*batch.columns)) if number and exists(spark, last) else batch
-        now = rows.agg(F.max(ts).alias("_now"))
-        best = priority_pick(rows.crossJoin(F.broadcast(now)), game, book, priority, ts, "_now", most_minutes, tie)
-        best.where("reason is null").drop("reason").write.mode("overwrite").parquet(f"{path}/batch={number}")
+        DeltaTable(batch.sparkSession, path, game, compact).apply(batch, number)
 
     return write
