@@ -7,8 +7,10 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ratewright.operators import boosting
+from ratewright.operators.boosting import Setting
 from ratewright.operators.solve import apply_linear
-from ratewright.sources.io import shared_folder
+from ratewright.sources.io import written
 
 
 def phase_switch(rows: DataFrame, coefficients: DataFrame, period: str, last_early: int, share: float, first: str = "A", second: str = "B") -> DataFrame:
@@ -20,25 +22,16 @@ def phase_switch(rows: DataFrame, coefficients: DataFrame, period: str, last_ear
     return out.withColumn("predicted", F.when(F.col(period) <= last_early, F.col(f"_{first}")).otherwise(late)).drop(f"_{first}", f"_{second}")
 
 
-def boosted(rows: DataFrame, features: list[str], y: str, season: str, first_test: int, iterations: int = 200, step: float = 0.04, depth: int = 4, seed: int = 7) -> DataFrame:
-    """Gradient-boosted trees fitted on seasons before `first_test`, applied to the later ones.
-
-    Trees are bounded by depth, so predictions agree with leaf-bounded boosting in quality, not to the bit.  Every tenth iteration is
-    checkpointed in the shared folder, so that lineage stays short and a lost executor costs few iterations.
-    """
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import GBTRegressor
-
-    context = rows.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(rows.sparkSession))
-    spark_rows = rows.select(*(c for c in rows.columns if c not in features), *(F.col(f).cast("double").alias(f) for f in features))
-    vectors = VectorAssembler(inputCols=features, outputCol="_v", handleInvalid="keep").transform(spark_rows)
-    train, test = vectors.where(F.col(season) < first_test), vectors.where(F.col(season) >= first_test)
-    if train.isEmpty():
-        return test.withColumn("predicted", F.lit(None).cast("double")).drop("_v")
-    model = GBTRegressor(featuresCol="_v", labelCol=y, predictionCol="predicted", maxIter=iterations, stepSize=step, maxDepth=depth, seed=seed).fit(train)
-    return model.transform(test).drop("_v")
+def boosted(rows: DataFrame, features: list[str], y: str, season: str, first_test: int, setting: Setting | None = None) -> DataFrame:
+    """Leaf-wise boosted trees (see `boosting`) fitted on seasons before `first_test`, applied to the later ones; null where there are no earlier ones."""
+    rows = written(rows)
+    setting = setting or Setting()
+    marked = rows.withColumn("_late", (F.col(season) >= first_test).cast("int"))
+    binnings, models = boosting.fit(marked, features, y, "_late", [1], [setting])
+    late = rows.where(F.col(season) >= first_test)
+    if (1, setting) not in models:
+        return late.withColumn("predicted", F.lit(None).cast("double"))
+    return boosting.predict(late, features, binnings[1], models[1, setting])
 
 
 def rescore(rows: DataFrame, patch: DataFrame, on: list[str], weights: dict[str, float], replaced: list[str]) -> DataFrame:

@@ -70,6 +70,10 @@ def _mix(at: Column, low: Column, high: Column) -> Column:
     return F.when((F.floor(at) == F.ceil(at)) | (low == high), low).otherwise((F.ceil(at) - at) * low + (at - F.floor(at)) * high)
 
 
+def _listed(probabilities: dict[str, float]) -> Column:
+    return F.explode(F.array(*(F.struct(F.lit(name).alias("name"), F.lit(float(p)).alias("p")) for name, p in probabilities.items())))
+
+
 def _sorted_rows(rows: DataFrame, by: list[str]) -> DataFrame:
     """An array of (value, part) per key or bracket: for those that hold few rows."""
     return rows.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("value", "part"))).alias("_rows"))
@@ -78,9 +82,9 @@ def _sorted_rows(rows: DataFrame, by: list[str]) -> DataFrame:
 def _of_small(rows: DataFrame, keys: list[str], probabilities: dict[str, float], parts: list) -> DataFrame:
     """Quantiles of keys with few rows, straight from their sorted rows."""
     past = _sorted_rows(rows, keys).withColumn("fold", F.explode(F.array(*map(F.lit, parts)))).withColumn("_rows", F.filter("_rows", lambda x: x["part"] < F.col("fold"))).where(F.size("_rows") > 0)
-    at = {name: F.lit(p) * (F.size("_rows") - 1) for name, p in probabilities.items()}
     nth = lambda place: F.col("_rows")[place.cast("int")]["value"]
-    return past.select(*keys, "fold", *(_mix(x, nth(F.floor(x)), nth(F.ceil(x))).alias(name) for name, x in at.items()))
+    each = past.withColumn("_p", _listed(probabilities)).withColumn("_at", F.col("_p.p") * (F.size("_rows") - 1))
+    return each.select(*keys, "fold", F.col("_p.name").alias("name"), _mix(F.col("_at"), nth(F.floor("_at")), nth(F.ceil("_at"))).alias("quantile"))
 
 
 def _of_large(rows: DataFrame, keys: list[str], probabilities: dict[str, float], parts: list, small: int, buckets: int) -> DataFrame:
@@ -89,8 +93,8 @@ def _of_large(rows: DataFrame, keys: list[str], probabilities: dict[str, float],
     sizes = written(rows.groupBy(*keys, "part").agg(F.count("*").alias("n"), F.min(finite).alias("least"), F.max(finite).alias("most")))
     counts = sizes.withColumn("fold", later(parts, F.col("part"))).groupBy(*keys, "fold").agg(F.sum("n").alias("n"))
     whole = sizes.groupBy(*keys).agg(F.min("least").alias("from"), F.max("most").alias("to"), F.sum("n").alias("total"))
-    positions = F.explode(F.array(*(F.struct(F.lit(name).alias("name"), (F.lit(p) * (F.col("n") - 1)).alias("at")) for name, p in probabilities.items())))
-    wanted = counts.select(*keys, "fold", positions.alias("x")).select(*keys, "fold", "x.*", F.explode(F.array(F.floor("x.at"), F.ceil("x.at"))).alias("rank"))
+    wanted = counts.withColumn("x", _listed(probabilities)).select(*keys, "fold", F.col("x.name").alias("name"), (F.col("x.p") * (F.col("n") - 1)).alias("at"))
+    wanted = wanted.withColumn("rank", F.explode(F.array(F.floor("at"), F.ceil("at"))))
     targets = wanted.select(*keys, "fold", "rank").distinct().join(whole, keys)
     targets = targets.select(*keys, "fold", "rank", F.lit(-_INFINITE).alias("lo"), F.lit(float("nan")).alias("hi"), F.col("rank").alias("within"), "total", "from", "to")
     large, done = (F.col("total") > small) & (F.col("lo") < F.col("hi")), []
@@ -105,20 +109,16 @@ def _of_large(rows: DataFrame, keys: list[str], probabilities: dict[str, float],
     inside = rows.join(left.select(*keys, "lo", "hi").distinct(), keys).where(v.between(F.col("lo"), F.col("hi")))
     nth = F.element_at(F.filter("_rows", lambda x: x["part"] < F.col("fold")), (F.col("within") + 1).cast("int"))["value"]
     sought = left.join(_sorted_rows(inside, [*keys, "lo", "hi"]), [*keys, "lo", "hi"]).select(*keys, "fold", "rank", nth.alias("value"))
-    both = wanted.join(solved.unionByName(sought), [*keys, "fold", "rank"]).groupBy(*keys, "fold")
-
-    def of(name: str) -> Column:
-        own = F.col("name") == name
-        at = F.max(F.when(own, F.col("at")))
-        return _mix(at, F.max(F.when(own & (F.col("rank") == F.floor("at")), F.col("value"))), F.max(F.when(own & (F.col("rank") == F.ceil("at")), F.col("value")))).alias(name)
-
-    return both.agg(*map(of, probabilities))
+    both = wanted.join(solved.unionByName(sought), [*keys, "fold", "rank"]).groupBy(*keys, "fold", "name", "at")
+    end = lambda place: F.max(F.when(F.col("rank") == place, F.col("value")))
+    ends = both.agg(end(F.floor("at")).alias("_low"), end(F.ceil("at")).alias("_high"))
+    return ends.select(*keys, "fold", "name", _mix(F.col("at"), F.col("_low"), F.col("_high")).alias("quantile"))
 
 
-def exact_quantiles(long: DataFrame, keys: list[str], value: str, probabilities: dict[str, float], part: str | None = None, small: int = SMALL, buckets: int = BUCKETS) -> DataFrame:
-    """(keys, one column per name of `probabilities`): exact quantiles of the non-null values, linear between neighbours, NaN above all.
+def quantile_rows(long: DataFrame, keys: list[str], value: str, probabilities: dict[str, float], part: str | None = None, small: int = SMALL, buckets: int = BUCKETS) -> DataFrame:
+    """(keys, fold, name, quantile): exact quantiles of the non-null values, linear between neighbours, NaN above all, a row per name of `probabilities`.
 
-    With `part` also a column `fold`: for every part of the table the quantiles of all rows of smaller parts (none: no row).  Values are
+    With `part` for every part of the table as `fold` those of all rows of smaller parts (none: no row); without, `fold` is 1.  Values are
     doubles.  They are written to the shared folder once and read again each round; brackets and counts are written too, so that Spark knows
     their size when it joins them.  Keys of at most `small` rows are sorted at once.
     """
@@ -135,8 +135,14 @@ def exact_quantiles(long: DataFrame, keys: list[str], value: str, probabilities:
         out = _of_large(of(f"_total > {small}"), keys, probabilities, parts, small, buckets)
         if keys:
             out = out.unionByName(_of_small(of(f"_total <= {small}"), keys, probabilities, parts))
-    out = out.withColumnsRenamed(dict(zip(keys, names, strict=True)))
-    return out if part else out.drop("fold")
+    return out.withColumnsRenamed(dict(zip(keys, names, strict=True)))
+
+
+def exact_quantiles(long: DataFrame, keys: list[str], value: str, probabilities: dict[str, float], part: str | None = None, small: int = SMALL, buckets: int = BUCKETS) -> DataFrame:
+    """`quantile_rows` with a column per name: (keys, fold with `part`, names)."""
+    by = [*keys, "fold"] if part else keys
+    rows = quantile_rows(long, keys, value, probabilities, part, small, buckets)
+    return rows.groupBy(*by).agg(*(F.max(F.when(F.col("name") == name, F.col("quantile"))).alias(name) for name in probabilities))
 
 
 def medians(df: DataFrame, group: list[str], values: list[str], prefix: str) -> DataFrame:

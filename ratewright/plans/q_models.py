@@ -217,6 +217,15 @@ def _(spark, sf):
     return boosted(p, FEATURES, "gain", "season", 2000).select("season", "period", "team", "predicted")
 
 
+@query("boosted_grid_select")
+def _(spark, sf):
+    from ratewright.operators import boosting
+
+    p = predictions(spark, sf).withColumn("gain", (F.col("actual") - F.col("line")).cast("double"))
+    settings = [boosting.Setting(leaves, l2, cap) for leaves in (7, 15) for l2 in (10.0, 100.0) for cap in (21.0, 35.0)]
+    return boosting.grid_select(p, FEATURES, "gain", settings).withColumn("mae", F.round("mae", 6))
+
+
 @query("live_matchup_features")
 def _(spark, sf):
     ev = events(spark, sf).withColumn("epa", F.col("measure") / 10000)
