@@ -277,7 +277,7 @@ def fit(rows: DataFrame, features: list[str], y: str, season: str, folds: list[i
             model = train_cells(at, pdf["n"].to_numpy(float), pdf[f"y{caps.index(s.cap)}"].to_numpy(float), shape, s)
             return pd.DataFrame({"fold": [fold], "number": [number], "model": [json.dumps(model)]})
 
-        found = cells.where(F.col("fold").isin(small)).withColumn("number", numbered).groupBy("fold", "number").applyInPandas(train, "fold long, number int, model string")
+        found = cells.where(F.col("fold").isin(small)).withColumn("number", numbered).repartition(len(small) * len(settings), "fold", "number").groupBy("fold", "number").applyInPandas(train, "fold long, number int, model string")
         for r in found.collect():  # a row per model
             model = json.loads(r["model"])
             model["trees"] = [[(tuple(tuple(c) for c in path), value) for path, value in tree] for tree in model["trees"]]

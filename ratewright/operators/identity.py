@@ -12,17 +12,25 @@ from pyspark.sql import functions as F
 
 
 def asof_identity(asked: DataFrame, seen: DataFrame, keys: list[str], period: str, identity: str) -> DataFrame:
-    """The id that `seen` gives a name at the asked period, else at earlier ones; several ids are a conflict."""
-    a = asked.withColumn("_asked", F.col(period)).drop(period)
-    joined = a.join(seen.select(*keys, F.col(period).alias("_seen"), identity), keys, "left").where(F.col("_seen").isNull() | (F.col("_seen") <= F.col("_asked")))
-    exact = F.collect_set(F.when(F.col("_seen") == F.col("_asked"), F.col(identity)))
-    prior = F.collect_set(F.when(F.col("_seen") < F.col("_asked"), F.col(identity)))
-    found = joined.groupBy(*keys, "_asked").agg(exact.alias("e"), prior.alias("p"))
-    out = a.join(found, [*keys, "_asked"], "left")
-    ne, np_ = F.coalesce(F.size("e"), F.lit(0)), F.coalesce(F.size("p"), F.lit(0))
-    status = F.when(ne == 1, "exact").when(ne > 1, "conflict").when(np_ == 1, "prior").when(np_ > 1, "ambiguous").otherwise("missing")
-    value = F.when(ne == 1, F.try_element_at("e", F.lit(1))).when((ne == 0) & (np_ == 1), F.try_element_at("p", F.lit(1)))
-    return out.select(*keys, F.col("_asked").alias(period), value.alias(identity), status.alias("status"))
+    """The id that `seen` gives a name at the asked period, else at earlier ones; several ids are a conflict.
+
+    Names and periods of `seen` are reduced to their least and greatest id, which says whether there is one, and put on one time line with the questions, a
+    period's questions before its ids.  Running minima and maxima then tell of one earlier id or several: no question meets all rows of its name.  Nulls
+    in keys or periods match nothing, and null ids count as none.
+    """
+    there = F.col(period).isNotNull() & F.col(identity).isNotNull()
+    for k in keys:
+        there &= F.col(k).isNotNull()
+    ids = seen.where(there).groupBy(*keys, F.col(period).alias("_at")).agg(F.min(identity).alias("_lo"), F.max(identity).alias("_hi")).withColumn("_kind", F.lit(1))
+    none = F.lit(None).cast(seen.schema[identity].dataType)
+    questions = asked.select(*keys, F.col(period).alias("_at"), none.alias("_lo"), none.alias("_hi"), F.lit(0).alias("_kind"))
+    line = questions.unionByName(ids)
+    now = Window.partitionBy(*keys).orderBy("_at").rangeBetween(Window.currentRow, Window.currentRow)
+    before = Window.partitionBy(*keys).orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    line = line.withColumns({"_e": F.min("_lo").over(now), "_e2": F.max("_hi").over(now), "_p": F.min("_lo").over(before), "_p2": F.max("_hi").over(before)}).where("_kind = 0")
+    status = F.when(F.col("_e") == F.col("_e2"), "exact").when(F.col("_e").isNotNull(), "conflict").when(F.col("_p") == F.col("_p2"), "prior").when(F.col("_p").isNotNull(), "ambiguous").otherwise("missing")
+    value = F.when(status == "exact", F.col("_e")).when(status == "prior", F.col("_p"))
+    return line.select(*keys, F.col("_at").alias(period), value.alias(identity), status.alias("status"))
 
 
 def match_cascade(rows: DataFrame, reference: DataFrame, identity: str, tiers: dict[str, list[str]], row_id: str) -> DataFrame:
@@ -114,13 +122,14 @@ def link_or_borrow(roster: DataFrame, feed: DataFrame, name: str, provider: str,
     return out.select(*(c for c in roster.columns if c != provider), F.coalesce(F.col(provider).cast("string"), F.col("_b").cast("string"), made).alias(provider), method.alias("method"))
 
 
-def distinct_slots(candidates: DataFrame, keys: list[str], slots: list[str], slot: str, player: str, rank: str, most: int = 4) -> DataFrame:
+def distinct_slots(candidates: DataFrame, keys: list[str], slots: list[str], slot: str, player: str, rank: str) -> DataFrame:
     """One distinct player per slot: as many rank-1 players kept as possible, then the least rank sum; equal bests are flagged as ties.
 
-    `most` candidates of a slot enter (by rank, then player): the search is a self-join of that bounded list per key.
+    Only candidates with fewer better ones in their slot than there are slots enter, which loses no optimum and no tie: else one of the better ones would be free
+    and put in its place.  So the search is a self-join of at most len(slots) rows a slot where ranks differ.
     """
-    w = Window.partitionBy(*keys, slot).orderBy(rank, player)
-    short = candidates.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= most)
+    w = Window.partitionBy(*keys, slot).orderBy(rank)
+    short = candidates.withColumn("_rn", F.rank().over(w)).where(F.col("_rn") <= len(slots))
     out = None
     for i, s in enumerate(slots):
         part = short.where(F.col(slot) == s).select(*keys, F.col(player).alias(f"_p{i}"), F.col(rank).alias(f"_r{i}"))

@@ -69,14 +69,19 @@ def override(base: DataFrame, patch: DataFrame, on: list[str], values: list[str]
 def asof_prior(grid: DataFrame, snapshots: DataFrame, keys: list[str], period: str, values: list[str], depth: int = 4) -> DataFrame:
     """For each (keys, period) of `grid` the last `depth` strictly earlier snapshots, newest first, as an array `prior` of structs.
 
-    Both sides are put on one time line and windowed, so a key's rows are sorted once: no range join, no product.
-    A key's rows per season are bounded by its periods, not by the events.
+    Both sides are put on one time line per key, snapshots of a period behind the questions of that period.  A snapshot takes its `depth` - 1
+    predecessors with it, and a question the last such array that it has passed: both are frames of bounded size over rows sorted once.  Snapshots
+    of one period are ordered by their values; those without a period are earlier than nothing.
     """
-    stamped = snapshots.select(*keys, period, F.struct(F.col(period).alias("period"), *values).alias("_s"))
-    asked = grid.select(*keys, period, F.lit(None).cast(stamped.schema["_s"].dataType).alias("_s"))
-    before = Window.partitionBy(*keys).orderBy(period).rangeBetween(Window.unboundedPreceding, -1)
-    line = stamped.unionByName(asked).withColumn("_all", F.sort_array(F.collect_list("_s").over(before), asc=False))
-    return line.where("_s is null").select(*keys, period, F.slice("_all", 1, depth).alias("prior"))
+    snap = F.struct(F.col(period).alias("period"), *values)
+    stamped = snapshots.where(F.col(period).isNotNull()).select(*keys, F.col(period).alias("_at"), F.lit(1).alias("_kind"), snap.alias("_s"))
+    asked = grid.select(*keys, F.col(period).alias("_at"), F.lit(0).alias("_kind"), F.lit(None).cast(stamped.schema["_s"].dataType).alias("_s"))
+    line = stamped.unionByName(asked).repartition(*keys)  # for both windows
+    own = Window.partitionBy(*keys, "_kind").orderBy("_at", "_s").rowsBetween(-(depth - 1), Window.currentRow)
+    passed = Window.partitionBy(*keys).orderBy("_at", "_kind", "_s").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    line = line.withColumn("_last", F.when(F.col("_kind") == 1, F.reverse(F.collect_list("_s").over(own)))).withColumn("_prior", F.last("_last", ignorenulls=True).over(passed))
+    none = F.array().cast(line.schema["_prior"].dataType)
+    return line.where("_kind = 0").select(*keys, F.col("_at").alias(period), F.coalesce("_prior", none).alias("prior"))
 
 
 def prior_window(grid: DataFrame, history: DataFrame, keys: list[str], season: str = "season", period: str = "period") -> DataFrame:
@@ -92,16 +97,29 @@ def prior_window(grid: DataFrame, history: DataFrame, keys: list[str], season: s
     return out.drop(*(f"_g_{k}" for k in keys))
 
 
+#: exp(-x * x / 2) is 0 in double precision beyond so many bandwidths.
+KERNEL_REACH = 39.0
+_STEPS = 4
+
+
 def kernel_weighted(candidates: DataFrame, history: DataFrame, line: str, outcome: str, bandwidth: float) -> DataFrame:
-    """Per candidate and outcome: the Gaussian-weighted count of history lines near the candidate's.
+    """Per candidate line and outcome: the Gaussian-weighted count of all history lines and the number of history rows with the outcome.
 
-    History is first counted by (line, outcome) and candidates by line, so the broadcast product is of distinct values, not of rows.
+    History is first counted by (line, outcome) and candidates by line.  Lines meet by an equi join on buckets, history in every bucket whose
+    candidates it can reach with a weight that isn't 0 in double precision; what lies beyond adds nothing to a sum.  Null lines and outcomes are left out.
     """
-    counts = history.groupBy(F.col(line).alias("_h"), outcome).agg(F.count("*").alias("_n"))
-    lines = candidates.select(F.col(line).alias("_c")).distinct()
+    width = KERNEL_REACH * bandwidth / _STEPS
+    bucket = lambda c: F.floor(F.col(c).cast("double") / width)
+    counts = history.where(F.col(line).isNotNull() & F.col(outcome).isNotNull()).groupBy(F.col(line).alias("_h"), F.col(outcome).alias("_o")).agg(F.count("*").alias("_n"))
+    lines = candidates.where(F.col(line).isNotNull()).select(F.col(line).alias("_c")).distinct()
+    reach = F.explode(F.array(*(F.lit(k) for k in range(-_STEPS - 1, _STEPS + 2))))
+    near = lines.withColumn("_b", bucket("_c")).join(counts.withColumn("_k", reach).withColumn("_b", bucket("_h") + F.col("_k")).drop("_k"), "_b")
     weight = F.exp(-F.pow((F.col("_c") - F.col("_h")) / bandwidth, 2) / 2)
-    near = lines.join(counts, F.abs(F.col("_c") - F.col("_h")) <= 4 * bandwidth)
-    return near.groupBy(F.col("_c").alias(line), outcome).agg(F.sum(F.col("_n") * weight).alias("weight"), F.sum("_n").alias("n"))
+    sums = near.groupBy("_c", "_o").agg(F.sum(F.col("_n") * weight).alias("_w"))
+    totals = counts.groupBy("_o").agg(F.sum("_n").alias("_n")).agg(F.collect_list(F.struct("_o", "_n")).alias("_all"))  # one row, an entry per outcome
+    every = lines.crossJoin(F.broadcast(totals)).select("_c", F.explode("_all").alias("_x")).select("_c", "_x.*")
+    joined = every.join(sums, ["_c", "_o"], "left")
+    return joined.select(F.col("_c").alias(line), F.col("_o").alias(outcome), F.coalesce("_w", F.lit(0.0)).alias("weight"), F.col("_n").alias("n"))
 
 
 def disagreement(left: DataFrame, right: DataFrame, on: list[str], value: str, tolerance: float) -> DataFrame:

@@ -188,7 +188,7 @@ def _(spark, sf):
 
 
 @query("kernel_cross_join", "WITH " + PRED + """, h AS (SELECT line, sign(actual - line)::INTEGER AS outcome, count(*) AS n FROM pred GROUP BY ALL), c AS (SELECT DISTINCT model AS line FROM pred)
-SELECT c.line, outcome, round(sum(n * exp(-pow((c.line - h.line) / 5.0::DOUBLE, 2) / 2)), 6) AS weight, sum(n)::BIGINT AS n FROM c JOIN h ON abs(c.line - h.line) <= 20 GROUP BY ALL""")
+SELECT c.line, outcome, round(sum(n * exp(-pow((c.line - h.line) / 5.0::DOUBLE, 2) / 2)), 6) AS weight, sum(n)::BIGINT AS n FROM c CROSS JOIN h GROUP BY ALL""")
 def _(spark, sf):
     p = predictions(spark, sf)
     out = J.kernel_weighted(p.select(F.col("model").alias("line")), p.withColumn("outcome", F.signum(F.col("actual") - F.col("line")).cast("int")), "line", "outcome", 5.0)
@@ -208,7 +208,7 @@ def _candidates(spark, sf, most=3):
 @query("distinct_slot_assignment", "WITH " + _CAND + """, x AS (SELECT a.offense, a.player AS ECONOMY, b.player AS STANDARD, d.player AS PROMO, ((a.rank = 1)::INTEGER + (b.rank = 1)::INTEGER + (d.rank = 1)::INTEGER) AS first_choices, (a.rank + b.rank + d.rank)::BIGINT AS rank_sum FROM c a JOIN c b ON b.offense = a.offense AND b.slot = 'STANDARD' AND b.player <> a.player JOIN c d ON d.offense = a.offense AND d.slot = 'PROMO' AND d.player <> a.player AND d.player <> b.player WHERE a.slot = 'ECONOMY'),
 k AS (SELECT *, rank() OVER (PARTITION BY offense ORDER BY first_choices DESC, rank_sum) AS k FROM x), t AS (SELECT *, count(*) OVER (PARTITION BY offense) AS ties, row_number() OVER (PARTITION BY offense ORDER BY ECONOMY, STANDARD, PROMO) AS rn FROM k WHERE k = 1) SELECT offense, ECONOMY, STANDARD, PROMO, first_choices, rank_sum, ties FROM t WHERE rn = 1""")
 def _(spark, sf):
-    return I.distinct_slots(_candidates(spark, sf), ["offense"], ["ECONOMY", "STANDARD", "PROMO"], "slot", "player", "rank", 3)
+    return I.distinct_slots(_candidates(spark, sf), ["offense"], ["ECONOMY", "STANDARD", "PROMO"], "slot", "player", "rank")
 
 
 @query("evidence_slot_assignment", "WITH " + EV + """, top AS (SELECT offense, player, sum(volume) AS vol FROM ev GROUP BY offense, player QUALIFY row_number() OVER (PARTITION BY offense ORDER BY vol DESC, player) <= 3),

@@ -259,3 +259,74 @@ def test_nested_grid_of_no_rows_or_one_season_is_empty(spark):
     for data in ([], [(2000, 1.0, 2.0)]):
         df = spark.createDataFrame(data, "season int, a double, y double")
         assert S.nested_grid_select(df, make, "y", [1.0], [1.0], [1.0], [9.0]).isEmpty()
+
+
+def test_asof_prior_equals_a_loop(spark):
+    rng = random.Random(8)
+    snaps = [(rng.choice([1, 1, 1, 2, None]), rng.choice([*range(9), None]), rng.randint(0, 3)) for _ in range(90)]
+    grid = [(k, p) for k in (1, 2, 3, None) for p in range(-1, 10)] + [(1, 4), (1, None)]
+    df = spark.createDataFrame(snaps, "k int, p int, v int").repartition(3)
+    for depth in (1, 3):
+        out = J.asof_prior(spark.createDataFrame(grid, "k int, p int"), df, ["k"], "p", ["v"], depth)
+        got = sorted(((r.k, r.p), [(s.period, s.v) for s in r.prior]) for r in out.where("k is not null and p is not null").collect())
+        want = sorted(((k, p), sorted(((q, v) for j, q, v in snaps if j == k and q is not None and q < p), reverse=True)[:depth]) for k, p in grid if k is not None and p is not None)
+        assert got == want and out.count() == len(grid)
+
+
+def test_asof_prior_takes_dates(spark):
+    rows = spark.sql("select 1 k, date'2024-01-05' p, 1 v union all select 1, date'2024-01-07', 2")
+    got = J.asof_prior(spark.sql("select 1 k, date'2024-01-07' p"), rows, ["k"], "p", ["v"]).first()
+    assert [s.v for s in got.prior] == [1]
+
+
+def test_asof_identity_equals_a_loop(spark):
+    rng = random.Random(3)
+    seen = [(rng.choice(["x", "x", "x", "y", None]), rng.choice([1, 2, 3, 4, None]), rng.choice(["a", "a", "b", None])) for _ in range(14)] + [("z", 1, "q"), ("z", 1, "q"), ("z", 3, "q")]
+    asked = [(n, p) for n in ("x", "y", "z", "w", None) for p in (1, 2, 3, 5)] + [("x", None), ("z", 2)]
+    out = I.asof_identity(spark.createDataFrame(asked, "n string, p int"), spark.createDataFrame(seen, "n string, p int, i string").repartition(3), ["n"], "p", "i")
+
+    def answer(n, p):
+        ids = lambda ok: {i for m, q, i in seen if m is not None and m == n and None not in (q, i, p) and ok(q)}
+        exact, prior = ids(lambda q: q == p), ids(lambda q: q < p)
+        status = "exact" if len(exact) == 1 else "conflict" if exact else "prior" if len(prior) == 1 else "ambiguous" if prior else "missing"
+        return n, p, min(exact or prior) if status in ("exact", "prior") else None, status
+
+    assert sorted(map(str, (tuple(r) for r in out.collect()))) == sorted(str(answer(*a)) for a in asked)
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_kernel_reaches_all_of_history(spark):
+    rng = random.Random(6)
+    history = [(rng.choice([1.0, -400.0, 3.5, 80.0, 1e6, None]), rng.choice([1, 0, -1, None])) for _ in range(80)]
+    lines = [0.0, 3.5, -390.0, 500.0, 1e9, None, 0.0]
+    out = J.kernel_weighted(spark.createDataFrame([(x,) for x in lines], "line double"), spark.createDataFrame(history, "line double, outcome int"), "line", "outcome", 2.0)
+    got = {(r.line, r.outcome): (r.weight, r.n) for r in out.collect()}
+    known = [h for h in history if None not in h]
+    for c in {x for x in lines if x is not None}:
+        for o in (1, 0, -1):
+            want = sum(float(np.exp(-(((c - h) / 2.0) ** 2) / 2)) for h, p in known if p == o)
+            assert got[c, o][1] == sum(p == o for _, p in known) and abs(got[c, o][0] - want) <= 1e-12 * max(want, 1e-300)
+    assert len(got) == 15
+
+
+@pytest.mark.parametrize("ties", [False, True])
+def test_slots_equal_all_assignments(spark, ties):
+    rng, slots = random.Random(12 + ties), ["a", "b", "c", "d", "e"]
+    rows = []
+    for key in range(6):
+        pool = list(range(7))
+        for s in slots:
+            order = rng.sample(pool, rng.randint(4, 7))
+            rows += [(key, s, p, 1 + (i // 2 if ties else i)) for i, p in enumerate(order)]
+    got = {r.key: r for r in I.distinct_slots(spark.createDataFrame(rows, "key int, slot string, player int, rank int"), ["key"], slots, "slot", "player", "rank").collect()}
+    for key in range(6):
+        by = {s: {p: r for k, t, p, r in rows if k == key and t == s} for s in slots}
+        found = []
+        for order in itertools.product(*(sorted(by[s]) for s in slots)):
+            if len(set(order)) == len(slots):
+                ranks = [by[s][p] for s, p in zip(slots, order)]
+                found.append((-sum(r == 1 for r in ranks), sum(ranks), order))
+        best = min(found)[:2]
+        same = sorted(x[2] for x in found if x[:2] == best)
+        r = got[key]
+        assert (-r.first_choices, r.rank_sum, r.ties, tuple(r[s] for s in slots)) == (*best, len(same), same[0])
