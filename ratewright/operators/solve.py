@@ -149,10 +149,45 @@ def two_way_gram(df: DataFrame, group: list[str], offense: str, defense: str, me
 
 
 def two_way_ratings(df: DataFrame, offense: str, defense: str, measure: str, alpha: float = 10.0, least_rows: int = 20, season: str = "season", period: str = "period") -> DataFrame:
-    """Opponent-adjusted ratings before every (season, period): columns grid_season, grid_period, term (mean, o:x, d:x), coefficient."""
-    cells = two_way_gram(df, [season, period], offense, defense, measure)
-    before = prior_grams(cells, df.select(season, period))
-    return solve(before, ["grid_season", "grid_period"], alpha, ("mean",), least_rows, center=("o:", "d:"))
+    """Opponent-adjusted ratings before every (season, period): columns grid_season, grid_period, term (mean, o:x, d:x), coefficient.
+
+    They use this season's earlier periods and the whole season before.  Each event goes into one cell (season, period, offence, defence) of a count and
+    a sum, added up before the exchange.  A season's cells, sides squared times periods at most, meet in one task, which adds them up period by period: the
+    Gram before a period is that before the last one and the cells between.  Rows without a side or a measure add nothing; a period nothing precedes has no rows.
+    """
+    sides = [F.col(offense).cast("string").alias("o"), F.col(defense).cast("string").alias("d")]
+    whole = F.col(measure).isNotNull() & F.col(offense).isNotNull() & F.col(defense).isNotNull()
+    cells = df.where(F.col(season).isNotNull() & F.col(period).isNotNull()).groupBy(F.col(season).alias("grid_season"), F.col(period).alias("grid_period"), *sides)
+    cells = cells.agg(F.count_if(whole).alias("n"), F.coalesce(F.sum(F.when(whole, F.col(measure).cast("double"))), F.lit(0.0)).alias("y"))
+    before = cells.groupBy((F.col("grid_season") + 1).cast(cells.schema["grid_season"].dataType).alias("grid_season"), "o", "d").agg(F.sum("n").alias("n"), F.sum("y").alias("y"))
+    rows = cells.unionByName(before.withColumn("grid_period", F.lit(None).cast(cells.schema["grid_period"].dataType)))
+
+    def one(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        periods, terms, coefficients = [], [], []
+        past = pdf[pdf["n"] > 0]
+        o_code, o_names = pd.factorize(past["o"], sort=True)
+        d_code, d_names = pd.factorize(past["d"], sort=True)
+        n, y = np.zeros((len(o_names), len(d_names))), np.zeros((len(o_names), len(d_names)))
+        now = past["grid_period"].to_numpy()
+        add = lambda at: (np.add.at(n, (o_code[at], d_code[at]), past["n"].to_numpy()[at]), np.add.at(y, (o_code[at], d_code[at]), past["y"].to_numpy()[at]))
+        add(pd.isna(now))
+        for p in sorted(pdf["grid_period"].dropna().unique()):
+            if n.any():
+                o, d = np.flatnonzero(n.any(axis=1)), np.flatnonzero(n.any(axis=0))
+                own, sums = n[np.ix_(o, d)], y[np.ix_(o, d)]
+                g = np.block([[own.sum().reshape(1, 1), own.sum(axis=1)[None], own.sum(axis=0)[None]], [own.sum(axis=1)[:, None], np.diag(own.sum(axis=1)), own], [own.sum(axis=0)[:, None], own.T, np.diag(own.sum(axis=0))]])
+                g += np.diag([0.0, *[alpha] * (len(o) + len(d))])
+                b = _ridge(g, np.r_[sums.sum(), sums.sum(axis=1), sums.sum(axis=0)]) if own.sum() >= least_rows else np.zeros(len(g))
+                b[1 : len(o) + 1] -= b[1 : len(o) + 1].mean()
+                b[len(o) + 1 :] -= b[len(o) + 1 :].mean()
+                terms += ["mean", *(f"o:{x}" for x in o_names[o]), *(f"d:{x}" for x in d_names[d])]
+                periods += [p] * len(b)
+                coefficients += b.tolist()
+            add(now == p)
+        return pd.DataFrame({"grid_season": [key[0]] * len(terms), "grid_period": np.array(periods, dtype=int if len(periods) else float), "term": np.array(terms, dtype=object), "coefficient": coefficients})
+
+    schema = T.StructType([cells.schema["grid_season"], cells.schema["grid_period"], T.StructField("term", T.StringType()), T.StructField("coefficient", T.DoubleType())])
+    return rows.groupBy("grid_season").applyInPandas(one, schema)
 
 
 def paired_gram(games: DataFrame, group: list[str], home: str, away: str, margin: str, neutral: str | None = None, weight: Column | None = None) -> DataFrame:
