@@ -104,7 +104,8 @@ def shard_by_bytes(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", te
     """
     parts = parts or max(1, -(-shuffle_partitions(docs) // shards))
     size = F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long") + F.lit(overhead)
-    keyed = docs.withColumns({"_key": F.xxhash64(F.coalesce(text_col, F.lit(""))), "_who": F.coalesce(F.col(id_col).cast("long"), F.lit(LOW)), "_size": size})
+    key = F.xxhash64(F.coalesce(text_col, F.lit("")))
+    keyed = docs.select(key.alias("_key"), F.coalesce(F.col(id_col).cast("long"), F.lit(LOW)).alias("_who"), size.alias("_size"), F.struct("*").alias("row"))
     keys = cut(keyed.select("_key", "_who", "_size"))
     total = keys.agg(F.sum("_size")).first()[0] or 0
     fine = shards * parts
@@ -126,7 +127,7 @@ def shard_by_bytes(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", te
     within = Window.partitionBy("_part").orderBy("_key", "_who")
     numbered = placed.withColumn("_row", F.row_number().over(within)).join(F.broadcast(base), "_part")  # a row per part
     return numbered.select(
-        *(c for c in docs.columns if c not in ("size", "shard", "slot")),
+        *(F.col("row")[c].alias(c) for c in docs.columns if c not in ("size", "shard", "slot")),
         F.col("_size").alias("size"),
         F.floor(F.col("_part") / parts).cast("int").alias("shard"),
         (F.col("_row") - 1 + F.col("_base")).cast("long").alias("slot"),

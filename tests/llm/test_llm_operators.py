@@ -313,6 +313,13 @@ def test_shards_split_a_large_group_of_copies(spark):
     assert len(sizes) == 8 and sizes.max() / sizes.min() < 1.02
 
 
+@pytest.mark.parametrize("name", ["_key", "_who", "_size", "_row", "_part", "_base", "_n", "row"])
+def test_shards_leave_the_callers_columns(spark, name):
+    d = spark.createDataFrame([(i, f"text {i % 7}", f"own {i}") for i in range(60)], f"doc_id long, text string, {name} string")
+    got = sharding.shard_by_bytes(d, 3).collect()
+    assert len(got) == 60 and all(r[name] == f"own {r.doc_id}" and r.text == f"text {r.doc_id % 7}" for r in got)
+
+
 def brute_simhash(text):
     ws = words_of((text or "").encode().lower().decode())
     shingles = [b" ".join(ws[i : i + 3]) for i in range(len(ws) - 2)] or ([b" ".join(ws)] if ws else [])
