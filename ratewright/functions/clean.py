@@ -2,16 +2,42 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import unicodedata
+from functools import cache, reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 NULL_WORDS = ("", "nan", "none", "null", "na", "n/a", "<na>", "nat")
 SUFFIXES = ("jr", "sr", "ii", "iii", "iv", "v")
-# Latin letters and what they fold to, in the same order
-ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ"
-PLAIN = "aaaaaaceeeeiiiinooooouuuuyy"
+
+
+@cache
+def ascii_forms() -> dict[str, str]:
+    """Every other character whose compatibility decomposition has ASCII characters, and those."""
+    found = ((chr(c), unicodedata.normalize("NFKD", chr(c)).encode("ascii", "ignore").decode()) for c in range(0x80, 0x110000) if not 0xD800 <= c < 0xE000)
+    return {c: form for c, form in found if form}
+
+
+@cache
+def ascii_letters() -> tuple[str, str]:
+    """The characters with one ASCII character as their form, and those, in the same order."""
+    single = {c: form for c, form in ascii_forms().items() if len(form) == 1 and ord(c) < 0x10000}
+    return "".join(single), "".join(single.values())
+
+
+@cache
+def ascii_spellings() -> tuple[dict[str, str], str, str]:
+    """The other characters with their forms, a pattern for any of them, and a cheap one that all of them fit, and few Latin texts."""
+    several = {c: form for c, form in ascii_forms().items() if c not in ascii_letters()[0]}
+    ranges: list[list[int]] = []
+    for c in map(ord, several):
+        if ranges and ranges[-1][1] == c - 1:
+            ranges[-1][1] = c
+        else:
+            ranges.append([c, c])
+    written = lambda found: "[" + "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in found) + "]"
+    return several, written(ranges), written([r for r in ranges if r[1] < 0x2000] + [[0x2000, 0x10FFFF]])
 
 
 def _col(c: Column | str) -> Column:
@@ -42,8 +68,15 @@ def normalize_code(c: Column | str, aliases: dict[str, str]) -> Column:
 
 
 def fold_ascii(c: Column | str) -> Column:
-    """Lower case with accents of the Latin letters above removed."""
-    return F.translate(F.lower(_col(c)), ACCENTED, PLAIN)
+    """Lower-case ASCII: characters become the ASCII part of their compatibility decomposition (`\u00e9` e, `\ufb01` fi), what has none is dropped.
+
+    Only texts with characters of several letters go through an array of characters.
+    """
+    text, (letters, plain), (several, exact, cheap) = _col(c), ascii_letters(), ascii_spellings()
+    table = F.create_map(*(F.lit(x) for kv in several.items() for x in kv))
+    spelled = F.array_join(F.transform(F.split(text, ""), lambda x: F.coalesce(F.try_element_at(table, x), x)), "")
+    whole = F.when(text.rlike(cheap) & text.rlike(exact), spelled).otherwise(text)
+    return F.regexp_replace(F.lower(F.translate(whole, letters, plain)), r"[^\x00-\x7F]", "")
 
 
 def normalize_name(c: Column | str, keep_suffix: bool = False) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ratewright.functions import clean as C
 from ratewright.operators import identity as I
 from ratewright.operators import joins as J
+from ratewright.sources.io import written
 from ratewright.plans.base import EV, PAIRS, PRED, events, games, predictions, query, side, table
 from ratewright.plans.q_scalar import _NAME_SQL
 
@@ -121,15 +122,16 @@ def _(spark, sf):
     return I.provider_conflicts(seen, "c", ["a", "b"])
 
 
-_SCORED = f"""n AS (SELECT doc_id, lang, source, {_NAME_SQL.format("left(text, 14)")} AS name FROM documents), k AS (SELECT *, replace(name, ' ', '') AS compact, CASE WHEN len(string_split(name, ' ')) > 1 THEN left(string_split(name, ' ')[1], 1) || '.' || string_split(name, ' ')[-1] END AS short FROM n),
+_SCORED = f"""n AS (SELECT doc_id, lang, source, {_NAME_SQL.replace("{0}", "text")} AS name FROM documents), k AS (SELECT doc_id, lang, source, md5(replace(name, ' ', '')) AS compact, CASE WHEN len(string_split(name, ' ')) > 1 THEN left(string_split(name, ' ')[1], 1) || '.' || string_split(name, ' ')[-1] END AS short FROM n),
 pairs AS (SELECT a.doc_id AS row_id, b.doc_id AS id, (CASE WHEN a.compact = b.compact THEN 50 ELSE 0 END + CASE WHEN a.short = b.short THEN 15 ELSE 0 END + CASE WHEN a.lang = b.lang THEN 20 ELSE 0 END + CASE WHEN a.source = b.source THEN 15 ELSE 0 END)::INTEGER AS score FROM k a JOIN k b ON (a.compact = b.compact OR a.short = b.short) WHERE a.doc_id % 2 = 1 AND b.doc_id % 2 = 0),
 top AS (SELECT row_id, score, min(id) AS id, count(*) AS n FROM pairs GROUP BY row_id, score QUALIFY score = max(score) OVER (PARTITION BY row_id))"""
 
 
 @query("scored_name_match", "WITH " + _SCORED + """ SELECT row_id, CASE WHEN score >= 65 AND n = 1 THEN id END AS id, score, CASE WHEN score < 65 THEN 'weak' WHEN n > 1 THEN 'tied' ELSE 'accepted' END AS status FROM top""")
 def _(spark, sf):
-    text = F.substring("text", 1, 14)
-    d = table(spark, sf, "documents").select("doc_id", "lang", "source", C.compact_name(text).alias("compact"), C.initial_last(text).alias("short"))
+    """Whole texts as names: copies are found by a digest of all letters, others by first letter and last word."""
+    d = table(spark, sf, "documents").select("doc_id", "lang", "source", F.md5(C.compact_name("text").cast("binary")).alias("compact"), C.initial_last("text").alias("short"))
+    d = written(d)  # texts are folded once, though four sides of joins read the keys
     same = lambda c: F.coalesce(F.col(c) == F.col(f"p_{c}"), F.lit(False))
     evidence = {"compact": (same("compact"), 50), "short": (same("short"), 15), "lang": (same("lang"), 20), "source": (same("source"), 15)}
     return I.scored_match(d.where("doc_id % 2 = 1").withColumnRenamed("doc_id", "row_id"), d.where("doc_id % 2 = 0").withColumnRenamed("doc_id", "id"), "row_id", "id", ["compact", "short"], evidence)

@@ -9,7 +9,10 @@ from ratewright.functions import clean as C
 from ratewright.operators import standardize as S
 from ratewright.plans.base import EV, PRED, events, predictions, query, table
 
-_NAME_SQL = r"regexp_replace(trim(regexp_replace(regexp_replace(translate(lower({0}), 'àáâãäåçèéêëìíîïñòóôõöùúûüýÿ', 'aaaaaaceeeeiiiinooooouuuuyy'), '[''.]', '', 'g'), '[^a-z0-9]+', ' ', 'g')), ' (jr|sr|ii|iii|iv|v)$', '')"
+_LETTERS, _PLAIN = (x.replace("'", "''") for x in C.ascii_letters())
+_NAME_SQL = (
+    r"regexp_replace(trim(regexp_replace(regexp_replace(regexp_replace(lower(translate({0}, '" + _LETTERS + "', '" + _PLAIN + r"')), '[^\x00-\x7F]', '', 'g'), '[''.]', '', 'g'), '[^a-z0-9]+', ' ', 'g')), ' (jr|sr|ii|iii|iv|v)$', '')"
+)
 _PHI_SQL = """CASE WHEN {x} >= 0 THEN 1 - {u} ELSE {u} END"""
 
 
@@ -143,7 +146,7 @@ def _(spark, sf):
     return table(spark, sf, "customer").select("c_custkey", C.normalize_code(F.lower("c_mktsegment"), {"AUTOMOBILE": "AUTO", "HOUSEHOLD": "HOME"}).alias("code"))
 
 
-@query("name_keys", f"""WITH n AS (SELECT doc_id, {_NAME_SQL.format("text || ' Jr.'")} AS name FROM documents)
+@query("name_keys", f"""WITH n AS (SELECT doc_id, {_NAME_SQL.replace("{0}", "text || ' Jr.'")} AS name FROM documents)
 SELECT doc_id, name, replace(name, ' ', '') AS compact, CASE WHEN len(string_split(name, ' ')) > 1 THEN left(string_split(name, ' ')[1], 1) || '.' || string_split(name, ' ')[-1] END AS initial_last FROM n""")
 def _(spark, sf):
     text = F.concat("text", F.lit(" Jr."))

@@ -330,3 +330,12 @@ def test_slots_equal_all_assignments(spark, ties):
         same = sorted(x[2] for x in found if x[:2] == best)
         r = got[key]
         assert (-r.first_choices, r.rank_sum, r.ties, tuple(r[s] for s in slots)) == (*best, len(same), same[0])
+
+
+def test_folding_equals_the_compatibility_decomposition(spark):
+    import unicodedata
+
+    texts = ["José Ñandú Ångström", "Dvořák Łukasz Øre ß", "Jose\u0301", "ﬁve ½ Ⅳ ㎏ ⑩", "Ǆ ĳ", "𝐀𝔟 日本", "İstanbul ſ", "plain", "", None, "x" * 5000 + "é"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", C.fold_ascii("t").alias("f")).collect()
+    for r in rows:
+        assert r.f == (None if r.t is None else unicodedata.normalize("NFKD", r.t).encode("ascii", "ignore").decode().lower()), r.t
