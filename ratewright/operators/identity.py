@@ -5,10 +5,15 @@ Where evidence is not unique the row says so in a status column; nothing is gues
 
 from __future__ import annotations
 
+from difflib import SequenceMatcher
 from itertools import permutations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ratewright.sources.io import written
 
 
 def asof_identity(asked: DataFrame, seen: DataFrame, keys: list[str], period: str, identity: str) -> DataFrame:
@@ -162,32 +167,60 @@ def evidence_slots(players: DataFrame, evidence: DataFrame, keys: list[str], slo
     return players.join(best, keys).join(F.broadcast(perms), ["perm", "rn"]).select(*keys, player, slot, "evidence")
 
 
-def _bigrams(text: str) -> Column:
+def _numbered_bigrams(text: str) -> Column:
+    """The bigrams of a text between two end marks, each with its number among equal ones."""
     padded = F.concat(F.lit("\x02"), F.col(text), F.lit("\x03"))
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(padded) - 1), lambda i: F.substr(padded, i, F.lit(2))))
+    grams = F.transform(F.sequence(F.lit(1), F.length(padded) - 1), lambda i: F.substr(padded, i, F.lit(2)))
+    return F.transform(grams, lambda g, i: F.concat(g, F.size(F.filter(F.slice(grams, F.lit(1), i + 1), lambda x: x == g)).cast("string")))
+
+
+@F.pandas_udf(T.DoubleType())
+def _block_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Twice the letters in matching blocks over all letters of both."""
+    return pd.Series([SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype=float)
+
+
+def similar_texts(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
+    """(text, alias, similarity): distinct non-null texts of `left.text` and `right.alias` whose matching-block ratio is at least `least`, which is over 2/3.
+
+    M matched letters leave M + 1 places before, between and behind them; a place where neither text has other letters is a shared bigram (ends count
+    as letters).  The other letters, at most M (2 / least - 2), spoil as many places, so M (3 - 2 / least) + 1 bigrams are shared.  Texts so meet only
+    by their rarest bigrams, all but that number less one, and where their lengths allow the ratio.  Only such pairs are compared.
+    """
+    if least <= 2 / 3:
+        raise ValueError("at 2/3 or below two texts may share no bigram")
+    grams = lambda df, c: df.where(F.col(c).isNotNull()).select(c).distinct().withColumn("gram", _numbered_bigrams(c))
+    a, b = grams(left, "text"), grams(right, "alias")
+    common = a.select(F.explode("gram").alias("gram")).unionByName(b.select(F.explode("gram").alias("gram"))).groupBy("gram").agg(F.count("*").alias("_n"))
+    per_letter = least / (2 - least) * (3 - 2 / least)  # of a text whose partner is as short as may be
+
+    def rare(df: DataFrame, c: str) -> DataFrame:
+        needed = F.ceil(F.length(c) * per_letter + 1 - 1e-9)
+        ranked = df.select(c, F.explode("gram").alias("gram")).join(common, "gram").groupBy(c).agg(F.array_sort(F.collect_list(F.struct("_n", "gram"))).alias("_g"))  # a text's letters
+        return ranked.select(c, F.explode(F.slice("_g", F.lit(1), F.greatest(F.size("_g") - needed + 1, F.lit(1)).cast("int"))["gram"]).alias("gram"))
+
+    lengths = 2 * F.least(F.length("text"), F.length("alias")) >= least * (F.length("text") + F.length("alias")) - 1e-9
+    pairs = rare(a, "text").join(rare(b, "alias"), "gram").where(lengths).select("text", "alias").distinct()
+    return pairs.withColumn("similarity", _block_ratio("text", "alias")).where(F.col("similarity") >= least)
 
 
 def token_match(tokens: DataFrame, aliases: DataFrame, token_id: str, text: str, entity: str, alias: str, least: float = 0.68) -> DataFrame:
-    """Greedy one-to-one match of noisy tokens to entities by edit similarity of `least` (0.5 or more), best pairs first, until no pair is left.
+    """Greedy one-to-one match of noisy tokens to entities by matching-block ratio of `least` (over 2/3) or more, best pairs first, until no pair is left.
 
-    A round keeps the pairs that are best for both sides, so no order of rows matters; the best pair of all is one, so the rounds end.  Pairs
-    are found by shared bigrams: an edit changes two of them, so at half as many edits as letters one is left.  Nulls match nothing.
+    Ties go to the lesser token, then to the lesser entity.  A round keeps the pairs that are best for both sides, so no order of rows matters; the best
+    pair of all is one, so the rounds end.  Of tokens with one text only as many take part as there are entities that it fits.  Nulls match nothing.
     """
-    if least < 0.5:
-        raise ValueError("below 0.5 two strings may share no bigram")
-    from ratewright.sources.io import cut
-
-    left = tokens.select(F.col(token_id).alias("token"), F.col(text).alias("text")).withColumn("gram", F.explode(_bigrams("text")))
-    right = aliases.select(F.col(entity).alias("entity"), F.col(alias).alias("alias")).withColumn("gram", F.explode(_bigrams("alias")))
-    pairs = left.join(right, "gram").drop("gram").distinct()
-    similar = 1 - F.levenshtein("text", "alias") / F.greatest(F.length("text"), F.length("alias"))
-    pairs = pairs.withColumn("similarity", similar).where(F.col("similarity") >= least)
-    pairs, done = cut(pairs.groupBy("token", "entity").agg(F.max("similarity").alias("similarity"))), None
+    left = tokens.select(F.col(token_id).alias("token"), F.col(text).alias("text")).where("token is not null and text is not null")
+    right = aliases.select(F.col(entity).alias("entity"), F.col(alias).alias("alias")).where("entity is not null and alias is not null")
+    fits = written(similar_texts(left, right, least).join(right, "alias").groupBy("text", "entity").agg(F.max("similarity").alias("similarity")))
+    many = fits.groupBy("text").agg(F.count("*").alias("_many"))
+    place = F.row_number().over(Window.partitionBy("text").orderBy("token"))
+    chosen = left.distinct().join(many, "text").withColumn("_place", place).where(F.col("_place") <= F.col("_many")).select("token", "text")
+    pairs, done = written(chosen.join(fits, "text").groupBy("token", "entity").agg(F.max("similarity").alias("similarity"))), None
     while done is None or not pairs.isEmpty():
         by_token = pairs.groupBy("token").agg(F.min(F.struct(-F.col("similarity"), "entity")).alias("_a"))
         by_entity = pairs.groupBy("entity").agg(F.min(F.struct(-F.col("similarity"), "token")).alias("_b"))
-        best = pairs.join(by_token, "token").join(by_entity, "entity").where("_a.entity = entity and _b.token = token").select("token", "entity", "similarity")
-        best = cut(best)
+        best = written(pairs.join(by_token, "token").join(by_entity, "entity").where("_a.entity = entity and _b.token = token").select("token", "entity", "similarity"))
         done = best if done is None else done.unionByName(best)
-        pairs = cut(pairs.join(best.select("token"), "token", "left_anti").join(best.select("entity"), "entity", "left_anti"))
+        pairs = written(pairs.join(best.select("token"), "token", "left_anti").join(best.select("entity"), "entity", "left_anti"))
     return done.select(F.col("token").alias(token_id), F.col("entity").alias(entity), "similarity")

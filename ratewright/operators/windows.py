@@ -94,20 +94,13 @@ def zscore(df: DataFrame, group: list[str], value: str, out: str = "z", populati
 
 
 def clip_recenter(df: DataFrame, group: list[str], value: str, low: float, high: float, rounds: int = 20, out: str | None = None) -> DataFrame:
-    """`rounds` times: take the group's mean off, clip.  A group is a league's teams, gathered as one small array and folded in the plan."""
+    """`rounds` times: take the group's mean off, clip.  All rounds are windows over one partitioning, so rows move once; nulls stay null and don't count."""
     out = out or value
-    keys = [c for c in df.columns if c not in group]
-    packed = df.groupBy(*group).agg(F.collect_list(F.struct(*keys)).alias("_rows"))
-
-    def step(values, _):
-        total = F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
-        mean = total / F.size(values)
-        return F.transform(values, lambda x: F.greatest(F.least(x - mean, F.lit(high)), F.lit(low)))
-
-    start = F.transform("_rows", lambda r: r.getField(value).cast("double"))
-    packed = packed.withColumn("_v", F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, step))
-    rows = packed.select(*group, F.explode(F.arrays_zip("_rows", "_v")).alias("_x"))
-    return rows.select(*group, *(F.col(f"_x._rows.{c}").alias(c) for c in keys if c != out), F.col("_x._v").alias(out))
+    w = Window.partitionBy(*group)
+    d = df.withColumn(out, F.col(value).cast("double"))
+    for _ in range(rounds):
+        d = d.withColumn(out, F.when(F.col(out).isNotNull(), F.greatest(F.least(F.col(out) - F.avg(out).over(w), F.lit(float(high))), F.lit(float(low)))))
+    return d
 
 
 def lock_and_tiebreak(card: DataFrame, group: list[str], rank: str, strength: str, tiebreak: str, locked: int = 4, last: int = 8, within: float = 0.5) -> DataFrame:

@@ -225,16 +225,12 @@ def _(spark, sf):
     return I.evidence_slots(top, ev.groupBy("offense", "player", "kind").agg(F.sum("measure").alias("w")), ["offense"], ["R", "A", "N"], "player", "kind", "w")
 
 
-@query(
-    "entity_token_match",
-    """
-WITH n AS (SELECT DISTINCT p_name, left(p_name, length(p_name) - 1) || 'x' AS token FROM part)
-SELECT 't:' || p_name AS token_id, p_name AS entity, 1 - levenshtein(token, p_name)::DOUBLE / greatest(length(token), length(p_name)) AS similarity FROM n""",
-)
-def _(spark, sf):
-    p = table(spark, sf, "part").select("p_name").distinct()
-    noisy = p.select(F.concat(F.lit("t:"), "p_name").alias("token_id"), F.concat(F.expr("left(p_name, length(p_name) - 1)"), F.lit("x")).alias("token"))
-    return I.token_match(noisy, p.select(F.col("p_name").alias("entity"), F.col("p_name").alias("alias")), "token_id", "token", "entity", "alias")
+@query("entity_token_match")
+def _(spark, sf):
+    """The long words of all conversations to those of the benchmark, which several of them are like."""
+    words = lambda name: table(spark, sf, name).select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}{9,}"), 0)).alias("word")).distinct()
+    tokens = words("conversations").select(F.concat(F.lit("t:"), "word").alias("token_id"), F.col("word").alias("token"))
+    return I.token_match(tokens, words("benchmark").select(F.col("word").alias("entity"), F.col("word").alias("alias")), "token_id", "token", "entity", "alias")
 
 
 @query("training_frame_assemble", "WITH " + PRED + """, form AS (SELECT season, team, count(*) AS n FROM pred GROUP BY ALL) SELECT p.season, p.period, p.team, p.actual, p.line, f.n AS form, n_name AS unit FROM pred p JOIN form f USING (season, team) JOIN nation ON n_nationkey = p.team WHERE p.line IS NOT NULL""")

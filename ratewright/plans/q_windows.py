@@ -52,7 +52,12 @@ def _(spark, sf):
     return W.first_k(p, ["team", "role"], [F.col("out"), F.desc("p_retailprice"), F.col("player")], 1 << 30, "depth").drop("out", "p_retailprice")
 
 
-@query("greedy_slot_fill")
+_FILL = EV + """, v AS (SELECT offense, p_type AS slot, l_partkey % 60 AS player, sum(volume)::BIGINT AS vol FROM ev JOIN part ON p_partkey = l_partkey GROUP BY ALL), c AS (SELECT *, (row_number() OVER (PARTITION BY offense, slot ORDER BY vol DESC, player))::INTEGER AS rank FROM v QUALIFY rank <= 6)"""
+for _n, _s in enumerate(["ECONOMY", "STANDARD", "PROMO", "LARGE"]):
+    _FILL += f""", s{_n} AS (SELECT * FROM c WHERE slot = '{_s}'""" + "".join(f""" AND (offense, player) NOT IN (SELECT offense, player FROM s{k})""" for k in range(_n)) + """ QUALIFY row_number() OVER (PARTITION BY offense ORDER BY rank, player) = 1)"""
+
+
+@query("greedy_slot_fill", "WITH " + _FILL + " SELECT * FROM s0 UNION ALL SELECT * FROM s1 UNION ALL SELECT * FROM s2 UNION ALL SELECT * FROM s3")
 def _(spark, sf):
     from ratewright.plans.q_joins import _candidates
 
@@ -112,9 +117,12 @@ def _(spark, sf):
     return W.zscore(_season_player(spark, sf), ["season"], "points").select("season", "player", F.round("z", 6).alias("z"))
 
 
-@query("clip_recenter")
+@query("clip_recenter", "WITH RECURSIVE " + _SP + """, z AS (SELECT season, player, coalesce((points - avg(points) OVER w) / nullif(stddev_samp(points) OVER w, 0), 0) AS z FROM sp WINDOW w AS (PARTITION BY season)),
+r AS (SELECT 0 AS k, season, player, z FROM z UNION ALL SELECT k + 1, season, player, greatest(least(z - avg(z) OVER (PARTITION BY season), 1.5), -1.5) FROM r WHERE k < 20)
+SELECT season, player, round(z, 6) AS z FROM r WHERE k = 20""")
 def _(spark, sf):
-    return W.clip_recenter(W.zscore(_season_player(spark, sf), ["season"], "points").select("season", "player", "z"), ["season"], "z", -1.5, 1.5)
+    z = W.zscore(_season_player(spark, sf), ["season"], "points").select("season", "player", "z")
+    return W.clip_recenter(z, ["season"], "z", -1.5, 1.5).withColumn("z", F.round("z", 6))
 
 
 _CARD = PRED + """, card AS (SELECT season, period, team, edge, line, row_number() OVER (PARTITION BY season, period ORDER BY abs(edge) DESC, team) AS contest_rank FROM pred)"""

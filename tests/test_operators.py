@@ -199,19 +199,41 @@ def test_later_seasons_change_no_earlier_score(spark):
     assert all(abs(one[k] - two[k]) < 1e-9 for k in one if k[0] < 2003) and any(abs(one[k] - two[k]) > 1e-3 for k in one if k[0] == 2004)
 
 
-def test_token_match_goes_on_until_no_pair_is_left(spark):
-    names = ["alpha one", "alpha two", "alpha six", "alpha ten", "bravo one"]
-    tokens = [(i, f"alpha on{c}") for i, c in enumerate("abcd")] + [(4, "xravo one"), (5, None)]
-    got = I.token_match(spark.createDataFrame(tokens, "t int, text string"), spark.createDataFrame([(n, n) for n in names], "e string, alias string"), "t", "text", "e", "alias", least=0.6).collect()
-    pairs, expected = [], {}
-    distance = lambda a, b: sum(x != y for x, y in zip(a, b, strict=True))  # noqa: E731 - all of nine letters, and no shift is shorter here
+def greedy_match(tokens, aliases, least):
+    from difflib import SequenceMatcher
+
+    pairs, out = [], {}
     for t, text in tokens:
-        pairs += [(-(1 - distance(text, n) / 9), n, t) for n in names if text and 1 - distance(text, n) / 9 >= 0.6]
-    while pairs:
-        best = min(pairs, key=lambda x: (x[0], x[2], x[1]))
-        expected[best[2]] = best[1]
-        pairs = [x for x in pairs if x[1] != best[1] and x[2] != best[2]]
-    assert len(expected) == 5 and {r.t: r.e for r in got} == expected
+        for e in {e for e, _ in aliases}:
+            fits = [SequenceMatcher(None, text, a).ratio() for f, a in aliases if f == e and a is not None] if text is not None else []
+            if fits and max(fits) >= least:
+                pairs.append((-max(fits), t, e))
+    for _, t, e in sorted(pairs):
+        if t not in out and e not in out.values():
+            out[t] = e
+    return out
+
+
+@pytest.mark.parametrize("seed,least", [(1, 0.68), (2, 0.68), (3, 0.8), (4, 0.9)])
+def test_token_match_equals_the_greedy_loop(spark, seed, least):
+    rng = random.Random(seed)
+    stems = ["".join(rng.choice("abcé") for _ in range(rng.randint(0, 9))) for _ in range(12)]
+    noisy = lambda s: "".join(rng.choice("abcx") if rng.random() < 0.15 else c for c in s if rng.random() > 0.1)
+    tokens = [(i, noisy(rng.choice(stems))) for i in range(40)] + [(i, stems[3]) for i in range(40, 60)] + [(60, None), (61, "")]
+    aliases = [(f"e{i}", s) for i, s in enumerate(stems)] + [("e1", noisy(stems[1])), ("e2", None), ("e99", None)]
+    got = I.token_match(spark.createDataFrame(tokens, "t int, text string").repartition(3), spark.createDataFrame(aliases, "e string, alias string"), "t", "text", "e", "alias", least=least).collect()
+    assert {r.t: r.e for r in got} == greedy_match(tokens, aliases, least) and len(got) > 3
+
+
+def test_similar_texts_lose_no_pair(spark):
+    from difflib import SequenceMatcher
+
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("ab") for _ in range(rng.randint(1, 7))) for _ in range(70)] + ["xaxbxcx", "abc", "aybzc"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    for least in (0.67, 0.75, 1.0):
+        got = {(r.text, r.alias) for r in I.similar_texts(df, df.withColumnRenamed("text", "alias"), least).collect()}
+        assert got == {(a, b) for a in texts for b in texts if SequenceMatcher(None, a, b).ratio() >= least}
 
 
 def test_fill_slots_keeps_the_callers_columns(spark):
