@@ -127,12 +127,36 @@ def _(spark, sf):
     return _blend(spark, sf).select("season", "team", F.round("form", 6).alias("form"), F.round("form_weight", 9).alias("form_weight"), F.round("rating", 6).alias("rating"))
 
 
-@query("transition_features", "WITH " + PRED + """, c AS (SELECT *, count(*) OVER (PARTITION BY season, team ORDER BY period ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS g FROM pred) SELECT season, period, team, round(line * (1 - least(g / (g + 3.0::DOUBLE), 0.65)), 6) AS prior_part, round(model * least(g / (g + 3.0::DOUBLE), 0.65), 6) AS current_part FROM c""")
+_TRANSITION = PRED + """, """ + PAIRS + """,
+c AS (SELECT *, count(*) OVER (PARTITION BY season, team ORDER BY period ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS g FROM pred),
+tg AS (SELECT home AS team, season, period, make_date(season, period, 1 + (home + away) % 28) AS d, 0 AS is_away FROM games UNION ALL SELECT away, season, period, make_date(season, period, 1 + (home + away) % 28), 1 FROM games),
+one AS (SELECT team, season, d, max(is_away) AS is_away FROM tg GROUP BY ALL),
+f AS (SELECT team, season, d, date_diff('day', lag(d) OVER w, d) AS rest, (is_away = 1 AND lag(is_away) OVER w = 1)::INTEGER AS b2b,
+    (sum(is_away) OVER (PARTITION BY team, season ORDER BY d ROWS BETWEEN 3 PRECEDING AND CURRENT ROW) >= 3)::INTEGER AS three FROM one WINDOW w AS (PARTITION BY team, season ORDER BY d)),
+x AS (SELECT season, period, home, away, h.line AS hl, a.line AS al, h.edge AS he, a.edge AS ae, least(h.g / (h.g + 3.0::DOUBLE), 0.65) AS hw, least(a.g / (a.g + 3.0::DOUBLE), 0.65) AS aw,
+    coalesce(hf.rest, 7) - coalesce(af.rest, 7) AS rest, coalesce(af.b2b, 0) + coalesce(af.three, 0) AS burden
+  FROM (SELECT *, make_date(season, period, 1 + (home + away) % 28) AS d FROM games) m JOIN c h USING (season, period) JOIN c a USING (season, period)
+  LEFT JOIN f hf ON hf.team = m.home AND hf.season = m.season AND hf.d = m.d LEFT JOIN f af ON af.team = m.away AND af.season = m.season AND af.d = m.d WHERE h.team = home AND a.team = away)
+"""
+
+
+@query("transition_features", "WITH " + _TRANSITION + """ SELECT season, period, home, away, round((1 - hw) * hl - (1 - aw) * al, 6) + 0.0::DOUBLE AS prior_line, round(hw * hl - aw * al, 6) + 0.0::DOUBLE AS current_line, round(hw * he - aw * ae, 6) + 0.0::DOUBLE AS form_edge,
+  1.0::DOUBLE AS home_field, greatest(least(rest, 7), -7)::DOUBLE AS rest_advantage, burden::DOUBLE AS schedule_burden FROM x""")
 def _(spark, sf):
-    g = F.count("*").over(Window.partitionBy("season", "team").orderBy("period").rowsBetween(Window.unboundedPreceding, -1))
-    share = F.least(F.col("g") / (F.col("g") + 3.0), F.lit(0.65))
-    p = predictions(spark, sf).withColumn("g", g)
-    return p.select("season", "period", "team", F.round(F.col("line") * (1 - share), 6).alias("prior_part"), F.round(F.col("model") * share, 6).alias("current_part"))
+    from ratewright.operators import features as FT
+    from ratewright.operators import windows as W
+    from ratewright.operators.joins import attach_two_sided
+
+    n = F.count("*").over(Window.partitionBy("season", "team").orderBy("period").rowsBetween(Window.unboundedPreceding, -1))
+    sides = predictions(spark, sf).withColumn("games", n).select("season", "period", "team", "games", "line", "edge")
+    g = games(spark, sf).select("season", "period", "home", "away", F.make_date("season", "period", 1 + (F.col("home") + F.col("away")) % 28).alias("d"))
+    both = g.select(F.col("home").alias("team"), "season", "d", F.lit(0).alias("is_away")).unionByName(g.select(F.col("away").alias("team"), "season", "d", F.lit(1).alias("is_away")))
+    schedule = W.schedule_factors(both.groupBy("team", "season", "d").agg(F.max("is_away").alias("is_away")), "team", "d", "is_away", "season")
+    schedule = schedule.select("team", "season", "d", F.col("rest_days").alias("rest"), "back_to_back", (F.col("road_last4") >= 3).cast("int").alias("three_of_four"))
+    x = attach_two_sided(attach_two_sided(g, sides, ["season", "period"], "team"), schedule, ["season", "d"], "team").where("home_games is not null and away_games is not null")
+    x = x.withColumns({"back_to_back": F.col("away_back_to_back"), "three_of_four": F.col("away_three_of_four")} | {c: F.lit(None).cast("double") for c in ("neutral", "travel_miles", "far", "west_east")})
+    out = FT.transition_features(x, ["line"], 3.0, 0.65, ("edge",))
+    return out.select("season", "period", "home", "away", *((F.round(c, 6) + 0.0).alias(c) for c in ("prior_line", "current_line", "form_edge")), "home_field", "rest_advantage", "schedule_burden")
 
 
 _CONS = PRED + """, c AS (SELECT season, period, team, actual - line AS gain, edge::DOUBLE AS a, (line - 150)::DOUBLE AS b, CASE WHEN team % 4 <> 0 THEN (model % 9 - 4)::DOUBLE END AS d FROM pred), x AS (SELECT *, list_sort(list_filter([a, b, d], lambda v: v IS NOT NULL)) AS l FROM c),
@@ -233,9 +257,14 @@ def _(spark, sf):
     wide = ratings.where("term <> 'mean'").select("grid_season", "grid_period", F.substring("term", 1, 1).alias("side"), F.expr("cast(substring(term, 3) as int)").alias("team"), "coefficient")
     wide = wide.groupBy("grid_season", "grid_period", "team").pivot("side", ["o", "d"]).agg(F.first("coefficient"))
     g = games(spark, sf).select(F.col("season").alias("grid_season"), F.col("period").alias("grid_period"), "home", "away")
+    from ratewright.operators import features as FT
     from ratewright.operators.joins import attach_two_sided
 
-    return attach_two_sided(g, wide, ["grid_season", "grid_period"], "team")
+    rated = attach_two_sided(g, wide, ["grid_season", "grid_period"], "team")
+    facts = FT.personnel(ev.select(F.col("season").alias("grid_season"), F.col("period").alias("grid_period"), F.col("offense").alias("team"), "player", "volume", "epa"), ["grid_season", "team"], "grid_period", "player", "volume", "epa", core=0.01)
+    sides = g.select("grid_season", "grid_period", F.explode(F.array("home", "away")).alias("team"))
+    out = FT.personnel_advantages(rated, FT.personnel_before(sides, facts, ["grid_season", "team"], "grid_period"), "grid_season", "grid_period", "team")
+    return out.withColumn("process_advantage", F.col("home_o") + F.col("away_d") - F.col("away_o") - F.col("home_d"))
 
 
 @query("scenario_rescore", "WITH " + PRED + """ SELECT season, period, team, round(0.5::DOUBLE * edge + 0.25::DOUBLE * line, 6) AS baseline, round(0.5::DOUBLE * edge + 0.25::DOUBLE * CASE WHEN team % 5 = 0 THEN line + 4 ELSE line END, 6) AS scenario, CASE WHEN team % 5 = 0 THEN 1.0::DOUBLE ELSE 0.0 END AS delta, CASE WHEN team % 5 = 0 THEN 'line' ELSE '' END AS reasons FROM pred""")
