@@ -175,21 +175,27 @@ def _numbered_bigrams(text: str) -> Column:
 
 
 @F.pandas_udf(T.DoubleType())
-def _block_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+def _each_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Twice the letters in matching blocks over all letters of both."""
     return pd.Series([SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype=float)
 
 
+_block_ratio = _each_ratio.asNondeterministic()  # it isn't, but so no filter on it moves below the distinct pairs or computes it twice
+
+
 def similar_texts(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
     """(text, alias, similarity): distinct non-null texts of `left.text` and `right.alias` whose matching-block ratio is at least `least`, which is over 2/3.
 
     M matched letters leave M + 1 places before, between and behind them; a place where neither text has other letters is a shared bigram (ends count
     as letters).  The other letters, at most M (2 / least - 2), spoil as many places, so M (3 - 2 / least) + 1 bigrams are shared.  Texts so meet only
-    by their rarest bigrams, all but that number less one, and where their lengths allow the ratio.  Only such pairs are compared.
+    by their rarest bigrams, all but that number less one, and where their lengths allow the ratio.  Taking out and putting in the other letters turns
+    one text into the other, so their edit distance is at most (1 - least) of all letters; only pairs within it are compared by blocks.
     """
     if least <= 2 / 3:
         raise ValueError("at 2/3 or below two texts may share no bigram")
-    grams = lambda df, c: df.where(F.col(c).isNotNull()).select(c).distinct().withColumn("gram", _numbered_bigrams(c))
+    # Few bytes make many pairs, so tasks follow the stated number, not the bytes.  Tables have a known size: Spark broadcasts the aliases' while it is small.
+    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    grams = lambda df, c: written(df.where(F.col(c).isNotNull()).select(c).repartition(tasks, c).distinct().withColumn("gram", _numbered_bigrams(c)))
     a, b = grams(left, "text"), grams(right, "alias")
     common = a.select(F.explode("gram").alias("gram")).unionByName(b.select(F.explode("gram").alias("gram"))).groupBy("gram").agg(F.count("*").alias("_n"))
     per_letter = least / (2 - least) * (3 - 2 / least)  # of a text whose partner is as short as may be
@@ -200,7 +206,9 @@ def similar_texts(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
         return ranked.select(c, F.explode(F.slice("_g", F.lit(1), F.greatest(F.size("_g") - needed + 1, F.lit(1)).cast("int"))["gram"]).alias("gram"))
 
     lengths = 2 * F.least(F.length("text"), F.length("alias")) >= least * (F.length("text") + F.length("alias")) - 1e-9
-    pairs = rare(a, "text").join(rare(b, "alias"), "gram").where(lengths).select("text", "alias").distinct()
+    edits = F.levenshtein("text", "alias") <= (1 - least) * (F.length("text") + F.length("alias")) + 1e-9
+    met = rare(a, "text").repartition(tasks, "text").join(written(rare(b, "alias")), "gram").where(lengths & edits)
+    pairs = met.select("text", "alias").repartition(tasks, "text", "alias").distinct()
     return pairs.withColumn("similarity", _block_ratio("text", "alias")).where(F.col("similarity") >= least)
 
 
@@ -210,7 +218,7 @@ def token_match(tokens: DataFrame, aliases: DataFrame, token_id: str, text: str,
     Ties go to the lesser token, then to the lesser entity.  A round keeps the pairs that are best for both sides, so no order of rows matters; the best
     pair of all is one, so the rounds end.  Of tokens with one text only as many take part as there are entities that it fits.  Nulls match nothing.
     """
-    left = tokens.select(F.col(token_id).alias("token"), F.col(text).alias("text")).where("token is not null and text is not null")
+    left = written(tokens.select(F.col(token_id).alias("token"), F.col(text).alias("text")).where("token is not null and text is not null"))
     right = aliases.select(F.col(entity).alias("entity"), F.col(alias).alias("alias")).where("entity is not null and alias is not null")
     fits = written(similar_texts(left, right, least).join(right, "alias").groupBy("text", "entity").agg(F.max("similarity").alias("similarity")))
     many = fits.groupBy("text").agg(F.count("*").alias("_many"))
