@@ -6,7 +6,9 @@ Where evidence is not unique the row says so in a status column; nothing is gues
 from __future__ import annotations
 
 from difflib import SequenceMatcher
-from itertools import permutations
+from functools import reduce
+from itertools import combinations, permutations
+from operator import and_
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -69,22 +71,34 @@ def provider_map(seen: DataFrame, canonical: str, provider: str) -> DataFrame:
     return pairs.withColumns({"_a": by(provider), "_b": by(canonical)}).where("_a = 1 and _b = 1").select(provider, canonical)
 
 
-def scored_match(rows: DataFrame, profiles: DataFrame, row_id: str, profile_id: str, blocks: list[str], evidence: dict[str, tuple[Column, int]], accept: int = 65) -> DataFrame:
+def scored_match(rows: DataFrame, profiles: DataFrame, row_id: str, profile_id: str, blocks: list[str], evidence: dict[str, int], accept: int = 65) -> DataFrame:
     """(row_id, profile_id, score, status): candidates share a blocking key; the best is taken if it reaches `accept` and is alone at the top.
 
-    Columns of the profiles carry the prefix `p_` in the evidence.  Blocking keys are equi joins, never a product.
+    `evidence` gives the points, over 0, of each column in which a row and a profile are equal; nulls equal nothing, and `blocks` are some of its columns.
+    No pair is made: profiles are counted, with their least id, by each set of columns that holds a block, and a row looks its own values up.  The sets of
+    most points that find a profile give its score; their profiles agree in just those columns, else a larger set had found them, so the counts add up to the ties.
     """
-    p = profiles.select(*(F.col(c).alias(f"p_{c}") for c in profiles.columns))
-    pairs = None
-    for b in blocks:
-        part = rows.join(p, F.col(b) == F.col(f"p_{b}"))
-        pairs = part if pairs is None else pairs.unionByName(part)
-    score = sum((F.when(c, points).otherwise(0) for c, points in evidence.values()), F.lit(0))
-    pairs = pairs.dropDuplicates([row_id, f"p_{profile_id}"]).withColumn("score", score)
-    best = Window.partitionBy(row_id)
-    top = pairs.withColumn("_top", F.max("score").over(best)).where("score = _top").withColumn("_n", F.count("*").over(best)).withColumn("_pick", F.min(f"p_{profile_id}").over(best))
-    status = F.when(F.col("score") < accept, "weak").when(F.col("_n") > 1, "tied").otherwise("accepted")
-    return top.where(F.col(f"p_{profile_id}") == F.col("_pick")).select(row_id, F.when(status == "accepted", F.col(f"p_{profile_id}")).alias(profile_id), F.col("score").cast("int").alias("score"), status.alias("status"))
+    if not blocks or not set(blocks) <= set(evidence) or min(evidence.values()) <= 0:
+        raise ValueError("blocks are columns of the evidence, and all evidence has points over 0")
+    sets = [s for n in range(1, len(evidence) + 1) for s in combinations(evidence, n) if set(s) & set(blocks)]
+    value = {c: f"_v{i}" for i, c in enumerate(evidence)}
+
+    def keyed(df: DataFrame, identity: str) -> DataFrame:
+        """A row for each set whose columns have values, those of the other columns being null."""
+        null = lambda c: F.lit(None).cast(profiles.schema[c].dataType)
+        each = [F.when(reduce(and_, (F.col(c).isNotNull() for c in s)), F.struct(F.lit(i).alias("_set"), F.lit(sum(evidence[c] for c in s)).alias("_points"), *((F.col(c) if c in s else null(c)).alias(v) for c, v in value.items()))) for i, s in enumerate(sets)]
+        return df.select(F.col(identity).alias(f"_{identity}"), F.explode(F.array_compact(F.array(*each))).alias("_x")).select(f"_{identity}", "_x.*")
+
+    one, other = f"_{row_id}", f"_{profile_id}"
+    known = keyed(profiles, profile_id).groupBy("_set", *value.values()).agg(F.count("*").alias("_n"), F.min(other).alias("_pick"))
+    known = known.select(F.col("_set").alias("_s"), *(F.col(v).alias(f"_p{v}") for v in value.values()), "_n", "_pick")
+    same = F.col("_set") == F.col("_s")
+    for v in value.values():
+        same &= F.col(v).eqNullSafe(F.col(f"_p{v}"))
+    found = keyed(rows, row_id).join(known, same).groupBy(one, "_points").agg(F.sum("_n").alias("_n"), F.min("_pick").alias("_pick"))
+    top = found.groupBy(one).agg(F.max("_points").alias("score"), F.max_by(F.struct("_n", "_pick"), "_points").alias("_t"))
+    status = F.when(F.col("score") < accept, "weak").when(F.col("_t._n") > 1, "tied").otherwise("accepted")
+    return top.select(F.col(one).alias(row_id), F.when(status == "accepted", F.col("_t._pick")).alias(profile_id), F.col("score").cast("int").alias("score"), status.alias("status"))
 
 
 def bridge(rows: DataFrame, history: DataFrame, exact: list[str], wide: list[str], source: str, target: str) -> DataFrame:

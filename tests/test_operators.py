@@ -225,6 +225,35 @@ def test_token_match_equals_the_greedy_loop(spark, seed, least):
     assert {r.t: r.e for r in got} == greedy_match(tokens, aliases, least) and len(got) > 3
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_scored_match_equals_all_pairs(spark, seed):
+    rng = random.Random(seed)
+    points, blocks = {"full": 50, "short": 15, "lang": 20, "source": 15}, ["full", "short"]
+    make = lambda ids: [(i, rng.choice(["ab", "cd", "ef", None]), rng.choice(["x", "y", None]), rng.choice([1, 2, None]), rng.choice("pq")) for i in ids]
+    rows, profiles = make([*range(40), 5, 5]), make([*range(100, 100 + 9 * (seed + 1)), 101])
+    want = {}
+    for i, *a in rows:
+        for j, *b in profiles:
+            same = {c for c, x, y in zip(points, a, b, strict=True) if x is not None and x == y}
+            if same & set(blocks):
+                want.setdefault(i, []).append((sum(points[c] for c in same), j))
+    for i, found in want.items():
+        best = max(found)[0]
+        top = [j for s, j in found if s == best]
+        status = "weak" if best < 65 else "tied" if len(top) > 1 else "accepted"
+        want[i] = (top[0] if status == "accepted" else None, best, status)
+    names = "full string, short string, lang int, source string"
+    got = I.scored_match(spark.createDataFrame(rows, f"r int, {names}"), spark.createDataFrame(profiles, f"p int, {names}"), "r", "p", blocks, points)
+    assert {r.r: (r.p, r.score, r.status) for r in got.collect()} == want and got.count() == len(want)
+
+
+def test_scored_match_makes_no_pairs_of_a_common_name(spark):
+    """20,000 rows by 20,000 profiles of one surname would be 400 million pairs."""
+    df = spark.range(20_000).select("id", F.lit("j.smith").alias("short"), F.when(F.col("id") < 3, F.col("id")).alias("full"))
+    got = I.scored_match(df.withColumnRenamed("id", "r"), df.withColumnRenamed("id", "p"), "r", "p", ["full", "short"], {"full": 50, "short": 15})
+    assert {(x.status, x.score, x["count"]) for x in got.groupBy("status", "score").count().collect()} == {("accepted", 65, 3), ("weak", 15, 19_997)}
+
+
 def test_similar_texts_lose_no_pair(spark):
     from difflib import SequenceMatcher
 
