@@ -51,15 +51,15 @@ games AS (SELECT a.season, a.period, a.offense AS home, a.defense AS away, a.poi
   FROM side a JOIN side b ON a.season = b.season AND a.period = b.period AND a.offense = b.defense AND a.defense = b.offense WHERE a.offense < a.defense)"""
 
 
-def side(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = events(spark, sf_dir).where("offense <> defense")
+def side(spark: SparkSession, sf_dir: str, ev: DataFrame | None = None) -> DataFrame:
+    ev = (events(spark, sf_dir) if ev is None else ev).where("offense <> defense")
     return ev.groupBy("season", "period", "offense", "defense").agg(F.sum("measure").alias("points"))
 
 
-def games(spark: SparkSession, sf_dir: str) -> DataFrame:
+def games(spark: SparkSession, sf_dir: str, ev: DataFrame | None = None) -> DataFrame:
     from ratewright.operators.joins import mirror
 
-    both = mirror(side(spark, sf_dir), ["season", "period"], "offense", "defense", ["points"]).where("offense < defense")
+    both = mirror(side(spark, sf_dir, ev), ["season", "period"], "offense", "defense", ["points"]).where("offense < defense")
     return both.select("season", "period", F.col("offense").alias("home"), F.col("defense").alias("away"), F.col("points").alias("home_points"), F.col("opp_points").alias("away_points"), (F.col("points") - F.col("opp_points")).alias("margin"))
 
 

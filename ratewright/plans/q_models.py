@@ -9,6 +9,7 @@ from ratewright.operators import evaluate as E
 from ratewright.operators import gates as G
 from ratewright.operators import solve as S
 from ratewright.plans.base import EV, PAIRS, PRED, events, games, predictions, query
+from ratewright.sources.io import written
 
 
 @query("two_way_ridge_ratings")
@@ -252,11 +253,12 @@ def _(spark, sf):
 
 @query("live_matchup_features")
 def _(spark, sf):
-    ev = events(spark, sf).withColumn("epa", F.col("measure") / 10000)
+    ev = written(events(spark, sf).select("season", "period", "offense", "defense", "player", "volume", "measure"))  # its joins are made once for all that reads it
+    ev = ev.withColumn("epa", F.col("measure") / 10000)
     ratings = S.two_way_ratings(ev, "offense", "defense", "epa")
     wide = ratings.where("term <> 'mean'").select("grid_season", "grid_period", F.substring("term", 1, 1).alias("side"), F.expr("cast(substring(term, 3) as int)").alias("team"), "coefficient")
     wide = wide.groupBy("grid_season", "grid_period", "team").pivot("side", ["o", "d"]).agg(F.first("coefficient"))
-    g = games(spark, sf).select(F.col("season").alias("grid_season"), F.col("period").alias("grid_period"), "home", "away")
+    g = games(spark, sf, ev).select(F.col("season").alias("grid_season"), F.col("period").alias("grid_period"), "home", "away")
     from ratewright.operators import features as FT
     from ratewright.operators.joins import attach_two_sided
 

@@ -92,3 +92,19 @@ def test_transition_equals_its_formula(spark, games):
 
 def test_no_games(spark):
     assert FT.personnel(spark.createDataFrame([], COLUMNS), ["season", "team"], "period", "player", "volume", "epa").count() == 0
+
+
+def test_rows_of_players_are_not_joined_to_each_other(spark):
+    """Neighbouring games are looked up in one sort of the players' rows: no row goes into a join with another game's, nor into a copy a game ahead."""
+    rows = [r for r in sample() if r[3] is not None]
+    facts = FT.personnel(spark.createDataFrame(rows, COLUMNS), ["season", "team"], "period", "player", "volume", "epa")
+    plan = facts._jdf.queryExecution().optimizedPlan().toString()
+    assert "FullOuter" not in plan and "sequence(" not in plan
+    by_player = [x for x in plan.splitlines() if "Window [" in x and "lag(_share" in x]
+    assert len(by_player) == 1
+
+
+def test_a_null_player_is_the_same_as_nobody(spark):
+    rows = [(2000, "a", p, None, 1, 1.0) for p in (1, 2)] + [(2000, "a", p, 7, 1, 1.0) for p in (1, 2)]
+    got = FT.personnel(spark.createDataFrame(rows, COLUMNS), ["season", "team"], "period", "player", "volume", "epa").where("period = 2").first()
+    assert (got.overlap, got.missing_core, got.primary_share) == (0.5 / 1.5, 0.5, 0.5)
