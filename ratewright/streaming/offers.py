@@ -1,6 +1,6 @@
 """Arriving offers: the best current one per game, from keyed state with event-time timers, in a table that changes batch by batch or not at all.
 
-State holds the newest offer of each book of a game, so it is bounded by games times books and not by arrivals.  When the watermark passes the
+State holds the newest offer of each book of a game, so it is bounded by games times books and not by arrivals; games are kept in buckets.  When the watermark passes the
 age at which the chosen offer goes stale, a timer chooses anew, whether the game gets offers or not.  What changes is appended to a table as a
 delta of its batch; a commit file, put in place by one rename, makes it visible.  A batch that is played again finds its commit or
 overwrites its unfinished delta; a batch whose predecessor isn't committed raises.
@@ -11,8 +11,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
@@ -30,8 +29,11 @@ def use_state_store(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STORE)
 
 
-class _BestOffer(StatefulProcessor):
-    """State of one game, in one value: the newest offer of each book, the book last said to be best with its offer, and the timer that is set."""
+class _BestOffers(StatefulProcessor):
+    """State of a bucket of games, in one value: for each the newest offer of each book, the offer last said to be best and when it goes stale; and the timer set.
+
+    A bucket is read, written and timed as one, since each call of the state costs far more than the choice for a game.
+    """
 
     def __init__(self, schema: T.StructType, priority: list[str], most_minutes: float, tie: list[str]):
         self.schema, self.tie = schema, tie
@@ -42,68 +44,80 @@ class _BestOffer(StatefulProcessor):
 
     def init(self, handle) -> None:
         self.handle = handle
-        offer = T.StructType(self.fields)
-        self.state = handle.getValueState("game", T.StructType([T.StructField("books", T.ArrayType(offer)), T.StructField("said", T.ArrayType(offer)), T.StructField("timer", T.LongType())]))
+        offers = T.ArrayType(T.StructType(self.fields))
+        game = T.StructType([self.schema["game"], T.StructField("books", offers), T.StructField("said", offers), T.StructField("due", T.LongType())])
+        self.state = handle.getValueState("bucket", T.StructType([T.StructField("games", T.ArrayType(game)), T.StructField("timer", T.LongType())]))
 
     def _order(self, offer: dict) -> tuple:
         """Later offers are greater: by time, then by the tie-breaks."""
         return offer["us"], *(offer[t] for t in self.tie)
 
-    def _newer(self, books: dict[str, dict], offers: list[dict]) -> None:
-        for offer in offers:
-            last = books.get(offer["book"])
-            if last is None or self._order(last) < self._order(offer):
-                books[offer["book"]] = offer
-
-    def _choose(self, key, arrived: list[dict], now: int) -> Iterator[pd.DataFrame]:
+    def _choose(self, arrived: dict, now: int) -> Iterator[Row]:
+        """Choose for the games with arrivals ({game: {book: offer}}) and those whose offer went stale."""
         offers = lambda rows: [dict(zip(self.names, r, strict=True)) for r in rows or ()]
-        kept, said, timer = self.state.get() if self.state.exists() else ((), None, None)
-        books: dict[str, dict] = {}
-        self._newer(books, offers(kept))
-        self._newer(books, arrived)
+        plain = lambda o: tuple(o[c] for c in self.names)
+        which = lambda o: (o["book"], self._order(o))
         stale_at = lambda o: o["us"] // 1000 + self.most + 1
-        fresh = [o for o in books.values() if stale_at(o) > now]  # the others can't be chosen again
-        best = max(fresh, key=lambda o: (-self.place.get(o["book"], len(self.place)), self._order(o)), default=None)
-        due = stale_at(best) if best else None
+        kept, timer = self.state.get() or ((), None)
+        bare = lambda rows: None if rows is None else [tuple(r) for r in rows]  # noqa: E731 (the state gives rows, but takes tuples)
+        games, changes = {g: (bare(books), bare(said), due) for g, books, said, due in kept or ()}, []
+        for g in {**arrived, **{g: None for g, (_, _, due) in games.items() if due is not None and due <= now}}:
+            books, said, _ = games.get(g, ((), None, None))
+            newest = {o["book"]: o for o in offers(books)}
+            for book, offer in arrived.get(g, {}).items():
+                if book not in newest or self._order(newest[book]) < self._order(offer):
+                    newest[book] = offer
+            fresh = [o for o in newest.values() if stale_at(o) > now]  # the others can't be chosen again
+            best = max(fresh, key=lambda o: (-self.place.get(o["book"], len(self.place)), self._order(o)), default=None)
+            if said is None or [which(o) for o in offers(said)] != ([which(best)] if best else []):
+                row = {"game": g} | (best or dict.fromkeys(self.names)) | {"reason": None if best else "no fresh offer"}
+                changes.append(Row(**{c: row[c] for c in self.schema.names}))
+            games[g] = [plain(o) for o in fresh], [plain(best)] if best else [], stale_at(best) if best else None
+        due = min((d for _, _, d in games.values() if d is not None), default=None)
         if due != timer:
             if timer is not None and timer > now:
                 self.handle.deleteTimer(timer)
             if due is not None:
                 self.handle.registerTimer(due)
-        plain = lambda o: tuple(o[c] for c in self.names)
-        self.state.update(([plain(o) for o in fresh], [plain(best)] if best else [], due))
-        if said is None or offers(said) != ([best] if best else []):
-            row = {"game": key[0]} | (best or dict.fromkeys(self.names)) | {"reason": None if best else "no fresh offer"}
-            yield pd.DataFrame({c: pd.Series([row[c]], dtype=object) for c in self.schema.names})
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        newest: dict[str, dict] = {}
-        for pdf in rows:
-            own = pdf[pdf["book"].notna()].sort_values(["us", *self.tie]).groupby("book").tail(1)
-            columns = [own[c].astype(object).where(own[c].notna(), None).tolist() for c in self.names]
-            self._newer(newest, [dict(zip(self.names, r, strict=True)) for r in zip(*columns, strict=True)])
-        if newest:
-            yield from self._choose(key, list(newest.values()), timerValues.getCurrentWatermarkInMs())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self._choose(key, [], timerValues.getCurrentWatermarkInMs())
+        self.state.update(([(g, *x) for g, x in games.items()], due))
+        yield from changes
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        newest, order = {}, []
+        for row in rows:
+            if not order:
+                at = {c: i for i, c in enumerate(row.__fields__)}
+                game, book, order = at["game"], at["book"], [at["us"], *(at[t] for t in self.tie)]
+            last = newest.get((row[game], row[book]))
+            if row[book] is not None and (last is None or [last[i] for i in order] < [row[i] for i in order]):
+                newest[row[game], row[book]] = row
+        arrived: dict = {}
+        for (g, b), row in newest.items():
+            arrived.setdefault(g, {})[b] = {c: row[at[c]] for c in self.names}
+        if arrived:
+            yield from self._choose(arrived, timerValues.getCurrentWatermarkInMs())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        yield from self._choose({}, timerValues.getCurrentWatermarkInMs())
 
     def close(self) -> None:
         pass
 
 
-def best_offers(stream: DataFrame, game: str, book: str, priority: list[str], ts: str, most_minutes: float, tie: list[str]) -> DataFrame:
+def best_offers(stream: DataFrame, game: str, book: str, priority: list[str], ts: str, most_minutes: float, tie: list[str], buckets: int = 512) -> DataFrame:
     """A row whenever the choice of a game changes: the newest offer of the best-placed book that isn't older than `most_minutes` at the watermark, else a reason.
 
     `stream` has a watermark on `ts`; `tie` orders offers of one time and holds no nulls.  Books outside `priority` share the last place.  Offers
-    without a book or a time are left out.  Rows of one game are combined an Arrow batch at a time, however many a game has.
+    without a book or a time are left out.  Rows are read one by one, however many a game has.  Games share `buckets` keys of the state, which bounds the calls of a
+    batch to it; a running stream keeps the number it began with.
     """
     payload = [f for f in stream.schema.fields if f.name not in (game, book, ts)]
     given = {game: "game", book: "book", ts: "ts"} | {f.name: f"c{i}" for i, f in enumerate(payload)}  # names that a Python tuple may have
     rows = stream.where(F.col(ts).isNotNull()).select(*(F.col(c).alias(given[c]) for c in stream.columns), F.unix_micros(ts).alias("us"))
     fields = [T.StructField("game", stream.schema[game].dataType), T.StructField("book", T.StringType()), *(T.StructField(given[f.name], f.dataType) for f in payload), T.StructField("us", T.LongType())]
     out = T.StructType([*fields, T.StructField("reason", T.StringType())])
-    said = rows.groupBy("game").transformWithStateInPandas(statefulProcessor=_BestOffer(out, priority, most_minutes, [given[t] for t in tie]), outputStructType=out, outputMode="Append", timeMode="EventTime")
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("game"), F.lit(buckets)))
+    said = rows.groupBy("bucket").transformWithState(statefulProcessor=_BestOffers(out, priority, most_minutes, [given[t] for t in tie]), outputStructType=out, outputMode="Append", timeMode="EventTime")
     return said.select(*((F.timestamp_micros("us") if c == ts else F.col(given[c])).alias(c) for c in stream.columns), "reason")
 
 

@@ -173,3 +173,17 @@ def test_other_columns_keep_their_names_and_times(spark, tmp_path):
         assert row.us == spark.createDataFrame([offer(1, "a", 1, 3)], SCHEMA).select(F.unix_micros("ts")).first()[0] and row._line == 1.0
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_games_share_buckets_of_the_state(spark, tmp_path):
+    """Calls of the state follow the buckets, not the games; a timer of one game leaves its neighbours alone."""
+    s = Stream(spark, str(tmp_path))
+    s.put([offer(g, "a", g, g % 2 * 20) for g in range(60)] + [offer(99, "b", 99, 50)])
+    raw = spark.readStream.schema(SCHEMA).parquet(f"{s.folder}/in")
+    best = offers.best_offers(offers.live_offers(raw, "ts", ["event_id"], f"{LATE} minutes"), "game", "book", PRIORITY, "ts", MOST, ["event_id"], buckets=3)
+    q = best.writeStream.outputMode("append").foreachBatch(offers.keep_best(spark, f"{s.folder}/best", "game")).option("checkpointLocation", f"{s.folder}/state").trigger(availableNow=True).start()
+    q.awaitTermination()
+    want = {g: ("a", g, float(g)) if g % 2 else (None, None, None) for g in range(60)} | {99: ("b", 99, 99.0)}
+    assert s.read() == want
+    kept = spark.read.format("statestore").option("path", f"{s.folder}/state").option("operatorId", 0).option("stateVarName", "bucket").load()
+    assert kept.count() <= 3
