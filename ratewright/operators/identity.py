@@ -188,10 +188,32 @@ def _numbered_bigrams(text: str) -> Column:
     return F.transform(grams, lambda g, i: F.concat(g, F.size(F.filter(F.slice(grams, F.lit(1), i + 1), lambda x: x == g)).cast("string")))
 
 
+def _common_letters(x: str, y: str) -> int:
+    """The length of the longest common subsequence, a bit for each letter of `x` and a step for each of `y`."""
+    at: dict[str, int] = {}
+    for i, c in enumerate(x):
+        at[c] = at.get(c, 0) | 1 << i
+    left = every = (1 << len(x)) - 1
+    for c in y:
+        used = left & at.get(c, 0)
+        left = (left + used | left - used) & every
+    return len(x) - left.bit_count()
+
+
 @F.pandas_udf(T.DoubleType())
-def _each_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Twice the letters in matching blocks over all letters of both."""
-    return pd.Series([SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype=float)
+def _each_ratio(a: pd.Series, b: pd.Series, least: pd.Series) -> pd.Series:
+    """Twice the letters in matching blocks over all letters of both; null where already the longest common subsequence, which holds the blocks, is too short."""
+    matchers: dict[str, SequenceMatcher] = {}  # what is prepared for an alias serves all texts of a batch
+
+    def ratio(x: str, y: str, least: float) -> float | None:
+        if 2 * _common_letters(x, y) < least * (len(x) + len(y)) - 1e-9:
+            return None
+        if y not in matchers:
+            matchers[y] = SequenceMatcher(None, "", y)
+        matchers[y].set_seq1(x)
+        return matchers[y].ratio()
+
+    return pd.Series([ratio(*pair) for pair in zip(a, b, least, strict=True)], dtype=float)
 
 
 _block_ratio = _each_ratio.asNondeterministic()  # it isn't, but so no filter on it moves below the distinct pairs or computes it twice
@@ -223,7 +245,7 @@ def similar_texts(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
     edits = F.levenshtein("text", "alias") <= (1 - least) * (F.length("text") + F.length("alias")) + 1e-9
     met = rare(a, "text").repartition(tasks, "text").join(written(rare(b, "alias")), "gram").where(lengths & edits)
     pairs = met.select("text", "alias").repartition(tasks, "text", "alias").distinct()
-    return pairs.withColumn("similarity", _block_ratio("text", "alias")).where(F.col("similarity") >= least)
+    return pairs.withColumn("similarity", _block_ratio("text", "alias", F.lit(float(least)))).where(F.col("similarity") >= least)
 
 
 def token_match(tokens: DataFrame, aliases: DataFrame, token_id: str, text: str, entity: str, alias: str, least: float = 0.68) -> DataFrame:

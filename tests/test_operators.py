@@ -265,6 +265,15 @@ def test_similar_texts_lose_no_pair(spark):
         assert got == {(a, b) for a in texts for b in texts if SequenceMatcher(None, a, b).ratio() >= least}
 
 
+def test_common_letters_bound_matching_blocks():
+    from difflib import SequenceMatcher
+
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("abcé") for _ in range(rng.randint(0, 12))) for _ in range(60)]
+    assert I._common_letters("abcbdab", "bdcaba") == 4 and I._common_letters("", "a") == 0
+    assert all(2 * I._common_letters(a, b) >= SequenceMatcher(None, a, b).ratio() * len(a + b) - 1e-9 for a in texts for b in texts if a + b)
+
+
 def test_fill_slots_keeps_the_callers_columns(spark):
     df = spark.createDataFrame([("t", "A", "x", 1), ("t", "A", "y", 2), ("t", "B", "x", 1)], "team string, slot string, player string, rank int")
     assert W.fill_slots(df, ["team"], ["A", "B"], "slot", "player", [F.col("rank")]).columns == df.columns
